@@ -14,20 +14,34 @@ from roadbook.sources.lake import Lake
 _lakes: dict[tuple[str, str], Lake] = {}
 
 
+def new_lake(spark: SparkSession) -> Lake:
+    """An empty lake in the shared scratch folder."""
+    return Lake(scratch_dir(use_utc(spark), "lake"))
+
+
 def land(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
     """Write the three sample datasets to the raw zone."""
     for name, derive in sample.RAW.items():
         bronze.land_raw(derive(spark, sf_dir), lake.raw(name))
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, os.path.realpath(sf_dir)
+
+
+def remember(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
+    """Let the queries on ``sf_dir`` use this lake."""
+    _lakes[_key(spark, sf_dir)] = lake
+    return lake
+
+
 def sample_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake of ``sf_dir``, built once per application: all gold queries read the same tables."""
-    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
-    if key not in _lakes:
-        use_utc(spark)
-        lake = Lake(scratch_dir(spark, "lake"))
-        land(spark, sf_dir, lake)
-        job.build_silver(spark, lake)
-        job.build_gold(spark, lake)
-        _lakes[key] = lake
-    return _lakes[key]
+    known = _lakes.get(_key(spark, sf_dir))
+    if known:
+        return known
+    lake = new_lake(spark)
+    land(spark, sf_dir, lake)
+    job.build_silver(spark, lake)
+    job.build_gold(spark, lake)
+    return remember(spark, sf_dir, lake)

@@ -11,7 +11,10 @@ def parse_number(text: Column) -> Column:
 
     Java's parser also takes a type suffix ("12d", "1.5f"), which is no number in the data.
     """
-    suffixed = text.cast("string").rlike(r"[0-9.][dDfF]\s*$")
+    shown = F.lower(F.trim(text.cast("string")))
+    suffixed = F.endswith(shown, F.lit("d")) | (
+        F.endswith(shown, F.lit("f")) & ~F.endswith(shown, F.lit("inf"))
+    )
     return F.when(~suffixed, text.try_cast("double"))
 
 

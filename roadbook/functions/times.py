@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def parse_timestamp(text: Column) -> Column:
     """ISO-8601 text (or a timestamp) as TIMESTAMP; NULL where it is not one.
 
-    The full date is required: Spark would complete "2024" or "12:30" to some instant.
+    A year and a month are required: Spark would complete "12:30" with the day of the run.
     """
-    dated = text.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
+    dated = F.substring(F.trim(text.cast("string")), 5, 1) == "-"
     return F.when(dated, text.try_cast("timestamp"))
 
 

@@ -101,16 +101,21 @@ def utilization_vs_hours(
     """Active share of each vehicle-day beside the mean driver hours of that day.
 
     Hours are averaged per day before the join, so vehicles and drivers of a day never multiply.
-    The join keeps every vehicle-day exactly once, which lets the limit go first: the k rows are
-    then small enough to broadcast, and only their days are read from the drivers' table.
-    ``k=None`` gives all rows.
+    The join keeps every vehicle-day exactly once, which lets the limit go first; only the days of
+    the k rows are then read from the drivers' table. ``k=None`` gives all rows.
     """
     by_day = [F.col("dt").asc_nulls_last(), F.col("vehicle_id").asc_nulls_last()]
     vehicle_days = fleet.select("dt", "vehicle_id", "active_time_pct")
-    if k is not None:
-        vehicle_days = vehicle_days.orderBy(*by_day).limit(k)
-        drivers = drivers.join(F.broadcast(vehicle_days.select("dt")), "dt", "left_semi")
-    return vehicle_days.join(_mean_hours_per_day(drivers), "dt", "left").orderBy(*by_day)
+    if k is None:
+        return vehicle_days.join(_mean_hours_per_day(drivers), "dt", "left").orderBy(*by_day)
+    first_rows = vehicle_days.orderBy(*by_day).limit(k)
+    of_their_days = drivers.where(
+        F.col("dt").between(
+            first_rows.agg(F.min("dt")).scalar(), first_rows.agg(F.max("dt")).scalar()
+        )
+    )
+    joined = first_rows.join(_mean_hours_per_day(of_their_days), "dt", "left")
+    return joined.orderBy(*by_day).limit(k)
 
 
 def raw_city_day_sla(deliveries: DataFrame, city: str, on: Day) -> DataFrame:
