@@ -1,7 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Cleaning steps and gold tables are planned straight from the sample tables. Queries on bronze
-files or gold tables read the sample lake, where both lie as they would in production.
+They run on the sample lake, each on the zone it would use in production: cleaning steps on raw
+JSON, gold tables on silver Parquet, analytical and dashboard queries on gold Parquet.
 """
 
 from __future__ import annotations
@@ -17,14 +17,15 @@ from roadbook.functions import round_half_up
 from roadbook.operators import cleaning, footprint, reports
 from roadbook.plans import analytics, dashboard, gold, job
 from roadbook.session import scratch_dir, use_utc
-from roadbook.sources import bronze, lake as zones, sample
+from roadbook.sources import bronze, sample
+from roadbook.sources import lake as zones
 from roadbook.spec import (
-    ARRIVAL,
     DATASETS,
     DELIVERY_COMPLETIONS,
     DRIVER_SHIFT_LOGS,
     GOLD_TABLES,
     VEHICLE_TELEMETRY,
+    DatasetSpec,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +46,12 @@ def register(query: Query) -> Query:
     return query
 
 
-def _silver(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
-    return cleaning.clean(sample.RAW[spec.name](spark, sf_dir), spec)
+def _raw(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFrame:
+    return bronze.read_raw(spark, sample_lake(spark, sf_dir).raw(spec.name), spec)
+
+
+def _silver(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFrame:
+    return zones.read_silver(spark, sample_lake(spark, sf_dir), spec)
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
@@ -64,32 +69,31 @@ def _six_places(df: DataFrame, *columns: str) -> DataFrame:
 
 @register
 def silver_coerce_numeric(spark, sf_dir):
-    raw = sample.telemetry(spark, sf_dir).withColumnRenamed(ARRIVAL, "row_id")
     required = VEHICLE_TELEMETRY.required_numeric
-    return cleaning.coerce_numeric(raw, required).select("row_id", *required)
+    rows = cleaning.coerce_numeric(_raw(spark, sf_dir, VEHICLE_TELEMETRY), required)
+    return rows.select("vehicle_id", "timestamp", *required)
 
 
 @register
 def silver_drop_malformed(spark, sf_dir):
-    raw = sample.telemetry(spark, sf_dir).withColumnRenamed(ARRIVAL, "row_id")
     required = VEHICLE_TELEMETRY.required_numeric
-    typed = cleaning.coerce_numeric(raw, required)
-    return cleaning.drop_malformed(typed, required).select("row_id", "vehicle_id", *required)
+    rows = cleaning.coerce_numeric(_raw(spark, sf_dir, VEHICLE_TELEMETRY), required)
+    return cleaning.drop_malformed(rows, required).select("vehicle_id", "timestamp", *required)
 
 
 @register
 def silver_parse_timestamps(spark, sf_dir):
-    pings = cleaning.parse_timestamps(sample.telemetry(spark, sf_dir), ["timestamp"])
-    shifts = cleaning.parse_timestamps(sample.shifts(spark, sf_dir), ["clock_in", "clock_out"])
+    pings = cleaning.parse_timestamps(_raw(spark, sf_dir, VEHICLE_TELEMETRY), ["timestamp"])
+    shifts = cleaning.parse_timestamps(
+        _raw(spark, sf_dir, DRIVER_SHIFT_LOGS), ["clock_in", "clock_out"]
+    )
     pings = cleaning.require(pings, "timestamp").select(
-        F.lit("telemetry").alias("dataset"),
-        F.col(ARRIVAL).alias("row_id"),
+        F.col("vehicle_id").alias("source_id"),
         F.col("timestamp").alias("event_time"),
         F.lit(None).cast("timestamp").alias("end_time"),
     )
     shifts = cleaning.require(shifts, "clock_in").select(
-        F.lit("shifts").alias("dataset"),
-        F.col(ARRIVAL).alias("row_id"),
+        F.col("driver_id").alias("source_id"),
         F.col("clock_in").alias("event_time"),
         F.col("clock_out").alias("end_time"),
     )
@@ -98,30 +102,37 @@ def silver_parse_timestamps(spark, sf_dir):
 
 @register
 def silver_speed_range(spark, sf_dir):
-    raw = sample.telemetry(spark, sf_dir).withColumnRenamed(ARRIVAL, "row_id")
-    typed = cleaning.coerce_numeric(raw, ["speed_kmph"])
-    valid = cleaning.within_ranges(typed, VEHICLE_TELEMETRY.ranges)
-    return valid.select("row_id", "vehicle_id", "speed_kmph")
+    rows = cleaning.coerce_numeric(_raw(spark, sf_dir, VEHICLE_TELEMETRY), ["speed_kmph"])
+    valid = cleaning.within_ranges(rows, VEHICLE_TELEMETRY.ranges)
+    return valid.select("vehicle_id", "timestamp", "speed_kmph")
 
 
 @register
 def silver_dedupe_telemetry(spark, sf_dir):
-    return _silver(spark, sf_dir, VEHICLE_TELEMETRY)
+    return cleaning.clean(_raw(spark, sf_dir, VEHICLE_TELEMETRY), VEHICLE_TELEMETRY)
 
 
 @register
 def silver_dedupe_shifts(spark, sf_dir):
-    return _silver(spark, sf_dir, DRIVER_SHIFT_LOGS)
+    return cleaning.clean(_raw(spark, sf_dir, DRIVER_SHIFT_LOGS), DRIVER_SHIFT_LOGS)
+
+
+@register
+def silver_dedupe_shifts_prefer_closed(spark, sf_dir):
+    return cleaning.clean(
+        _raw(spark, sf_dir, DRIVER_SHIFT_LOGS), DRIVER_SHIFT_LOGS, prefer="clock_out"
+    )
 
 
 @register
 def silver_dedupe_deliveries(spark, sf_dir):
-    return _silver(spark, sf_dir, DELIVERY_COMPLETIONS)
+    return cleaning.clean(_raw(spark, sf_dir, DELIVERY_COMPLETIONS), DELIVERY_COMPLETIONS)
 
 
 @register
 def dedupe_full_row(spark, sf_dir):
-    return cleaning.distinct_rows(sample.telemetry(spark, sf_dir).drop(ARRIVAL))
+    rows = cleaning.typed(_raw(spark, sf_dir, VEHICLE_TELEMETRY), VEHICLE_TELEMETRY)
+    return cleaning.distinct_rows(rows.select(*VEHICLE_TELEMETRY.columns, "dt"))
 
 
 # --- zone reports -----------------------------------------------------------------------------
@@ -339,7 +350,8 @@ def bronze_inferred_scan(spark, sf_dir):
 def silver_roundtrip(spark, sf_dir):
     lake = zones.Lake(scratch_dir(spark, "silver"))
     spec = DELIVERY_COMPLETIONS
-    zones.write_days(_silver(spark, sf_dir, spec), lake.staging(spec.name), spec.keys)
+    cleaned = cleaning.clean(_raw(spark, sf_dir, spec), spec)
+    zones.write_days(cleaned, lake.staging(spec.name), spec.keys)
     return zones.read_silver(spark, lake, spec)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -21,8 +22,10 @@ def new_lake(spark: SparkSession) -> Lake:
 
 def land(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
     """Write the three sample datasets to the raw zone."""
-    for name, derive in sample.RAW.items():
-        bronze.land_raw(derive(spark, sf_dir), lake.raw(name))
+    job.at_once(
+        partial(bronze.land_raw, derive(spark, sf_dir), lake.raw(name))
+        for name, derive in sample.RAW.items()
+    )
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

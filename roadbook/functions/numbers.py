@@ -11,9 +11,9 @@ def parse_number(text: Column) -> Column:
 
     Java's parser also takes a type suffix ("12d", "1.5f"), which is no number in the data.
     """
-    shown = F.lower(F.trim(text.cast("string")))
-    suffixed = F.endswith(shown, F.lit("d")) | (
-        F.endswith(shown, F.lit("f")) & ~F.endswith(shown, F.lit("inf"))
+    shown = F.rtrim(text.cast("string"))
+    suffixed = F.substring(shown, -1, 1).isin("d", "D", "f", "F") & ~F.endswith(
+        F.lower(shown), F.lit("inf")
     )
     return F.when(~suffixed, text.try_cast("double"))
 

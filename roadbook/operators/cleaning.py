@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadbook.functions import parse_number, parse_timestamp
 from roadbook.functions.numbers import is_number
+from roadbook.sources.bronze import with_arrival
 from roadbook.spec import ARRIVAL, DatasetSpec
 
 
@@ -59,11 +60,11 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _typed(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+def typed(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Raw fields with their silver types, NULL where a value does not fit."""
-    typed = coerce_numeric(raw, spec.of_type("double"))
-    typed = parse_timestamps(typed, spec.of_type("timestamp"))
-    return typed.withColumns({c: F.col(c).try_cast("boolean") for c in spec.of_type("boolean")})
+    rows = coerce_numeric(raw, spec.of_type("double"))
+    rows = parse_timestamps(rows, spec.of_type("timestamp"))
+    return rows.withColumns({c: F.col(c).try_cast("boolean") for c in spec.of_type("boolean")})
 
 
 def _valid(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -73,7 +74,7 @@ def _valid(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def clean(raw: DataFrame, spec: DatasetSpec, prefer: str | None = None) -> DataFrame:
-    """Silver rows of a raw dataset (which has to carry ``dt`` and ARRIVAL).
+    """Silver rows of a raw dataset, as ``read_raw`` gives it or with an ARRIVAL column of its own.
 
     Validity comes before deduplication, so an invalid first copy does not hide a good later one.
     With ``prefer`` (say ``clock_out``), copies that fill this column win over earlier ones that
@@ -82,7 +83,10 @@ def clean(raw: DataFrame, spec: DatasetSpec, prefer: str | None = None) -> DataF
     order: list[str | Column] = [ARRIVAL]
     if prefer:
         order.insert(0, F.col(prefer).isNull())
-    valid = _valid(_typed(raw, spec), spec)
+    rows = typed(raw, spec)
+    if ARRIVAL not in rows.columns:
+        rows = with_arrival(rows)
+    valid = _valid(rows, spec)
     return keep_first(valid, spec.keys, order).select(*spec.columns, "dt")
 
 

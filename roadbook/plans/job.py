@@ -6,15 +6,19 @@ zone before, and each write replaces whole days, so running a step twice changes
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.operators import footprint, reports
 from roadbook.operators.cleaning import clean
 from roadbook.plans import analytics, gold
 from roadbook.sources import bronze
+from roadbook.sources.bronze import Days, on_days
 from roadbook.sources.lake import (
     Lake,
     read_gold,
@@ -28,28 +32,39 @@ from roadbook.spec import (
     DRIVER_SHIFT_LOGS,
     GOLD_TABLES,
     VEHICLE_TELEMETRY,
+    DatasetSpec,
 )
 
 # Rows are sorted by this column within the days of a gold table.
 GOLD_KEYS = dict(zip(GOLD_TABLES, ("vehicle_id", "driver_id", "city")))
 
 
-def build_silver(spark: SparkSession, lake: Lake, days: Column | None = None) -> None:
-    """Clean the raw datasets, all days or those that meet a condition on ``dt``."""
-    for spec in DATASETS:
-        raw = bronze.read_raw(spark, lake.raw(spec.name), spec, days)
-        write_days(clean(raw, spec), lake.staging(spec.name), spec.keys)
+def _several(days: Days) -> bool:
+    return days is None or len(days) > 1
 
 
-def gold_tables(spark: SparkSession, lake: Lake, days: Column | None = None) -> dict[str, DataFrame]:
-    """The gold tables as plans over the silver zone."""
+def at_once(steps: Iterable[Callable[[], None]]) -> None:
+    """Run independent writes together, so that none waits for the last tasks of another."""
+    with ThreadPoolExecutor() as pool:
+        for step in [pool.submit(step) for step in steps]:
+            step.result()
+
+
+def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
+    """Clean the raw datasets, all days or the given ones."""
+
+    def write(spec: DatasetSpec) -> None:
+        raw = bronze.read_raw(spark, lake.raw(spec.name), spec, days)
+        write_days(clean(raw, spec), lake.staging(spec.name), spec.keys, gather=_several(days))
 
-    def silver(spec):
-        table = read_silver(spark, lake, spec)
-        return table if days is None else table.where(days)
+    at_once(partial(write, spec) for spec in DATASETS)
 
-    telemetry, shifts, deliveries = map(
-        silver, (VEHICLE_TELEMETRY, DRIVER_SHIFT_LOGS, DELIVERY_COMPLETIONS)
+
+def gold_tables(spark: SparkSession, lake: Lake, days: Days = None) -> dict[str, DataFrame]:
+    """The gold tables as plans over the silver zone."""
+    telemetry, shifts, deliveries = (
+        read_silver(spark, lake, spec).where(on_days(days))
+        for spec in (VEHICLE_TELEMETRY, DRIVER_SHIFT_LOGS, DELIVERY_COMPLETIONS)
     )
     tables = (
         gold.daily_fleet_utilization(telemetry),
@@ -59,10 +74,13 @@ def gold_tables(spark: SparkSession, lake: Lake, days: Column | None = None) ->
     return dict(zip(GOLD_TABLES, tables))
 
 
-def build_gold(spark: SparkSession, lake: Lake, days: Column | None = None) -> None:
-    """Aggregate silver into the gold tables, all days or those that meet a condition on ``dt``."""
-    for name, table in gold_tables(spark, lake, days).items():
-        write_days(table, lake.curated(name), [GOLD_KEYS[name]])
+def build_gold(spark: SparkSession, lake: Lake, days: Days = None) -> None:
+    """Aggregate silver into the gold tables, all days or the given ones."""
+
+    def write(name: str, table: DataFrame) -> None:
+        write_days(table, lake.curated(name), [GOLD_KEYS[name]], gather=_several(days))
+
+    at_once(partial(write, name, table) for name, table in gold_tables(spark, lake, days).items())
 
 
 def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -77,16 +95,14 @@ def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def cleaning_report(spark: SparkSession, lake: Lake, days: Column | None = None) -> DataFrame:
+def cleaning_report(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """Raw against staged rows. Raw lines are counted unparsed, staged rows from Parquet footers."""
-
-    def staged(spec):
-        table = read_silver(spark, lake, spec)
-        return table if days is None else table.where(days)
-
     return reports.cleaning_report(
         {
-            spec.name: (bronze.raw_lines(spark, lake.raw(spec.name), days), staged(spec))
+            spec.name: (
+                bronze.raw_lines(spark, lake.raw(spec.name), days),
+                read_silver(spark, lake, spec).where(on_days(days)),
+            )
             for spec in DATASETS
         }
     )
@@ -121,7 +137,7 @@ class JobResult:
 def run(
     spark: SparkSession,
     lake: Lake,
-    days: Column | None = None,
+    days: Days = None,
     cost_of: tuple[str, analytics.Day] | None = None,
 ) -> JobResult:
     """Build silver and gold from the raw zone, name the tables, and prepare the answers.

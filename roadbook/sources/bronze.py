@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,8 @@ from roadbook.spec import ARRIVAL, CORRUPT, DatasetSpec
 
 log = logging.getLogger(__name__)
 
+Days = Sequence[dt.date | str] | None
+
 
 def _or_empty(spark: SparkSession, path: str, schema, read) -> DataFrame:
     """The result of ``read``, or no rows of ``schema`` where nothing lies at ``path``."""
@@ -24,15 +28,20 @@ def _or_empty(spark: SparkSession, path: str, schema, read) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def on_days(days: Days) -> Column:
+    """The condition that ``dt`` is one of these days; always true for None."""
+    if days is None:
+        return F.lit(True)
+    return F.col("dt").isin([dt.date.fromisoformat(str(day)) for day in days])
+
+
 def read_raw(
-    spark: SparkSession, path: str, spec: DatasetSpec, days: Column | None = None
+    spark: SparkSession, path: str, spec: DatasetSpec, days: Days = None
 ) -> DataFrame:
-    """All days of a raw dataset in one scan, fields as text, ``dt`` from the folder names.
+    """All (or some) days of a raw dataset in one scan, fields as text, ``dt`` from the folders.
 
-    ``days`` is a condition on ``dt``; it has to be given here to prune folders, because the
-    position column below keeps later filters out of the scan. ARRIVAL is the position of a line:
-    file, block of the file, then a number rising along the block. It follows line order however
-    the files are split over tasks.
+    Two more columns tell where a line comes from: its file, and the block of the file that its
+    task reads. ``with_arrival`` turns them into the position of the line.
     """
     raw = _or_empty(
         spark,
@@ -41,12 +50,20 @@ def read_raw(
         lambda: spark.read.schema(spec.raw_schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
-        .select("*", "_metadata.file_name", "_metadata.file_block_start"),
+        .select("*", F.col("_metadata.file_name"), F.col("_metadata.file_block_start")),
     )
     if "file_name" not in raw.columns:
         raw = raw.withColumns({"file_name": F.lit(""), "file_block_start": F.lit(0)})
-    if days is not None:
-        raw = raw.where(days)
+    return raw.where(on_days(days))
+
+
+def with_arrival(raw: DataFrame) -> DataFrame:
+    """Adds ARRIVAL, the position of a line: file, block, and a number that rises along the block.
+
+    It follows line order however files are split over tasks, as long as nothing has shuffled the
+    rows since ``read_raw``. The number also keeps Spark from moving later filters below this
+    point, so columns computed before it are computed once and not again inside each filter.
+    """
     position = F.struct("file_name", "file_block_start", F.monotonically_increasing_id())
     return raw.withColumn(ARRIVAL, position).drop("file_name", "file_block_start")
 
@@ -65,13 +82,11 @@ def infer_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def raw_lines(spark: SparkSession, path: str, days: Column | None = None) -> DataFrame:
+def raw_lines(spark: SparkSession, path: str, days: Days = None) -> DataFrame:
     """The non-blank lines of a raw dataset, unparsed: one row (``dt``) per record."""
     schema = "value string, dt date"
     lines = _or_empty(spark, path, schema, lambda: spark.read.schema(schema).text(path))
-    if days is not None:
-        lines = lines.where(days)
-    return lines.where(F.trim("value") != "").select("dt")
+    return lines.where(on_days(days) & (F.trim("value") != "")).select("dt")
 
 
 def land_raw(records: DataFrame, path: str) -> None:

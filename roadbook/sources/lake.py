@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.spec import DATASETS, GOLD_TABLES, DatasetSpec
+from roadbook.spec import DATASETS, GOLD_SCHEMAS, DatasetSpec
 
 
 @dataclass(frozen=True)
@@ -27,16 +27,19 @@ class Lake:
         return f"{self.base}/curated/{name}"
 
 
-def write_days(table: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
+def write_days(
+    table: DataFrame, path: str, sort_by: Sequence[str] = (), gather: bool = True
+) -> None:
     """Write a table as Parquet, one folder per ``dt``; only the days it holds are replaced.
 
-    The rebalance hint gathers each day into files of the advisory partition size: a small day
-    becomes one file, a day of terabytes is split over many tasks. Rows are sorted inside a file,
-    so that row-group statistics help filters on the sort columns.
+    ``gather`` shuffles each day into files of the advisory partition size: a small day becomes
+    one file, a day of terabytes is split over many tasks. A table of a single day can do without.
+    Rows are sorted inside a file, so that row-group statistics help filters on these columns.
     """
+    if gather:
+        table = table.hint("rebalance", F.col("dt"))
     (
-        table.hint("rebalance", F.col("dt"))
-        .sortWithinPartitions("dt", *sort_by)
+        table.sortWithinPartitions("dt", *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
@@ -49,35 +52,38 @@ def read_silver(spark: SparkSession, lake: Lake, spec: DatasetSpec) -> DataFrame
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return spark.read.parquet(lake.curated(name))
+    return spark.read.schema(GOLD_SCHEMAS[name]).parquet(lake.curated(name))
 
 
-def _tables(lake: Lake, include_silver: bool) -> dict[str, str]:
-    paths = {name: lake.curated(name) for name in GOLD_TABLES}
-    if include_silver:
-        paths |= {spec.name: lake.staging(spec.name) for spec in DATASETS}
-    return paths
+def _tables(spark: SparkSession, lake: Lake, include_silver: bool) -> Iterator[tuple]:
+    """Name, path and rows of each table."""
+    for name in GOLD_SCHEMAS:
+        yield name, lake.curated(name), read_gold(spark, lake, name)
+    for spec in DATASETS if include_silver else ():
+        yield spec.name, lake.staging(spec.name), read_silver(spark, lake, spec)
 
 
 def register_views(spark: SparkSession, lake: Lake, include_silver: bool = True) -> None:
     """Name the gold (and silver) tables for SQL in this session."""
-    for name, path in _tables(lake, include_silver).items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
+    for name, _, table in _tables(spark, lake, include_silver):
+        table.createOrReplaceTempView(name)
 
 
 def register_tables(
     spark: SparkSession, lake: Lake, database: str, include_silver: bool = True
 ) -> None:
-    """Enter the tables in the catalog as external tables with all their days."""
+    """Enter the tables in the catalog as external tables with all the days they have now.
+
+    The catalog then knows the days, and a query need not list the folders. Run it again after
+    new days were written.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, path in _tables(lake, include_silver).items():
+    for name, path, rows in _tables(spark, lake, include_silver):
         table = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema
-        )
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (dt) LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
+            f"USING parquet PARTITIONED BY (dt) LOCATION '{path}'"
         )
         spark.sql(f"MSCK REPAIR TABLE {table}")
 

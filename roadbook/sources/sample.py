@@ -40,8 +40,9 @@ def _after(start: Column, seconds: Column) -> Column:
 def _copies(df: DataFrame, **kept: Column) -> DataFrame:
     """Each row once for every copy number whose condition holds (``m1`` stands for -1)."""
     numbers = {"m1": -1, "c0": 0, "c1": 1, "c2": 2}
-    copies = F.array(*[F.when(cond, F.lit(numbers[name])) for name, cond in kept.items()])
-    return df.withColumn("cp", F.explode(F.array_compact(copies)))
+    none = F.array().cast("array<int>")
+    copies = [F.when(cond, F.array(F.lit(numbers[n]))).otherwise(none) for n, cond in kept.items()]
+    return df.withColumn("cp", F.explode(F.concat(*copies)))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +108,9 @@ def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # Shuffled on purpose: the sample comes as one file, which only one task could read.
     rows = _table(spark, sf_dir, "lineitem").join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey")
+        orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     key = F.col("o_orderkey")
     dt = F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int"))

@@ -101,4 +101,21 @@ DELIVERY_COMPLETIONS = DatasetSpec(
 
 DATASETS = (VEHICLE_TELEMETRY, DRIVER_SHIFT_LOGS, DELIVERY_COMPLETIONS)
 
-GOLD_TABLES = ("daily_fleet_utilization", "driver_performance", "delivery_sla_compliance")
+# Names and columns of the gold tables.
+GOLD_SCHEMAS = {
+    "daily_fleet_utilization": (
+        "vehicle_id string, ping_count long, avg_speed_kmph double, distance_km double, "
+        "active_time_pct double, idle_time_pct double, dt date"
+    ),
+    "driver_performance": (
+        "driver_id string, hours_worked double, deliveries_assigned long, "
+        "deliveries_completed long, on_time_deliveries long, on_time_rate_pct double, "
+        "avg_delivery_minutes double, dt date"
+    ),
+    "delivery_sla_compliance": (
+        "city string, total_deliveries long, failed_deliveries long, on_time_deliveries long, "
+        "breached_deliveries long, avg_breach_overage_minutes double, sla_compliance_pct double, "
+        "dt date"
+    ),
+}
+GOLD_TABLES = tuple(GOLD_SCHEMAS)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadbook.plans import job
@@ -41,9 +40,8 @@ def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> Stre
     def rebuild(batch: DataFrame, _: int) -> None:
         days = [row.dt for row in batch.distinct().collect()]  # one row per day
         if days:
-            touched = F.col("dt").isin(days)
-            job.build_silver(spark, lake, touched)
-            job.build_gold(spark, lake, touched)
+            job.build_silver(spark, lake, days)
+            job.build_gold(spark, lake, days)
 
     return (
         arriving_days(spark, lake)

@@ -137,7 +137,7 @@ def test_raw_fields_are_text_and_the_day_comes_from_the_path(spark, filled):
 
 def test_only_the_named_days_are_read(spark, filled, plan):
     raw = bronze.read_raw(
-        spark, filled.raw("vehicle_telemetry"), VEHICLE_TELEMETRY, F.col("dt") == F.lit(DAY_2)
+        spark, filled.raw("vehicle_telemetry"), VEHICLE_TELEMETRY, [DAY_2]
     )
     assert rows(raw.select("dt").distinct()) == [(DAY_2,)]
     assert f"(dt#" in plan(raw).split("PartitionFilters")[1].split("]")[0]
@@ -149,7 +149,9 @@ def test_arrival_follows_line_order_in_split_files(spark, lake):
     land_lines(lake, VEHICLE_TELEMETRY, DAY_1, records[3000:], part=1)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        raw = bronze.read_raw(spark, lake.raw("vehicle_telemetry"), VEHICLE_TELEMETRY)
+        raw = bronze.with_arrival(
+            bronze.read_raw(spark, lake.raw("vehicle_telemetry"), VEHICLE_TELEMETRY)
+        )
         assert raw.rdd.getNumPartitions() > 5
         found = [r.vehicle_id for r in raw.orderBy(ARRIVAL).select("vehicle_id").collect()]
     finally:
@@ -161,7 +163,7 @@ def test_missing_dataset_is_empty_with_a_message(spark, lake, caplog):
     with caplog.at_level(logging.WARNING):
         raw = bronze.read_raw(spark, lake.raw("vehicle_telemetry"), VEHICLE_TELEMETRY)
     assert raw.count() == 0 and "no raw files" in caplog.text
-    assert {*VEHICLE_TELEMETRY.columns, "dt", ARRIVAL} <= set(raw.columns)
+    assert {*VEHICLE_TELEMETRY.columns, "dt", ARRIVAL} <= set(bronze.with_arrival(raw).columns)
     assert bronze.raw_lines(spark, lake.raw("vehicle_telemetry")).count() == 0
 
 
@@ -178,7 +180,7 @@ def test_landing_keeps_nulls_and_arrival_order(spark, lake):
     bronze.land_raw(df.repartition(5), path)
     lines = [json.loads(x) for f in glob.glob(f"{path}/dt={DAY_1}/*.json") for x in open(f)]
     assert set(lines[0]) == {"vehicle_id", "city"}
-    back = bronze.read_raw(spark, path, VEHICLE_TELEMETRY).where(F.col("dt") == F.lit(DAY_1))
+    back = bronze.with_arrival(bronze.read_raw(spark, path, VEHICLE_TELEMETRY, [str(DAY_1)]))
     order = [int(r.vehicle_id) for r in back.orderBy(ARRIVAL).select("vehicle_id").collect()]
     assert order == sorted(range(0, 3000, 3), reverse=True)
 
@@ -257,7 +259,7 @@ def test_rerun_of_a_day_replaces_it_and_leaves_the_others(spark, filled):
     job.build_gold(spark, filled)
     before = rows(zones.read_gold(spark, filled, "delivery_sla_compliance"))
     land_lines(filled, DELIVERY_COMPLETIONS, DAY_2, [delivery(9, DAY_2)], part=1)
-    only = F.col("dt") == F.lit(DAY_2)
+    only = [DAY_2]
     job.build_silver(spark, filled, only)
     job.build_gold(spark, filled, only)
     after = rows(zones.read_gold(spark, filled, "delivery_sla_compliance"), "dt", "total_deliveries")

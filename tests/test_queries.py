@@ -5,21 +5,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from roadbook.plans import analytics, dashboard
-from roadbook.spec import GOLD_TABLES
-
-FLEET = (
-    "dt date, vehicle_id string, ping_count long, avg_speed_kmph double, distance_km double, "
-    "active_time_pct double, idle_time_pct double"
-)
-DRIVERS = (
-    "dt date, driver_id string, hours_worked double, deliveries_assigned long, "
-    "deliveries_completed long, on_time_deliveries long, on_time_rate_pct double, "
-    "avg_delivery_minutes double"
-)
-SLA = (
-    "dt date, city string, total_deliveries long, failed_deliveries long, on_time_deliveries long, "
-    "breached_deliveries long, avg_breach_overage_minutes double, sla_compliance_pct double"
-)
+from roadbook.spec import GOLD_SCHEMAS, GOLD_TABLES
+
+FLEET, DRIVERS, SLA = (f"dt date, {s.removesuffix(', dt date')}" for s in GOLD_SCHEMAS.values())
 
 
 def d(day):
