@@ -17,7 +17,6 @@ import time
 
 from registry import sample_lake as samples
 from registry.queries import CITY, DAY, QUERIES
-from roadbook.operators.footprint import scan_cost_comparison
 from roadbook.plans import job
 from roadbook.session import build_session
 
@@ -58,7 +57,7 @@ def main() -> None:
         run()
         times[name] = statistics.median(seconds(run) for _ in range(RUNS))
 
-    cost = scan_cost_comparison(job.footprints(spark, lake, CITY, DAY)).first()
+    cost = job.cost_comparison(spark, lake, CITY, DAY).first()
     print(
         json.dumps(
             {

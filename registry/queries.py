@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from registry.sample_lake import sample_lake
 from roadbook import functions
 from roadbook.functions import round_half_up
-from roadbook.operators import cleaning, footprint, reports
+from roadbook.operators import cleaning, reports
 from roadbook.plans import analytics, dashboard, gold, job
 from roadbook.session import scratch_dir, use_utc
 from roadbook.sources import bronze, sample
@@ -153,7 +153,7 @@ def silver_cleaning_report(spark, sf_dir):
 
 @register
 def gold_build_report(spark, sf_dir):
-    return reports.build_report(dict(zip(GOLD_TABLES, _gold(spark, sf_dir))))
+    return job.build_report(spark, sample_lake(spark, sf_dir))
 
 
 # --- gold tables ------------------------------------------------------------------------------
@@ -386,5 +386,4 @@ def scan_footprint(spark, sf_dir):
 
 @register
 def scan_cost_comparison(spark, sf_dir):
-    lake = sample_lake(spark, sf_dir)
-    return footprint.scan_cost_comparison(job.footprints(spark, lake, CITY, DAY))
+    return job.cost_comparison(spark, sample_lake(spark, sf_dir), CITY, DAY)

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 def parse_number(text: Column) -> Column:
     """Text (or a number) as DOUBLE; NULL where it is not a number.
 
-    Java's parser also takes a type suffix ("12d", "1.5f"), which is no number in the data.
+    Java's parser also takes "NaN" and a type suffix ("12d", "1.5f"), which are no numbers here.
     """
     shown = F.rtrim(text.cast("string"))
-    suffixed = F.substring(shown, -1, 1).isin("d", "D", "f", "F") & ~F.endswith(
+    lettered = F.substring(shown, -1, 1).isin("d", "D", "f", "F", "n", "N") & ~F.endswith(
         F.lower(shown), F.lit("inf")
     )
-    return F.when(~suffixed, text.try_cast("double"))
+    return F.when(~lettered, text.try_cast("double"))
 
 
 def is_number(value: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.functions import human_bytes
+
 # Price in USD of a scanned TB, and bytes in a TB.
 USD_PER_TB = 5.0
 BYTES_PER_TB = 1024**4
@@ -39,8 +41,8 @@ def scan_footprint(scenario: str, files: DataFrame, matched: DataFrame) -> DataF
     )
 
 
-def scan_cost_comparison(footprints: DataFrame) -> DataFrame:
-    """The ``before`` and ``after`` footprints as one record, with the saving and the costs."""
+def scan_cost_comparison(footprints: DataFrame, city: str, day: str) -> DataFrame:
+    """The ``before`` and ``after`` footprints of a question as one record, with saving and costs."""
 
     def of(scenario: str) -> Column:
         names = ("bytes_scanned", "files_touched", "rows_matched")
@@ -52,11 +54,15 @@ def scan_cost_comparison(footprints: DataFrame) -> DataFrame:
 
     share = F.try_divide(F.col("after.bytes_scanned"), F.col("before.bytes_scanned"))
     return footprints.agg(of("before").alias("before"), of("after").alias("after")).select(
+        F.lit(day).alias("target_dt"),
+        F.lit(city).alias("target_city"),
         "before",
         "after",
         F.round((F.lit(1.0) - share) * 100.0, 1).alias("reduction_pct"),
         cost("before").alias("before_cost_usd"),
         cost("after").alias("after_cost_usd"),
+        human_bytes(F.col("before.bytes_scanned")).alias("before_size"),
+        human_bytes(F.col("after.bytes_scanned")).alias("after_size"),
     )
 
 

@@ -108,6 +108,11 @@ def cleaning_report(spark: SparkSession, lake: Lake, days: Days = None) -> DataF
     )
 
 
+def build_report(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rows and days of the gold tables."""
+    return reports.build_report({name: read_gold(spark, lake, name) for name in GOLD_TABLES})
+
+
 def footprints(spark: SparkSession, lake: Lake, city: str, on: analytics.Day) -> DataFrame:
     """Scanning raw deliveries for one city (all days) against one day of the gold table."""
     raw = lake.raw(DELIVERY_COMPLETIONS.name)
@@ -124,9 +129,14 @@ def footprints(spark: SparkSession, lake: Lake, city: str, on: analytics.Day) ->
     )
 
 
+def cost_comparison(spark: SparkSession, lake: Lake, city: str, on: analytics.Day) -> DataFrame:
+    """What the question for one city and day costs on raw data and on gold."""
+    return footprint.scan_cost_comparison(footprints(spark, lake, city, on), city, str(on))
+
+
 @dataclass(frozen=True)
 class JobResult:
-    """Lazy frames: what was cleaned, what was built, and the answers by query name."""
+    """Lazy frames: what was cleaned, what was built, the answers by query name, the scan costs."""
 
     cleaning: DataFrame
     gold: DataFrame
@@ -142,16 +152,19 @@ def run(
 ) -> JobResult:
     """Build silver and gold from the raw zone, name the tables, and prepare the answers.
 
-    ``cost_of`` is the (city, day) of the scan comparison. Any failure ends the run.
+    With ``cost_of``, a (city, day), the scan comparison is written next to the zones as JSON. Any
+    failure ends the run.
     """
     build_silver(spark, lake, days)
     build_gold(spark, lake, days)
     register_views(spark, lake)
-    built = {name: read_gold(spark, lake, name) for name in GOLD_TABLES}
-    cost = footprint.scan_cost_comparison(footprints(spark, lake, *cost_of)) if cost_of else None
+    cost = None
+    if cost_of:
+        footprint.write_report(cost_comparison(spark, lake, *cost_of), lake.cost_report)
+        cost = spark.read.json(lake.cost_report)
     return JobResult(
         cleaning=cleaning_report(spark, lake, days),
-        gold=reports.build_report(built),
+        gold=build_report(spark, lake),
         queries=queries(spark, lake),
         cost=cost,
     )

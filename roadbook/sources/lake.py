@@ -26,6 +26,10 @@ class Lake:
     def curated(self, name: str) -> str:
         return f"{self.base}/curated/{name}"
 
+    @property
+    def cost_report(self) -> str:
+        return f"{self.base}/cost_comparison"
+
 
 def write_days(
     table: DataFrame, path: str, sort_by: Sequence[str] = (), gather: bool = True

@@ -48,6 +48,7 @@ class DatasetSpec:
 
 
 # Dataset names, columns, required fields, speed bounds and natural keys.
+# Minutes are DOUBLE although the sources send whole ones: a fraction must not be cut or dropped.
 VEHICLE_TELEMETRY = DatasetSpec(
     name="vehicle_telemetry",
     columns={

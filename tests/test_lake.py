@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from roadbook.__main__ import main as command
 from roadbook.operators import footprint, reports
 from roadbook.plans import job
 from roadbook.session import scratch_dir
@@ -232,8 +233,36 @@ def test_job_from_raw_files_to_answers(spark, filled):
     raw = glob.glob(f"{filled.raw('delivery_completions')}/*/*.json")
     curated = glob.glob(f"{filled.curated('delivery_sla_compliance')}/dt={DAY_2}/*.parquet")
     cost = result.cost.first()
-    assert cost.before == (sum(map(os.path.getsize, raw)), 2, 8)
-    assert cost.after == (os.path.getsize(curated[0]), 1, 1)
+    assert cost.before.asDict() == {
+        "bytes_scanned": sum(map(os.path.getsize, raw)),
+        "files_touched": 2,
+        "rows_matched": 8,
+    }
+    assert cost.after.asDict() == {
+        "bytes_scanned": os.path.getsize(curated[0]),
+        "files_touched": 1,
+        "rows_matched": 1,
+    }
+    assert len(glob.glob(f"{filled.cost_report}/*.json")) == 1
+
+
+def test_command_line_prints_the_answers(spark, filled, capsys, monkeypatch):
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    command(["run", "--lake", filled.base, "--city", "Delhi", "--day", str(DAY_1)])
+    shown = capsys.readouterr().out
+    assert "driver_leaderboard_7d" in shown and "reduction_pct" in shown
+    command(["silver", "--lake", filled.base, "--only", str(DAY_1)])
+    command(["gold", "--lake", filled.base, "--only", str(DAY_1)])
+    command(["queries", "--lake", filled.base])
+    assert "worst_sla_city_days" in capsys.readouterr().out
+
+
+def test_dataset_that_never_arrived_leaves_its_tables_empty(spark, lake):
+    land_lines(lake, DELIVERY_COMPLETIONS, DAY_1, [delivery(1, DAY_1)])
+    result = job.run(spark, lake)
+    assert rows(result.cleaning)[2] == ("vehicle_telemetry", 0, 0, 0, 0.0)
+    assert rows(spark.table("driver_performance"), "driver_id", "hours_worked") == [("DRV-001", None)]
+    assert spark.table("daily_fleet_utilization").count() == 0
 
 
 def test_small_days_are_written_as_one_file(spark, filled):
@@ -307,8 +336,9 @@ def test_scan_costs(spark):
         [("before", 988536, 14, 636), ("after", 5277, 1, 1)],
         "scenario string, bytes_scanned long, files_touched long, rows_matched long",
     )
-    got = footprint.scan_cost_comparison(footprints).first()
-    assert got.reduction_pct == 99.5
+    got = footprint.scan_cost_comparison(footprints, "Delhi", "2026-09-01").first()
+    assert (got.target_city, got.target_dt, got.reduction_pct) == ("Delhi", "2026-09-01", 99.5)
+    assert (got.before_size, got.after_size) == ("965.4 KB", "5.2 KB")
     assert f"{got.before_cost_usd:.7f} {got.after_cost_usd:.8f}" == "0.0000045 0.00000002"
 
 
