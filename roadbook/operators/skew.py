@@ -7,6 +7,8 @@ outer join: all rows of a key meet in one task. Here the hot keys are found firs
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,25 +50,24 @@ def full_outer_one_to_many(
     ``one`` is repeated for every part. The result is the same as that of the plain join.
     """
     hot = F.broadcast(hot_keys(many, keys, rows_per_part))
-    same_key = [F.col(f"m.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    spread = (
-        many.alias("m")
-        .join(hot.alias("h"), same_key, "left")
-        .select(
-            "m.*",
-            F.pmod(F.xxhash64(*[f"m.{c}" for c in spread_by]), F.coalesce("h.parts", F.lit(1)))
-            .cast("int")
-            .alias("_part"),
-            F.lit(True).alias("_matched"),
-        )
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        # Both sides look keys up in the same way, so that Spark finds the hot ones only once.
+        same_key = [F.col(f"df.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
+        parts = F.coalesce("hot.parts", F.lit(1)).alias("_parts")
+        return df.alias("df").join(hot.alias("hot"), same_key, "left").select("df.*", parts)
+
+    part_of_row = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
+    spread = with_parts(many).select(
+        *many.columns, part_of_row.alias("_part"), F.lit(True).alias("_matched")
     )
-    repeated = (
-        one.join(hot, list(keys), "left")
-        .withColumn("_parts", F.coalesce("parts", F.lit(1)))
-        .drop("parts")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    # A NULL key matches nothing, so its row of ``one`` is not repeated.
+    last_part = F.when(reduce(or_, [F.col(k).isNull() for k in keys]), 0).otherwise(
+        F.col("_parts") - 1
     )
+    repeated = with_parts(one).withColumn("_part", F.explode(F.sequence(F.lit(0), last_part)))
     joined = repeated.join(spread, [*keys, "_part"], "full_outer")
     # A repeated row that met nothing is surplus: a hot key has rows in ``many`` by definition.
-    surplus = F.col("_matched").isNull() & (F.col("_parts") > 1)
+    has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    surplus = F.col("_matched").isNull() & (F.col("_parts") > 1) & has_key
     return joined.where(~F.coalesce(surplus, F.lit(False))).drop("_part", "_parts", "_matched")
