@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +14,7 @@ from roadbook.sources import bronze, sample
 from roadbook.sources.lake import Lake
 
 _lakes: dict[tuple[str, str], Lake] = {}
+_building = Lock()
 
 
 def new_lake(spark: SparkSession) -> Lake:
@@ -40,11 +42,12 @@ def remember(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
 
 def sample_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake of ``sf_dir``, built once per application: all gold queries read the same tables."""
-    known = _lakes.get(_key(spark, sf_dir))
-    if known:
-        return known
-    lake = new_lake(spark)
-    land(spark, sf_dir, lake)
-    job.build_silver(spark, lake)
-    job.build_gold(spark, lake)
-    return remember(spark, sf_dir, lake)
+    with _building:
+        known = _lakes.get(_key(spark, sf_dir))
+        if known:
+            return known
+        lake = new_lake(spark)
+        land(spark, sf_dir, lake)
+        job.build_silver(spark, lake)
+        job.build_gold(spark, lake)
+        return remember(spark, sf_dir, lake)
