@@ -21,6 +21,7 @@ from roadbook.sources import bronze
 from roadbook.sources.bronze import Days, on_days
 from roadbook.sources.lake import (
     Lake,
+    days_on_file,
     read_gold,
     read_silver,
     register_views,
@@ -54,8 +55,10 @@ def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Clean the raw datasets, all days or the given ones."""
 
     def write(spec: DatasetSpec) -> None:
-        raw = bronze.read_raw(spark, lake.raw(spec.name), spec, days)
-        write_days(clean(raw, spec), lake.staging(spec.name), spec.keys, gather=_several(days))
+        source = lake.raw(spec.name)
+        covered = days_on_file(spark, source) if days is None else days
+        rows = clean(bronze.read_raw(spark, source, spec, days), spec)
+        write_days(rows, lake.staging(spec.name), spec.keys, _several(days), covered)
 
     at_once(partial(write, spec) for spec in DATASETS)
 
@@ -78,7 +81,9 @@ def build_gold(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Aggregate silver into the gold tables, all days or the given ones."""
 
     def write(name: str, table: DataFrame) -> None:
-        write_days(table, lake.curated(name), [GOLD_KEYS[name]], gather=_several(days))
+        path = lake.curated(name)
+        covered = days_on_file(spark, path) if days is None else days
+        write_days(table, path, [GOLD_KEYS[name]], _several(days), covered)
 
     at_once(partial(write, name, table) for name, table in gold_tables(spark, lake, days).items())
 

@@ -7,7 +7,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.spec import ARRIVAL, CORRUPT, DatasetSpec
@@ -17,6 +17,11 @@ log = logging.getLogger(__name__)
 Days = Sequence[dt.date | str] | None
 
 
+def _reader(spark: SparkSession) -> DataFrameReader:
+    """Other files in a raw folder are not data."""
+    return spark.read.option("pathGlobFilter", "*.json")
+
+
 def _or_empty(spark: SparkSession, path: str, schema, read) -> DataFrame:
     """The result of ``read``, or no rows of ``schema`` where nothing lies at ``path``."""
     try:
@@ -47,7 +52,8 @@ def read_raw(
         spark,
         path,
         spec.raw_schema,
-        lambda: spark.read.schema(spec.raw_schema)
+        lambda: _reader(spark)
+        .schema(spec.raw_schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
         .select("*", F.col("_metadata.file_name"), F.col("_metadata.file_block_start")),
@@ -74,18 +80,18 @@ def read_raw_fields(
     """Only some fields of a raw dataset and ``dt``, for queries that go to bronze directly."""
     schema = spec.raw_schema
     wanted = type(schema)([schema[name] for name in (*fields, "dt")])
-    return _or_empty(spark, path, wanted, lambda: spark.read.schema(wanted).json(path))
+    return _or_empty(spark, path, wanted, lambda: _reader(spark).schema(wanted).json(path))
 
 
 def infer_raw(spark: SparkSession, path: str) -> DataFrame:
     """A raw dataset with the types Spark finds in it. Reads everything once more to find them."""
-    return spark.read.json(path)
+    return _reader(spark).json(path)
 
 
 def raw_lines(spark: SparkSession, path: str, days: Days = None) -> DataFrame:
     """The non-blank lines of a raw dataset, unparsed: one row (``dt``) per record."""
     schema = "value string, dt date"
-    lines = _or_empty(spark, path, schema, lambda: spark.read.schema(schema).text(path))
+    lines = _or_empty(spark, path, schema, lambda: _reader(spark).schema(schema).text(path))
     return lines.where(on_days(days) & (F.trim("value") != "")).select("dt")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import datetime as dt
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +32,44 @@ class Lake:
         return f"{self.base}/cost_comparison"
 
 
+def _folder(spark: SparkSession, path: str):
+    """A folder with the file system it lies on (Hadoop objects)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def days_on_file(spark: SparkSession, path: str) -> list[str]:
+    """The days that have a folder at ``path``; none if there is nothing."""
+    folder, files = _folder(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(name.removeprefix("dt=") for name in names if name.startswith("dt="))
+
+
+def _any_file(spark: SparkSession, path: str):
+    """One file of a folder, or None."""
+    folder, files = _folder(spark, path)
+    listed = files.listStatus(folder) if files.exists(folder) else []
+    return next((status.getPath() for status in listed if status.isFile()), None)
+
+
 def write_days(
-    table: DataFrame, path: str, sort_by: Sequence[str] = (), gather: bool = True
+    table: DataFrame,
+    path: str,
+    sort_by: Sequence[str] = (),
+    gather: bool = True,
+    covers: Iterable[dt.date | str] = (),
 ) -> None:
     """Write a table as Parquet, one folder per ``dt``; only the days it holds are replaced.
 
     ``gather`` shuffles each day into files of the advisory partition size: a small day becomes
     one file, a day of terabytes is split over many tasks. A table of a single day can do without.
     Rows are sorted inside a file, so that row-group statistics help filters on these columns.
+
+    ``covers`` names the days the table speaks for. One of them that it has no rows for is removed:
+    it is known by a file from before, which the write would have replaced.
     """
+    spark = table.sparkSession
+    before = [_any_file(spark, f"{path}/dt={day}") for day in covers]
     if gather:
         table = table.hint("rebalance", F.col("dt"))
     (
@@ -49,6 +79,10 @@ def write_days(
         .partitionBy("dt")
         .parquet(path)
     )
+    _, files = _folder(spark, path)
+    for file in before:
+        if file is not None and files.exists(file):
+            files.delete(file.getParent(), True)
 
 
 def read_silver(spark: SparkSession, lake: Lake, spec: DatasetSpec) -> DataFrame:

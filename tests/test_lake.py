@@ -299,6 +299,63 @@ def test_rerun_of_a_day_replaces_it_and_leaves_the_others(spark, filled):
     assert again[0] == before[0] and len(again) == 2
 
 
+@pytest.mark.parametrize("only", [None, [DAY_2]])
+def test_day_that_lost_all_its_rows_is_removed(spark, filled, only):
+    job.build_silver(spark, filled)
+    job.build_gold(spark, filled)
+    land_lines(filled, DELIVERY_COMPLETIONS, DAY_2, [delivery(1, DAY_2, distance_km="bad")])
+    job.build_silver(spark, filled, only)
+    job.build_gold(spark, filled, only)
+    assert zones.days_on_file(spark, filled.staging("delivery_completions")) == [str(DAY_1)]
+    assert zones.days_on_file(spark, filled.curated("delivery_sla_compliance")) == [str(DAY_1)]
+    performance = zones.read_gold(spark, filled, "driver_performance")
+    assert rows(performance.where(F.col("dt") == F.lit(DAY_2)), "deliveries_assigned") == [(0,), (0,)]
+
+
+def test_dataset_that_is_gone_leaves_silver_alone(spark, filled):
+    job.build_silver(spark, filled)
+    elsewhere = zones.Lake(filled.base + "-none")
+    spec = DELIVERY_COMPLETIONS
+    empty = job.clean(bronze.read_raw(spark, elsewhere.raw(spec.name), spec), spec)
+    zones.write_days(empty, filled.staging(spec.name), spec.keys)
+    assert zones.days_on_file(spark, filled.staging(spec.name)) == [str(DAY_1), str(DAY_2)]
+
+
+def test_other_files_in_a_raw_folder_are_no_data(spark, filled):
+    folder = f"{filled.raw('vehicle_telemetry')}/dt={DAY_1}"
+    with open(f"{folder}/README.txt", "w") as out:
+        out.write("not data\n")
+    path = filled.raw("vehicle_telemetry")
+    assert bronze.read_raw(spark, path, VEHICLE_TELEMETRY).count() == 14
+    assert bronze.raw_lines(spark, path).count() == 14
+
+
+def test_sql_on_the_views_gives_the_same_answers(spark, filled):
+    answers = job.run(spark, filled).queries
+
+    def ask(sql):
+        return rows(spark.sql(sql))
+
+    assert rows(answers["city_sla_trend"]) == ask(
+        "SELECT dt, city, sla_compliance_pct, total_deliveries FROM delivery_sla_compliance"
+    )
+    assert rows(answers["worst_sla_city_days"]) == ask(
+        """SELECT dt, city, breached_deliveries, avg_breach_overage_minutes, sla_compliance_pct
+           FROM delivery_sla_compliance WHERE breached_deliveries > 0"""
+    )
+    assert rows(answers["utilization_vs_hours"]) == ask(
+        """SELECT f.dt, f.vehicle_id, f.active_time_pct, round(avg(p.hours_worked), 2)
+           FROM daily_fleet_utilization f LEFT JOIN driver_performance p ON f.dt = p.dt
+           GROUP BY f.dt, f.vehicle_id, f.active_time_pct"""
+    )
+    assert rows(answers["driver_leaderboard_7d"]) == ask(
+        """SELECT driver_id, sum(deliveries_completed), sum(on_time_deliveries)
+           FROM driver_performance
+           WHERE dt >= (SELECT cast(max(dt) AS date) - INTERVAL 6 DAY FROM driver_performance)
+           GROUP BY driver_id HAVING sum(deliveries_completed) >= 5"""
+    )
+
+
 def test_catalog_names(spark, filled, tmp_path):
     job.build_silver(spark, filled)
     job.build_gold(spark, filled)
