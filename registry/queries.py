@@ -60,7 +60,7 @@ def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
 
 
 def _six_places(df: DataFrame, *columns: str) -> DataFrame:
-    """Float aggregates that are not rounded, to six places, so that summation order is no matter."""
+    """Unrounded float aggregates to six places, so that summation order is no matter."""
     return df.withColumns({c: round_half_up(F.col(c), 6) for c in columns})
 
 

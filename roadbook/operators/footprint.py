@@ -42,7 +42,7 @@ def scan_footprint(scenario: str, files: DataFrame, matched: DataFrame) -> DataF
 
 
 def scan_cost_comparison(footprints: DataFrame, city: str, day: str) -> DataFrame:
-    """The ``before`` and ``after`` footprints of a question as one record, with saving and costs."""
+    """The ``before`` and ``after`` footprints of a question in one record, with the saving."""
 
     def of(scenario: str) -> Column:
         names = ("bytes_scanned", "files_touched", "rows_matched")

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from roadbook.operators import footprint, reports
 from roadbook.operators.cleaning import clean
 from roadbook.plans import analytics, gold
+from roadbook.session import shuffles_sized_for
 from roadbook.sources import bronze
 from roadbook.sources.bronze import Days, on_days
 from roadbook.sources.lake import (
     Lake,
+    bytes_on_file,
     days_on_file,
     read_gold,
     read_silver,
@@ -60,7 +62,9 @@ def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
         rows = clean(bronze.read_raw(spark, source, spec, days), spec)
         write_days(rows, lake.staging(spec.name), spec.keys, _several(days), covered)
 
-    at_once(partial(write, spec) for spec in DATASETS)
+    largest = max(bytes_on_file(spark, lake.raw(spec.name), days) for spec in DATASETS)
+    with shuffles_sized_for(spark, largest):
+        at_once(partial(write, spec) for spec in DATASETS)
 
 
 def gold_tables(spark: SparkSession, lake: Lake, days: Days = None) -> dict[str, DataFrame]:
@@ -85,7 +89,10 @@ def build_gold(spark: SparkSession, lake: Lake, days: Days = None) -> None:
         covered = days_on_file(spark, path) if days is None else days
         write_days(table, path, [GOLD_KEYS[name]], _several(days), covered)
 
-    at_once(partial(write, name, table) for name, table in gold_tables(spark, lake, days).items())
+    largest = max(bytes_on_file(spark, lake.staging(spec.name), days) for spec in DATASETS)
+    tables = gold_tables(spark, lake, days)
+    with shuffles_sized_for(spark, largest):
+        at_once(partial(write, name, table) for name, table in tables.items())
 
 
 def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:

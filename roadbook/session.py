@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
-    """Start or get a session. Sizes (executors, memory, shuffle partitions) stay with the cluster."""
+    """Start or get a session. Executors and memory are the cluster's to size."""
     builder = (
         SparkSession.builder.appName("roadbook")
         .config("spark.ui.enabled", "false")
@@ -30,6 +32,36 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input per shuffle partition, and the most partitions that pay off: above it the blocks that pass
+# between map and reduce tasks (one for each pair) get too small and too many.
+BYTES_PER_PARTITION = 256 * 1024**2
+MOST_PARTITIONS = 50_000
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Start shuffles with enough partitions for the input; never with fewer than configured.
+
+    Adaptive execution joins partitions that turn out small, but does not split those of an
+    aggregation or a window, so the number to start from has to grow with the data.
+    """
+    before = spark.conf.get(PARTITIONS, None)
+    configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
+    if wanted <= configured:
+        yield
+        return
+    spark.conf.set(PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PARTITIONS)
+        else:
+            spark.conf.set(PARTITIONS, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder the cluster shares between its machines.
 

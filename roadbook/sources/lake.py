@@ -41,10 +41,21 @@ def _folder(spark: SparkSession, path: str):
 def days_on_file(spark: SparkSession, path: str) -> list[str]:
     """The days that have a folder at ``path``; none if there is nothing."""
     folder, files = _folder(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    listed = files.listStatus(folder) if files.exists(folder) else []
+    names = [status.getPath().getName() for status in listed]
     return sorted(name.removeprefix("dt=") for name in names if name.startswith("dt="))
 
 
+def bytes_on_file(spark: SparkSession, path: str, days: Sequence[dt.date | str] | None) -> int:
+    """Size of a table, or of some of its days; 0 where there is nothing."""
+    total = 0
+    for place in [path] if days is None else [f"{path}/dt={day}" for day in days]:
+        folder, files = _folder(spark, place)
+        if files.exists(folder):
+            total += files.getContentSummary(folder).getLength()
+    return total
+
+
 def _any_file(spark: SparkSession, path: str):
     """One file of a folder, or None."""
     folder, files = _folder(spark, path)

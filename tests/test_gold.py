@@ -17,7 +17,7 @@ def at(hour, minute=0, second=0, micro=0):
 
 def table(spark, spec, records):
     fields = [f.name for f in spec.silver_schema]
-    data = [tuple((DAY if f == "dt" else None) if f not in r else r[f] for f in fields) for r in records]
+    data = [tuple(({"dt": DAY} | r).get(f) for f in fields) for r in records]
     return spark.createDataFrame(data, spec.silver_schema)
 
 
@@ -29,6 +29,15 @@ def deliveries(spark, *records):
     return table(spark, DELIVERY_COMPLETIONS, records)
 
 
+def worked(driver, start, end, break_minutes=0.0):
+    return {
+        "driver_id": driver,
+        "clock_in": start,
+        "clock_out": end,
+        "break_minutes": break_minutes,
+    }
+
+
 def done(driver="A", minutes=30.0, promised=45.0, status="COMPLETED", city="Pune", **fields):
     start = at(9)
     end = None if minutes is None else start + dt.timedelta(minutes=minutes)
@@ -55,9 +64,9 @@ def test_shift_hours_of_closed_shifts(spark):
     got = gold.shift_hours(
         shifts(
             spark,
-            {"driver_id": "A", "clock_in": at(8, 43), "clock_out": at(16, 37, 50, 562497), "break_minutes": 15.0},
-            {"driver_id": "B", "clock_in": at(8), "clock_out": at(10), "break_minutes": None},
-            {"driver_id": "C", "clock_in": at(8), "clock_out": None, "break_minutes": 15.0},
+            worked("A", at(8, 43), at(16, 37, 50, 562497), 15.0),
+            worked("B", at(8), at(10), None),
+            worked("C", at(8), None, 15.0),
         )
     )
     assert rows(got, "driver_id", "hours_worked") == [("A", 7.66), ("B", 2.0)]
@@ -92,18 +101,21 @@ def test_delivery_sla_compliance(spark):
             done(minutes=None, status="FAILED", city="Noida"),
         )
     )
-    assert rows(got) == [(DAY, "Noida", 1, 1, 0, 0, None, None), (DAY, "Pune", 7, 1, 1, 2, 3.0, 25.0)]
+    assert rows(got) == [
+        (DAY, "Noida", 1, 1, 0, 0, None, None),
+        (DAY, "Pune", 7, 1, 1, 2, 3.0, 25.0),
+    ]
 
 
 def performance(spark, **options):
     return gold.driver_performance(
         shifts(
             spark,
-            {"driver_id": "A", "clock_in": at(6), "clock_out": at(8), "break_minutes": 0.0},
-            {"driver_id": "A", "clock_in": at(10), "clock_out": at(13), "break_minutes": 0.0},
-            {"driver_id": "C", "clock_in": at(6), "clock_out": at(7), "break_minutes": 0.0},
-            {"driver_id": "D", "clock_in": at(6), "clock_out": None, "break_minutes": 0.0},
-            {"driver_id": None, "clock_in": at(6), "clock_out": at(7), "break_minutes": 0.0},
+            worked("A", at(6), at(8)),
+            worked("A", at(10), at(13)),
+            worked("C", at(6), at(7)),
+            worked("D", at(6), None),
+            worked(None, at(6), at(7)),
         ),
         deliveries(spark, done(), done("B", minutes=60.0), done(None)),
         **options,

@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from roadbook import session
 from roadbook.__main__ import main as command
 from roadbook.operators import footprint, reports
 from roadbook.plans import job
@@ -406,6 +407,23 @@ def test_report_is_one_json_object(spark, tmp_path):
     assert json.load(open(file)) == {"n": 1, "s": "a"}
 
 
+def test_shuffles_grow_with_the_input(spark, filled):
+    path = filled.raw("vehicle_telemetry")
+    sizes = [os.path.getsize(f) for f in sorted(glob.glob(f"{path}/*/*.json"))]
+    assert zones.bytes_on_file(spark, path, None) == sum(sizes)
+    assert zones.bytes_on_file(spark, path, [DAY_1, DAY_3]) == sizes[0]
+    assert zones.bytes_on_file(spark, path + "-none", None) == 0
+
+    def partitions(size):
+        with session.shuffles_sized_for(spark, size):
+            return spark.conf.get(session.PARTITIONS, None)
+
+    assert partitions(10 * 1024**2) is None
+    assert partitions(1024**4) == "4096"
+    assert partitions(100 * 1024**4) == str(session.MOST_PARTITIONS)
+    assert spark.conf.get(session.PARTITIONS, None) is None
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")

@@ -34,7 +34,9 @@ def collected(df):
 
 
 def test_underutilized_vehicles(spark):
-    table = fleet(spark, (1, "B", 10.0, 50.0), (2, "B", 11.0, 60.0), (1, "A", 4.0, 55.0), (1, "C", 1.0, None))
+    table = fleet(
+        spark, (1, "B", 10.0, 50.0), (2, "B", 11.0, 60.0), (1, "A", 4.0, 55.0), (1, "C", 1.0, None)
+    )
     got = collected(analytics.underutilized_vehicles(table))
     assert got == [("A", 55.0, 4.0), ("B", 55.0, 10.5), ("C", None, 1.0)]
     assert collected(analytics.underutilized_vehicles(table, k=1)) == [("A", 55.0, 4.0)]
@@ -61,18 +63,30 @@ def test_city_sla_trend(spark):
         (d(1), "Pune", 80.0, 4),
         (d(2), "Pune", 90.0, 5),
     ]
-    assert collected(analytics.city_sla_trend(table, d(2), "2024-03-09")) == [(d(2), "Pune", 90.0, 5)]
+    later = analytics.city_sla_trend(table, d(2), "2024-03-09")
+    assert collected(later) == [(d(2), "Pune", 90.0, 5)]
 
 
 def test_worst_sla_city_days(spark):
-    table = sla(spark, (1, "Pune", 9, 2, 1.0), (2, "Delhi", 9, 2, 2.0), (1, "Delhi", 9, 2, 3.0), (3, "Delhi", 9, 0, 4.0), (4, "Delhi", 9, 7, 5.0))
+    table = sla(
+        spark,
+        (1, "Pune", 9, 2, 1.0),
+        (2, "Delhi", 9, 2, 2.0),
+        (1, "Delhi", 9, 2, 3.0),
+        (3, "Delhi", 9, 0, 4.0),
+        (4, "Delhi", 9, 7, 5.0),
+    )
     got = [r[:3] for r in collected(analytics.worst_sla_city_days(table, k=3))]
     assert got == [(d(4), "Delhi", 7), (d(1), "Delhi", 2), (d(1), "Pune", 2)]
 
 
 def test_utilization_vs_hours(spark):
-    vehicles = fleet(spark, (2, "A", 1.0, 70.0), (1, "B", 1.0, 50.0), (1, "A", 1.0, 60.0), (3, "A", 1.0, 80.0))
-    people = drivers(spark, (1, "x", 8.0, 0, 0), (1, "y", 7.01, 0, 0), (1, "z", None, 0, 0), (3, "x", None, 0, 0))
+    vehicles = fleet(
+        spark, (2, "A", 1.0, 70.0), (1, "B", 1.0, 50.0), (1, "A", 1.0, 60.0), (3, "A", 1.0, 80.0)
+    )
+    people = drivers(
+        spark, (1, "x", 8.0, 0, 0), (1, "y", 7.01, 0, 0), (1, "z", None, 0, 0), (3, "x", None, 0, 0)
+    )
     expected = [
         (d(1), "A", 60.0, 7.51),
         (d(1), "B", 50.0, 7.51),
@@ -86,7 +100,10 @@ def test_utilization_vs_hours(spark):
 
 
 def test_raw_city_day_sla_counts_repeats_and_cuts_minutes(spark):
-    schema = "city string, status string, assigned_at string, completed_at string, promised_minutes string, dt date"
+    schema = (
+        "city string, status string, assigned_at string, completed_at string, "
+        "promised_minutes string, dt date"
+    )
     start = "2024-03-01T09:00:00"
     on_time = ("Delhi", "COMPLETED", start, "2024-03-01T09:30:54", "30", d(1))
     df = spark.createDataFrame(
@@ -217,7 +234,8 @@ def test_trend_and_lookup_read_the_named_days_and_columns(gold_on_disk, plan):
     assert "failed_deliveries" not in trend
     point = plan(analytics.sla_point_lookup(table, "Delhi", d(2)))
     assert "PushedFilters: [IsNotNull(city), EqualTo(city,Delhi)]" in point
-    assert "ReadSchema: struct<city:string,total_deliveries:bigint,sla_compliance_pct:double>" in point
+    read = "struct<city:string,total_deliveries:bigint,sla_compliance_pct:double>"
+    assert f"ReadSchema: {read}" in point
 
 
 def test_kpis_are_one_aggregation_without_a_cross_join(gold_on_disk, plan):
