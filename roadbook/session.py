@@ -67,7 +67,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     A machine-local folder is made only for a local session that names no shared one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")

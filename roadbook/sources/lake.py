@@ -38,6 +38,11 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+
+
 def days_on_file(spark: SparkSession, path: str) -> list[str]:
     """The days that have a folder at ``path``; none if there is nothing."""
     folder, files = _folder(spark, path)

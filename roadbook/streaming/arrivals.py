@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from roadbook.plans import job
-from roadbook.sources.lake import Lake
+from roadbook.sources.lake import Lake, make_folder
 from roadbook.spec import DATASETS
 
 # Fixed value: what the binary file source yields, and the day from the folder name.
@@ -35,7 +35,12 @@ def arriving_days(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> StreamingQuery:
-    """Bring silver and gold up to date with the raw zone, then stop. Run it whenever data lands."""
+    """Bring silver and gold up to date with the raw zone, then stop. Run it whenever data lands.
+
+    A dataset of which nothing has arrived yet is watched as well.
+    """
+    for spec in DATASETS:
+        make_folder(spark, lake.raw(spec.name))
 
     def rebuild(batch: DataFrame, _: int) -> None:
         days = [row.dt for row in batch.distinct().collect()]  # one row per day

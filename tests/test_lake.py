@@ -441,7 +441,11 @@ def test_arriving_files_rebuild_their_days_only(spark, lake, tmp_path):
         pattern = f"{lake.base}/*/*/dt=*/*.parquet"
         return {f: os.path.getmtime(f) for f in glob.glob(pattern)}
 
+    land_lines(lake, DRIVER_SHIFT_LOGS, DAY_1, [shift("DRV-001", DAY_1)])  # the others come later
+    refresh()
+    assert zones.read_gold(spark, lake, "driver_performance").count() == 1
     fill(lake, DAY_1)
+    land_lines(lake, DRIVER_SHIFT_LOGS, DAY_1, [shift("DRV-004", DAY_1)], part=1)
     refresh()
     first = written()
     fill(lake, DAY_2)
