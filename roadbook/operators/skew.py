@@ -1,39 +1,48 @@
 """A full outer join that a hot key cannot stall.
 
 Spark splits skewed partitions of inner and one-sided outer joins at run time, but not of a full
-outer join: all rows of a key meet in one task. Here the hot keys are found first and split.
+outer join, which also keeps all rows of a key in memory. Here the join is a left join, which
+streams them, with hot keys split over tasks, and the rows that matched nothing are added.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot above this many rows, and is split into parts of about as many.
 ROWS_PER_PART = 2_000_000
 # Keys that can be split at once. Any further key holds under 1/1000 of the rows: it stays whole.
 MOST_HOT_KEYS = 1_000
+# Rows without a key match nothing, so they can go to any of this many parts.
+PARTS_WITHOUT_KEY = 1_000
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
-    """The largest keys above ``rows_per_part`` rows with ``parts``, how many to split each into.
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
+def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many rows (``_rows``) each key has."""
+    return df.where(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(counts: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The largest keys above ``rows_per_part`` rows with ``_parts``, how many to split each into.
 
     At most MOST_HOT_KEYS rows whatever the size of the data, so the result may be broadcast.
     """
     rows = F.col("_rows")
     return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(rows > rows_per_part)
+        counts.where(rows > rows_per_part)
         .orderBy(rows.desc())
         .limit(MOST_HOT_KEYS)
-        .select(*keys, F.ceil(rows / rows_per_part).cast("int").alias("parts"))
+        .withColumn("_parts", F.ceil(rows / rows_per_part).cast("int"))
+        .drop("_rows")
     )
 
 
@@ -49,25 +58,25 @@ def full_outer_one_to_many(
     Rows of a hot key in ``many`` are spread over parts by a hash of ``spread_by``, and its row of
     ``one`` is repeated for every part. The result is the same as that of the plain join.
     """
-    hot = F.broadcast(hot_keys(many, keys, rows_per_part))
-
-    def with_parts(df: DataFrame) -> DataFrame:
-        # Both sides look keys up in the same way, so that Spark finds the hot ones only once.
-        same_key = [F.col(f"df.{k}").eqNullSafe(F.col(f"hot.{k}")) for k in keys]
-        parts = F.coalesce("hot.parts", F.lit(1)).alias("_parts")
-        return df.alias("df").join(hot.alias("hot"), same_key, "left").select("df.*", parts)
-
-    part_of_row = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
-    spread = with_parts(many).select(
-        *many.columns, part_of_row.alias("_part"), F.lit(True).alias("_matched")
-    )
-    # A NULL key matches nothing, so its row of ``one`` is not repeated.
-    last_part = F.when(reduce(or_, [F.col(k).isNull() for k in keys]), 0).otherwise(
-        F.col("_parts") - 1
+    keys = list(keys)
+    counts = rows_per_key(many, keys)
+    hot = F.broadcast(hot_keys(counts, rows_per_part))
+    # Part 0 has the row of ``one``, so rows without a key stay out of it.
+    part_of_key = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1)))
+    part_of_none = F.pmod(F.xxhash64(*spread_by), F.lit(PARTS_WITHOUT_KEY)) + 1
+    part = F.when(_has_key(keys), part_of_key).otherwise(part_of_none).cast("int")
+    spread = many.join(hot, keys, "left").withColumn("_part", part).drop("_parts")
+    every_part = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = one.join(hot, keys, "left").withColumn("_part", F.explode(every_part)).drop("_parts")
+    # Compared with <=>, or Spark would filter NULL keys out of ``one`` here but not below, and so
+    # compute it twice.
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*keys, "_part")]
+    joined = (
+        spread.alias("m")
+        .join(repeated.alias("o"), same, "left")
+        .select("m.*", *[f"o.`{c}`" for c in one.columns if c not in keys])
+        .drop("_part")
     )
-    repeated = with_parts(one).withColumn("_part", F.explode(F.sequence(F.lit(0), last_part)))
-    joined = repeated.join(spread, [*keys, "_part"], "full_outer")
-    # A repeated row that met nothing is surplus: a hot key has rows in ``many`` by definition.
-    has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    surplus = F.col("_matched").isNull() & (F.col("_parts") > 1) & has_key
-    return joined.where(~F.coalesce(surplus, F.lit(False))).drop("_part", "_parts", "_matched")
+    # The condition is always true; with it, Spark sees the counts of ``hot`` again and reuses them.
+    alone = one.join(counts.where("_rows > 0"), keys, "left_anti")
+    return joined.unionByName(alone, allowMissingColumns=True)

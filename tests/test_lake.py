@@ -3,6 +3,7 @@ import glob
 import json
 import logging
 import os
+import re
 
 import pytest
 from conftest import rows
@@ -201,6 +202,19 @@ def test_inferred_scan_finds_types(spark, filled):
     assert dict(raw.dtypes)["dt"] == "date"
 
 
+@pytest.mark.parametrize("spec", DATASETS, ids=lambda spec: spec.name)
+def test_cleaning_parses_once_and_stays_small_enough_to_be_compiled(spark, filled, plan, spec):
+    cleaned = job.clean(bronze.read_raw(spark, filled.raw(spec.name), spec), spec)
+    text = plan(cleaned)
+    checks = [line for line in text.splitlines() if "Filter " in line and "_rank" not in line]
+    assert checks and not any("cast(" in line for line in checks)
+    cleaned.collect()
+    execution = cleaned._jdf.queryExecution()
+    stages = spark._jvm.PythonSQLUtils.explainString(execution, "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", stages)]
+    assert sizes and max(sizes) < 8000  # the JVM interprets larger methods
+
+
 # --- silver and gold on disk ------------------------------------------------------------------
 
 
