@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from roadbook.llm.words import ids_and_texts
 
-MOST_WORDS_KEPT = 300_000
+# What each worker remembers; beyond it, it starts anew.
+MOST_WORDS_KEPT, MOST_PARTS_KEPT = 400_000, 800_000
 TEXTS_AT_ONCE = 512
 # Relative cost of a token, and of a pair of tokens within a piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
@@ -41,31 +43,68 @@ _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 _PLAIN_SPACE = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
+# A word of plain letters and the punctuation after it, which the tokenizer always parts.
+_LETTERS_THEN_MARKS = re.compile(
+    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-^`{-~]*)"
+)
+
+
+# How byte-level vocabularies write the bytes that are not printable: the n-th one as 256 + n.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
+
+
 class WordIds:
     """Token ids of texts, packed as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and no token crosses it, so that words are encoded one by one
-    and the ids of words seen before are kept.
+    The tokenizer drops white space, no token crosses it, and case makes no difference to it. So
+    words are encoded one by one, and what was encoded before is kept: whole words for speed, and
+    lower-case letters and marks apart, of which there are far fewer than words.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_PLAIN_SPACE.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        new = list(set().union(*cut) - self.known.keys())
-        if len(self.known) + len(new) > MOST_WORDS_KEPT:
+        cut, bounds = [], [0]
+        for text in texts:
+            cut += _PLAIN_SPACE.findall(text) if _ODD_SPACE.search(text) else text.split()
+            bounds.append(len(cut))
+        codes = list(map(self.known.get, cut))
+        if len(self.known) > MOST_WORDS_KEPT:
             self.known.clear()
-            new = list(set().union(*cut))
-        for word, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        if len(self.parts) > MOST_PARTS_KEPT:
+            self.parts.clear()
+        for i, code in enumerate(codes):
+            if code is None:
+                codes[i] = self.known.get(cut[i]) or self._learn(cut[i])
+        return [b"".join(codes[begin:end]) for begin, end in zip(bounds, bounds[1:])]
+
+    def _learn(self, word: str) -> bytes:
+        match = _LETTERS_THEN_MARKS.fullmatch(word)
+        if match:
+            letters, marks = match.groups()
+            code = self._part(letters.lower()) + (self._part(marks) if marks else b"")
+        else:
+            code = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self.known[word] = code
+        return code
+
+    def _part(self, part: str) -> bytes:
+        """Ids of lower-case letters or of marks, which the vocabulary's merges alone decide."""
+        code = self.parts.get(part)
+        if code is None:
+            written = part.encode().decode("latin-1").translate(_WRITTEN)
+            code = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+            self.parts[part] = code
+        return code
 
 
 @lru_cache(maxsize=2)

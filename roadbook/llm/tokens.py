@@ -13,7 +13,7 @@ spaces, which no symbol of the vocabulary crosses, and a run without spaces is o
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,11 +25,9 @@ from roadbook.llm.words import ids_and_texts
 NONE = np.int32(2**31 - 1)
 SPACE = "▁"
 # Counts of words already seen are kept by each worker up to so many words; then it starts anew.
-MOST_WORDS_KEPT = 400_000
+MOST_WORDS_KEPT = 800_000
 TEXTS_AT_ONCE = 512
 
-_PRE_TOKEN = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+")
-
 
 class Merges:
     """Symbols and ranked pairs of a byte-fallback BPE vocabulary."""
@@ -46,6 +44,7 @@ class Merges:
         }
         if any(SPACE in piece.lstrip(SPACE) or "\n" in piece for piece in scores):
             raise ValueError("a symbol of this vocabulary crosses a space or a line end")
+        self.pre_token = _pre_token(scores)
         self.symbols = {piece: i for i, piece in enumerate(scores)}
         for piece in scores:
             for char in piece:
@@ -157,6 +156,20 @@ class Merges:
         return hits[leftmost | ~np.isin(own, early)]
 
 
+def _pre_token(pieces: Iterable[str]) -> re.Pattern:
+    """What texts are cut by: no piece crosses the end of a match.
+
+    Spaces go with what follows. Letters are cut from other characters if no piece has both.
+    """
+    letters = {c for piece in pieces for c in piece if c.isalpha()}
+    for piece in pieces:
+        own = [c in letters for c in piece.lstrip(SPACE)]
+        if any(own) and not all(own):
+            return re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+")
+    known = "".join(sorted(letters))
+    return re.compile(f"{SPACE}*[{known}]+|{SPACE}*[^{SPACE}\\n{known}]+|{SPACE}+")
+
+
 @lru_cache(maxsize=2)
 def merges(path: str) -> Merges:
     return Merges(path)
@@ -170,17 +183,23 @@ class Counter:
         self.known: dict[str, int] = {}
 
     def count(self, texts: list[str]) -> list[int]:
-        cut = [
-            _PRE_TOKEN.findall((SPACE + text).replace(" ", SPACE)) if text else [] for text in texts
-        ]
-        new = list(set().union(*cut) - self.known.keys())
+        cut, bounds = [], [0]
+        for text in texts:
+            if text:
+                cut += self.merges.pre_token.findall((SPACE + text).replace(" ", SPACE))
+            bounds.append(len(cut))
+        numbers = list(map(self.known.get, cut))
+        new = list({word for word, number in zip(cut, numbers) if number is None})
         if new:
-            if len(self.known) + len(new) > MOST_WORDS_KEPT:
+            if len(self.known) > MOST_WORDS_KEPT:
                 self.known.clear()
-                new = list(set().union(*cut))
+                new = list(set(cut))
             self.known.update(zip(new, self.merges.count(new).tolist()))
-        get = self.known.__getitem__
-        return [sum(map(get, words)) + text.count("\n") for words, text in zip(cut, texts)]
+            numbers = list(map(self.known.__getitem__, cut))
+        return [
+            sum(numbers[begin:end]) + text.count("\n")
+            for begin, end, text in zip(bounds, bounds[1:], texts)
+        ]
 
 
 @lru_cache(maxsize=2)
