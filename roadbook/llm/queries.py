@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import hosts, lines, packing, tokens
+from roadbook.llm import hosts, lines, packing, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,12 @@ def op1_line_dedup(spark, sf_dir):
     )
 
 
+@register
+def op3_substring_dedup(spark, sf_dir):
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", text_digest("text").alias("kept_sha256"))
+
+
 @register
 def op4_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -98,6 +104,31 @@ CHECKED_BY = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), ''))
                 AS kept_sha256
         FROM told GROUP BY doc_id""",
+    "op3_substring_dedup": r"""
+        WITH cut AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), spot AS (
+            SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM cut WHERE len(w) > 19
+        ), placed AS (
+            SELECT doc_id, i, row_number() OVER (
+                PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM spot
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + k AS i
+            FROM placed, (SELECT unnest(range(0, 20)) AS k) WHERE nth > 1
+        ), word AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM cut
+        ), told AS (
+            SELECT word.doc_id, word, word.i, gone.i IS NOT NULL AS removed
+            FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i
+        ), kept AS (
+            SELECT doc_id, count(*) FILTER (removed) AS n_removed,
+                string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS text
+            FROM told GROUP BY doc_id
+        )
+        SELECT cut.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+            sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM cut LEFT JOIN kept ON cut.doc_id = kept.doc_id""",
     "op10_host_rules": r"""
         WITH cut AS (
             SELECT doc_id, source, coalesce(text, '') AS text,
