@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import hosts, lines, packing, substrings, tokens
+from roadbook.llm import hosts, lines, neardup, packing, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op4_packing(spark, sf_dir):
     )
 
 
+@register
+def op5_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
+
+
 @register
 def op9_token_counts(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -129,6 +134,35 @@ CHECKED_BY = {
         SELECT cut.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
             sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM cut LEFT JOIN kept ON cut.doc_id = kept.doc_id""",
+    "op5_near_duplicates": r"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingle AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM cut
+                WHERE len(w) > 0)
+        ), size AS (
+            SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+        ), pair AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+            FROM shingle AS x JOIN shingle AS y ON x.s = y.s AND x.doc_id < y.doc_id
+            GROUP BY x.doc_id, y.doc_id
+        ), link AS (
+            SELECT a, b FROM pair JOIN size AS x ON x.doc_id = a JOIN size AS y ON y.doc_id = b
+            WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+        ), either AS (
+            SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reach.doc_id, either.b FROM reach JOIN either ON either.a = reach.other
+        ), least AS (
+            SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM least LEFT JOIN size USING (doc_id)""",
     "op10_host_rules": r"""
         WITH cut AS (
             SELECT doc_id, source, coalesce(text, '') AS text,
