@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import hosts, lines, neardup, packing, substrings, tokens
+from roadbook.llm import decontam, hosts, lines, neardup, packing, quality, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,13 @@ def op1_line_dedup(spark, sf_dir):
     )
 
 
+@register
+def op2_quality(spark, sf_dir):
+    return quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 @register
 def op3_substring_dedup(spark, sf_dir):
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
@@ -66,6 +73,20 @@ def op5_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
 
 
+@register
+def op8_decontamination(spark, sf_dir):
+    return decontam.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select(
+        "doc_id",
+        "item_id",
+        "first_word",
+        "n_words",
+        F.round("cosine", 4).alias("cosine"),
+        F.round("cover", 4).alias("cover"),
+    )
+
+
 @register
 def op9_token_counts(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
