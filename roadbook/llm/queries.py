@@ -12,7 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import decontam, hosts, lines, neardup, packing, quality, substrings, tokens
+from roadbook.llm import (
+    decontam,
+    hosts,
+    licenses,
+    lines,
+    neardup,
+    packing,
+    pii,
+    quality,
+    substrings,
+    tokens,
+)
+from roadbook.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +32,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    QUERIES[query.__name__] = lambda spark, sf_dir: query(spark, sf_dir.rstrip("/"))
+    QUERIES[query.__name__] = lambda spark, sf_dir: query(ship_package(spark), sf_dir.rstrip("/"))
     return query
 
 
@@ -73,6 +85,23 @@ def op5_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
 
 
+@register
+def op6_personal_data(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.spans_text("base"), 256).alias("base_sha256"),
+        pii.spans_text("spans").alias("spans"),
+    )
+
+
+@register
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_decontamination(spark, sf_dir):
     return decontam.find_leaks(

@@ -1,11 +1,20 @@
-"""Intermediate tables in the folder that the cluster shares."""
+"""Intermediate tables in the folder that the cluster shares, and this package on its executors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
 
+from pyspark.sql import DataFrame, SparkSession
+
+import roadbook
 from roadbook.session import scratch_dir
 
+_SHIPPED: set[str] = set()
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame, written once as Parquet below spark.checkpoint.dir and read from there.
@@ -15,3 +24,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give executors this package, once for each application; Spark serves the file to them."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(roadbook.__file__))
+        folder = tempfile.mkdtemp(prefix="roadbook-")  # the driver serves it while it runs
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = os.path.join(folder, "roadbook.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for top, _, names in os.walk(root):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(top, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return spark
