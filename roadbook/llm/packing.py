@@ -1,7 +1,7 @@
 """Cost-balanced packing of documents into training sequences.
 
-Tokenise once, cut documents into pieces of at most one sequence, spread the pieces over groups of
-bounded size by a hash, and pack each group on its own: pieces in descending length go to the
+Tokenise once, cut documents into pieces of at most one sequence, deal the pieces to partitions by a
+hash, and pack each partition in groups of bounded size: pieces in descending length go to the
 sequence of lowest cost that has room for them. The cost of a sequence is linear in its tokens plus
 quadratic in each of its pieces, as attention within documents costs. A piece that fits nowhere
 whole is cut to fill the sequence of lowest cost that has any room, so sequences end up full. What
@@ -15,7 +15,7 @@ the others; repeated rows are packed again each; an empty table gives no piece.
 
 from __future__ import annotations
 
-import math
+import json
 import re
 import zlib
 from array import array
@@ -24,13 +24,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from roadbook.llm.words import ids_and_texts
 
 # What each worker remembers; beyond it, it starts anew.
-MOST_WORDS_KEPT, MOST_PARTS_KEPT = 400_000, 800_000
+MOST_PARTS_KEPT, MOST_OFTEN = 900_000, 30_000
 TEXTS_AT_ONCE = 512
 # Relative cost of a token, and of a pair of tokens within a piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
@@ -38,72 +38,87 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _CUT = "doc_id long, start long, doc_tokens long, ids binary, hash long"
 
-# Space that the tokenizer and str.split() may not see alike: such texts are cut at plain space only.
-_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_PLAIN_SPACE = re.compile(r"[^ \t\n\x0b\x0c\r]+")
-
-
-# A word of plain letters and the punctuation after it, which the tokenizer always parts.
-_LETTERS_THEN_MARKS = re.compile(
-    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-^`{-~]*)"
-)
-
-
 # How byte-level vocabularies write the bytes that are not printable: the n-th one as 256 + n.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _WRITTEN = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
 
+# The vocabulary's own cut of a text into parts, for lower-case texts of Latin-1 characters. Such
+# texts are in normal form, and none of them can be a special token unless it has its brackets.
+_LETTERS, _NUMBERS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_PART = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
+)
+_NOT_PLAIN = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+_CUT_BY = {
+    "type": "Split",
+    "pattern": {
+        "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    },
+    "behavior": "Removed",
+    "invert": True,
+}
+
 
 class WordIds:
     """Token ids of texts, packed as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space, no token crosses it, and case makes no difference to it. So
-    words are encoded one by one, and what was encoded before is kept: whole words for speed, and
-    lower-case letters and marks apart, of which there are far fewer than words.
+    Texts are cut into the parts that the vocabulary's merges stay within, each part is encoded by
+    the tokenizer's model once, and its ids are kept. Texts with other than Latin-1 characters, and
+    vocabularies that cut in another way, are left to the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
+        # The first parts to come a second time: few enough to stay near the processor.
+        self.often: dict[str, bytes] = {}
+        self.seen: set[str] = set()
+        steps = json.loads(self.tokenizer.to_str())
+        cutting = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        lower = (steps["normalizer"] or {}).get("normalizers", [{}])[-1].get("type") == "Lowercase"
+        self.known_cut = cutting[0] == _CUT_BY and lower
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut, bounds = [], [0]
-        for text in texts:
-            cut += _PLAIN_SPACE.findall(text) if _ODD_SPACE.search(text) else text.split()
-            bounds.append(len(cut))
-        codes = list(map(self.known.get, cut))
-        if len(self.known) > MOST_WORDS_KEPT:
-            self.known.clear()
-        if len(self.parts) > MOST_PARTS_KEPT:
-            self.parts.clear()
+        return [self._plain(t) if self._is_plain(t) else self._whole(t) for t in texts]
+
+    def _is_plain(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return self.known_cut and not any(x in text for x in _NOT_PLAIN)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        parts = _PART.findall(text.lower())
+        codes = list(map(self.often.get, parts))
+        known, more = self.parts.get, MOST_OFTEN - len(self.often)
         for i, code in enumerate(codes):
             if code is None:
-                codes[i] = self.known.get(cut[i]) or self._learn(cut[i])
-        return [b"".join(codes[begin:end]) for begin, end in zip(bounds, bounds[1:])]
-
-    def _learn(self, word: str) -> bytes:
-        match = _LETTERS_THEN_MARKS.fullmatch(word)
-        if match:
-            letters, marks = match.groups()
-            code = self._part(letters.lower()) + (self._part(marks) if marks else b"")
-        else:
-            code = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        self.known[word] = code
-        return code
-
-    def _part(self, part: str) -> bytes:
-        """Ids of lower-case letters or of marks, which the vocabulary's merges alone decide."""
-        code = self.parts.get(part)
-        if code is None:
-            written = part.encode().decode("latin-1").translate(_WRITTEN)
-            code = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-            self.parts[part] = code
+                part = parts[i]
+                code = codes[i] = known(part) or self._learn(part)
+                if more > 0:
+                    self._again(part, code)
+        return b"".join(codes)
+
+    def _again(self, part: str, code: bytes) -> None:
+        if part in self.seen:
+            self.often[part] = code
+        self.seen.add(part)
+
+    def _learn(self, part: str) -> bytes:
+        if len(self.parts) > MOST_PARTS_KEPT:
+            self.parts.clear()
+        written = part.encode().decode("latin-1").translate(_WRITTEN)
+        code = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
+        self.parts[part] = code
         return code
 
 
@@ -153,9 +168,6 @@ def pack(
     if size & (size - 1):
         raise ValueError("the size of a sequence must be a power of two")
     texts = ids_and_texts(docs, id_col, text_col)
-    # About four bytes a token; groups may as well be somewhat larger or smaller.
-    text_bytes = texts.agg(F.sum(F.octet_length("text") + 4)).first()[0] or 0
-    groups = max(1, math.ceil(text_bytes / 4 / group_tokens))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_ids(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
@@ -175,7 +187,8 @@ def pack(
                 yield _batch(rows, _CUT)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in _groups(batches):
+        first = TaskContext.get().partitionId() << 40
+        for rows in _groups(batches, group_tokens):
             lengths = [len(r[3]) // 4 for r in rows]
             placed = [
                 (
@@ -183,36 +196,37 @@ def pack(
                     rows[piece][1] + start,
                     length,
                     rows[piece][2],
-                    (group << 32) + sequence,
+                    first + sequence,
                     offset,
                     rows[piece][3][4 * start : 4 * (start + length)],
                 )
                 for piece, start, length, sequence, offset in pack_group(lengths, size)
             ]
+            first += 1 + max(p[4] for p in placed) - first
             for at in range(0, len(placed), 2000):
                 yield _batch(placed[at : at + 2000], PIECES)
 
-    pieces = texts.mapInArrow(cut, _CUT).withColumn("part", F.pmod("hash", F.lit(groups)))
     return (
-        pieces.repartition("part")
-        .sortWithinPartitions("part", "doc_id", "start", "hash")
-        .select("part", "doc_id", "start", "doc_tokens", "ids")
+        texts.mapInArrow(cut, _CUT)
+        .repartition("hash")
+        .sortWithinPartitions("hash", "doc_id", "start")
+        .select("doc_id", "start", "doc_tokens", "ids")
         .mapInArrow(assign, PIECES)
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of each group; they come sorted by it. A group is bounded by how it was dealt."""
-    group, rows = None, []
+def _groups(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[list[tuple]]:
+    """Rows of about so many tokens together."""
+    rows, held = [], 0
     for batch in batches:
-        for part, *row in zip(*(column.to_pylist() for column in batch.columns)):
-            if part != group and rows:
-                yield group, rows
-                rows = []
-            group = part
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
             rows.append(row)
+            held += len(row[3]) // 4
+            if held >= tokens:
+                yield rows
+                rows, held = [], 0
     if rows:
-        yield group, rows
+        yield rows
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
