@@ -4,17 +4,19 @@ A document's set is its distinct shingles of ``shingle`` lower-cased words, as 6
 Documents of equal sets form a class, found by one aggregation; classes are joined.
 
 Each class has a signature of ``COORDINATES`` minwise tokens. In each of ``trees`` independent trees
-the root sends a class to ``BRANCH`` children, one for each coordinate that the node selects, named
-after the token found there. A node of at most ``LEAF`` classes is compared exhaustively. A larger
+the root sends a class to ``BRANCH`` children, one for each pair of coordinates that the node
+selects, named after the tokens found there: two steps of a path at a time, so that classes that
+share a single token by chance do not meet. A node of at most ``LEAF`` classes is compared exhaustively. A larger
 one branches again, by coordinates of its own, unless its classes are alike on the whole: those
 would only stay together, and the node is cut into blocks, each pair of which is a leaf.
 Two sets of similarity s share a path down to any depth with a probability that a branching process
 gives (``missed``); ``trees`` follows from the recall wanted.
 
-Leaves compare signatures and name candidates, a spanning forest of the likeliest links, which are
-confirmed on full sets. Where classes of one leaf are still apart though their signatures leave a
-link possible, the leaf is compared again, then on the full sets themselves. So all pairs of a leaf
-are decided, while only as many pairs travel as there are classes. Components are found by
+Leaves compare signatures, a byte for each coordinate, and name candidates: a spanning forest of the
+likeliest links, which are confirmed on full sets. Classes that no candidate holds apart are one
+component or cannot be linked. A leaf with a candidate that failed and whose ends are still apart is
+compared again, then on the full sets themselves. So all pairs of a leaf are decided, while only as
+many pairs travel as there are classes. Components are found by
 alternating large-star and small-star steps over the confirmed links.
 
 Defined results: without words or text the set is empty and linked with nothing; with fewer words
@@ -54,7 +56,7 @@ def missed(similarity: float) -> float:
     """Probability that one tree parts two sets of this similarity, at whatever depth."""
     q = 0.0
     for _ in range(200):
-        q = (1 - similarity + similarity * q) ** BRANCH
+        q = (1 - similarity**2 + similarity**2 * q) ** BRANCH
     return q
 
 
@@ -89,12 +91,13 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def features(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n, digest, signature) for docs with doc_id and text."""
+    """(doc_id, n, digest, signature, sketch) for docs with doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in word_slices(batch.column(1)):
                 sets = shingle_sets(words, shingle)
+                signed = signatures(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
@@ -103,12 +106,13 @@ def features(docs: DataFrame, shingle: int) -> DataFrame:
                             [blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                             pa.binary(),
                         ),
-                        pa.array([s.tobytes() for s in signatures(sets)], pa.binary()),
+                        pa.array([s.tobytes() for s in signed], pa.binary()),
+                        pa.array([s.astype(np.uint8).tobytes() for s in signed], pa.binary()),
                     ],
-                    ["doc_id", "n", "digest", "signature"],
+                    ["doc_id", "n", "digest", "signature", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, signature binary")
+    return docs.mapInArrow(run, "doc_id long, n long, digest binary, signature binary, sketch binary")
 
 
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -126,22 +130,24 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "rep long, hashes binary")
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """Signatures of a column, one row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+def matrix(column: pa.Array, kind=np.uint32) -> np.ndarray:
+    """Signatures or sketches of a column, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, COORDINATES)
 
 
 def _children(node: np.ndarray, signature: np.ndarray) -> np.ndarray:
-    """Child nodes, one column for each coordinate that the node selects."""
+    """Child nodes, one column for each pair of coordinates that the node selects."""
     out = np.empty((len(node), BRANCH), np.uint64)
     rows = np.arange(len(node))
     start = mix(node + np.uint64(1)) % np.uint64(COORDINATES)
+    # Steps of an odd size meet no coordinate twice.
+    step = (mix(node + np.uint64(77)) % np.uint64(COORDINATES // 2)) * np.uint64(2) + np.uint64(1)
     for j in range(BRANCH):
-        # Steps of an odd size meet no coordinate twice.
-        step = (mix(node + np.uint64(77)) % np.uint64(COORDINATES // 2)) * np.uint64(2) + np.uint64(1)
-        coordinate = (start + np.uint64(j) * step) % np.uint64(COORDINATES)
-        token = signature[rows, coordinate.astype(np.int64)].astype(np.uint64)
-        out[:, j] = mix(mix(node + coordinate + np.uint64(1000)) + token)
+        child = mix(node + np.uint64(1000 + j))
+        for k in (2 * j, 2 * j + 1):
+            coordinate = (start + np.uint64(k) * step) % np.uint64(COORDINATES)
+            child = mix(child + signature[rows, coordinate.astype(np.int64)])
+        out[:, j] = child
     return out
 
 
@@ -194,7 +200,7 @@ class Threshold:
 
     def likely(self, i: int, signature, sizes, sides) -> np.ndarray:
         """Agreeing coordinates of row i with each row; 0 where no link is possible."""
-        agree = (signature == signature[i]).sum(axis=1)
+        agree = (signature == signature[i]).sum(axis=1)  # or alike in their last byte
         least, most = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
         possible = (agree >= self.agree) & (100 * least >= self.percent * most)
         if sides.min() != sides.max():  # a pair of blocks: only pairs across
@@ -228,31 +234,39 @@ def forest(signature, sizes, sides, threshold: Threshold) -> list[tuple[int, int
 def _leaf_columns(group: pa.Table):
     return (
         group.column("rep").to_numpy(),
-        matrix(group.column("signature")),
+        matrix(group.column("sketch"), np.uint8),
         group.column("n").to_numpy(),
         group.column("side").to_numpy(),
     )
 
 
 def candidates(leaves: DataFrame, threshold: Threshold) -> DataFrame:
-    """(a, b) with a < b: for each leaf a spanning forest of its likely links."""
+    """(leaf, a, b) with a < b: for each leaf a spanning forest of its likely links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = set()
+        found = []
         for group in _groups(batches):
-            reps, signature, sizes, sides = _leaf_columns(group)
-            for i, j in forest(signature, sizes, sides, threshold):
+            reps, sketch, sizes, sides = _leaf_columns(group)
+            leaf = group.column("leaf")[0].as_py()
+            for i, j in forest(sketch, sizes, sides, threshold):
                 if reps[i] != reps[j]:
-                    found.add((int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))))
+                    found.append((leaf, int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))))
             if len(found) > 10_000:
-                yield _pairs(found)
-                found = set()
-        yield _pairs(found)
+                yield _links(found)
+                found = []
+        yield _links(found)
 
-    rows = leaves.select("leaf", "side", "rep", "n", "signature")
+    rows = leaves.select("leaf", "side", "rep", "n", "sketch")
     return (
-        rows.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, "a long, b long")
-    ).distinct()
+        rows.repartition("leaf")
+        .sortWithinPartitions("leaf", "rep")
+        .mapInArrow(run, "leaf long, a long, b long")
+    )
+
+
+def _links(found: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*found)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["leaf", "a", "b"])
 
 
 def _pairs(found) -> pa.RecordBatch:
@@ -278,45 +292,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def open_members(leaves: DataFrame, threshold: Threshold) -> DataFrame:
-    """(leaf, side, rep, n, signature, component) of classes with a likely link out of theirs.
-
-    leaves has the component of each class; a leaf of one component has nothing to decide.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
-            component = group.column("component").to_numpy()
-            if component.min() == component.max():
-                continue
-            _, signature, sizes, sides = _leaf_columns(group)
-            involved = np.zeros(len(sizes), dtype=bool)
-            # All but the largest component are looked at from their side.
-            values, counts = np.unique(component, return_counts=True)
-            largest = values[counts.argmax()]
-            for i in np.flatnonzero(component != largest).tolist():
-                across = threshold.likely(i, signature, sizes, sides) > 0
-                across &= component != component[i]
-                if across.any():
-                    involved |= across
-                    involved[i] = True
-            yield from group.filter(pa.array(involved)).to_batches()
-
-    rows = leaves.select("leaf", "side", "rep", "n", "signature", "component")
-    return rows.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, rows.schema)
-
-
 def decided(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (a, b) between different components of each leaf, on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            reps, signature, sizes, sides = _leaf_columns(group)
+            reps, sketch, sizes, sides = _leaf_columns(group)
             hashes = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
             component = group.column("component").to_numpy().copy()
             found = set()
             for i in range(len(reps)):
-                likely = threshold.likely(i, signature, sizes, sides)
+                likely = threshold.likely(i, sketch, sizes, sides)
                 for j in np.flatnonzero(likely).tolist():
                     if component[i] != component[j] and threshold.holds(hashes[i], hashes[j]):
                         component[component == component[j]] = component[i]
@@ -324,10 +310,10 @@ def decided(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
             yield _pairs(found)
 
     rows = members.join(sets, "rep").select(
-        "leaf", "side", "rep", "n", "signature", "component", "hashes"
+        "leaf", "side", "rep", "n", "sketch", "component", "hashes"
     )
     return (
-        rows.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, "a long, b long")
+        rows.repartition("leaf").sortWithinPartitions("leaf", "rep").mapInArrow(run, "a long, b long")
     ).distinct()
 
 
@@ -420,7 +406,7 @@ def near_duplicates(
     docs: DataFrame,
     percent: int = 80,
     shingle: int = 5,
-    recall: float = 0.9999999,
+    recall: float = 0.999999,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -431,17 +417,15 @@ def near_duplicates(
     )
     rows = stored(features(texts, shingle), "near-features")
     reps = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = stored(
-        rows.where("n > 0").join(reps, "digest").select("doc_id", "n", "rep", "signature"),
-        "near-members",
-    )
-    classes = members.where("doc_id = rep").dropDuplicates(["rep", "signature"])
-    classes = stored(classes.select("rep", "n", "signature"), "near-classes")
-
-    leaves = stored(
-        leaves_of(classes, trees_for(percent / 100, recall)).join(classes, "rep"), "near-leaves"
-    )
-    pairs = stored(candidates(leaves, threshold), "near-pairs")
+    named = rows.where("n > 0").join(reps, "digest")
+    members = stored(named.select("doc_id", "n", "rep"), "near-members")
+    classes = named.where("doc_id = rep").select("rep", "n", "signature", "sketch")
+    classes = stored(classes.dropDuplicates(["rep", "signature"]), "near-classes")
+
+    leaves = leaves_of(classes, trees_for(percent / 100, recall))
+    sketched = leaves.join(classes.select("rep", "n", "sketch"), "rep")
+    likely = stored(candidates(sketched, threshold), "near-candidates")
+    pairs = stored(likely.select("a", "b").distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = stored(full_sets(texts.join(wanted, "doc_id", "left_semi"), shingle), "near-sets")
     same_id = (
@@ -463,14 +447,22 @@ def near_duplicates(
         "near-links",
     )
     found = components(links)
-    grouped = leaves.join(found, leaves["rep"] == found["id"], "left").select(
-        "leaf", "side", leaves["rep"], "n", "signature", F.coalesce("component", "rep").alias("component")
+    end = [
+        found.select(F.col("id").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab"
+    ]
+    apart = (
+        likely.join(end[0], "a", "left")
+        .join(end[1], "b", "left")
+        .where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b"))
     )
-    still = stored(open_members(grouped, threshold), "near-open")
+    still = stored(apart.select("leaf").distinct(), "near-open")
     if not still.isEmpty():
-        more = stored(decided(still, sets, threshold), "near-more")
+        again = sketched.join(still, "leaf", "left_semi").join(found, F.col("rep") == F.col("id"), "left")
+        again = again.withColumn("component", F.coalesce("component", "rep"))
+        more = stored(decided(again, sets, threshold), "near-more")
         if not more.isEmpty():
-            found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+            known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            found = components(known.unionByName(more))
     in_class = members.join(found, members["rep"] == found["id"], "left").select(
         "doc_id", "n", F.coalesce("component", "rep").alias("component")
     )

@@ -116,7 +116,9 @@ class WordIds:
     def _learn(self, part: str) -> bytes:
         if len(self.parts) > MOST_PARTS_KEPT:
             self.parts.clear()
-        written = part.encode().decode("latin-1").translate(_WRITTEN)
+        written = part
+        if not part.isascii() or not part.isprintable():
+            written = part.encode().decode("latin-1").translate(_WRITTEN)
         code = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
         self.parts[part] = code
         return code
