@@ -2,9 +2,13 @@
 
 A window is ``window`` consecutive words of one document. Its minimiser is the least hash of the
 ``gram``-word sequences in it, so that equal windows have equal minimisers. Consecutive windows that
-share a minimiser travel as one string to the bucket of the minimiser, where windows are sorted by
-hash, compared word by word, and all but the first occurrence are marked. Marks come back to the
-documents as word ranges.
+share a minimiser, a super-k-mer, travel as one string to the bucket of the minimiser, where windows
+are sorted by hash, compared word by word, and all but the first occurrence are marked. Marks come
+back to the documents as word ranges.
+
+A census goes first: the minimisers alone are sorted, and only super-k-mers whose minimiser occurs
+again, or that repeat something within themselves, can hold a repeat and travel. The texts are
+moved once; the join with the census and the one with the marks share that exchange.
 
 Hot groups. Word sequences that many documents hold rank behind all others as minimisers (they are
 found on a sample of about ``SAMPLE`` documents; the choice moves windows between buckets and never
@@ -37,6 +41,7 @@ ROWS_AT_ONCE, LONGEST = 20_000, 256
 LAST_ID = 2**63 - 1
 
 _SENT = "minimiser long, doc_id long, place long, words binary, begin int, end int"
+_CENSUS = ["minimiser", "doc_id", "start", "known"]
 _MARK = ["doc_id", "place", "begin", "end"]
 _HOT_BIT = np.uint64(1 << 63)
 
@@ -70,11 +75,15 @@ def _starts(words: Words, n: int) -> np.ndarray:
 
 def super_kmers(
     words: Words, window: int, gram: int, hot: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, last window and minimiser of each run of windows that share it."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, last window and minimiser of each run of windows that share it.
+
+    And whether a sequence of ``gram`` words in it comes again within a window: without that, no
+    window of the run equals another one.
+    """
     starts = _starts(words, window)
     if not len(starts):
-        return starts, starts, np.zeros(0, np.int64)
+        return starts, starts, np.zeros(0, np.int64), np.zeros(0, dtype=bool)
     grams = gram_hashes(words.hashes(), gram) >> np.uint64(1)
     if len(hot):
         grams |= np.where(np.isin(grams, hot), _HOT_BIT, np.uint64(0))
@@ -85,7 +94,12 @@ def super_kmers(
     place = np.arange(len(starts)) - run[np.cumsum(opens) - 1]
     first = np.flatnonzero(place % LONGEST == 0)
     last = np.r_[first[1:], len(starts)] - 1
-    return starts[first], starts[last], least[first].view(np.int64)
+    near = np.zeros(len(grams) + 1, np.int64)
+    for distance in range(1, window):
+        near[1 : len(grams) + 1 - distance] |= grams[:-distance] == grams[distance:]
+    near = np.cumsum(near)
+    first, last, least = starts[first], starts[last], least[first].view(np.int64)
+    return first, last, least, near[last + window - gram + 1] > near[first]
 
 
 def hot_grams(docs: DataFrame, gram: int) -> np.ndarray:
@@ -109,9 +123,62 @@ def hot_grams(docs: DataFrame, gram: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows.select("gram").collect()], np.int64).view(np.uint64))
 
 
-def _send(words, ids, crcs, window, gram, hot):
-    """Rows to travel, and marks, of one slice of texts."""
-    first, last, minimiser = super_kmers(words, window, gram, hot)
+def _census(words, ids, window, gram, hot) -> pa.RecordBatch:
+    """Minimisers of a slice, each once; what comes again in the slice is known to do so."""
+    first, last, minimiser, known = super_kmers(words, window, gram, hot)
+    text = words.text_of()[first]
+    _, head, number = np.unique(minimiser, return_index=True, return_inverse=True)
+    again = np.bincount(number, minlength=len(head))[number] > 1
+    other = np.ones(len(first), dtype=bool)
+    other[head] = False
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(minimiser, pa.int64(), mask=other & again),
+            pa.array(ids[text], pa.int64()),
+            pa.array((first - words.first[text]).astype(np.int32)),
+            pa.array(known | again),
+        ],
+        _CENSUS,
+    )
+
+
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, start) of the census rows that are known to recur or share their minimiser."""
+    before: tuple | None = None  # the last row, if it has not been given out
+    last_key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0)
+        given = key.is_null().to_numpy(zero_copy_only=False)
+        value = key.fill_null(0).to_numpy()
+        doc, start = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        same = (value[1:] == value[:-1]) & ~given[1:] & ~given[:-1]
+        out = given | batch.column(3).to_numpy(zero_copy_only=False)
+        out[1:] |= same
+        out[:-1] |= same
+        docs, starts = doc, start
+        if last_key is not None and not given[0] and value[0] == last_key:
+            out[0] = True
+            if before is not None:
+                docs, starts = np.r_[doc, before[0]], np.r_[start, before[1]]
+                out = np.r_[out, True]
+        chosen = np.flatnonzero(out)
+        n = len(value)
+        last_key = None if given[-1] else value[-1]
+        before = None if out[n - 1] else (doc[-1], start[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(docs[chosen], pa.int64()), pa.array(starts[chosen].astype(np.int32))],
+            ["doc_id", "start"],
+        )
+
+
+def _send(words, ids, crcs, chosen, window, gram, hot):
+    """Rows to travel, and marks, of one slice of texts; chosen has text << 32 | start."""
+    first, last, minimiser, _ = super_kmers(words, window, gram, hot)
+    text = words.text_of()[first]
+    picked = np.isin(text << 32 | (first - words.first[text]), chosen)
+    first, last, minimiser = first[picked], last[picked], minimiser[picked]
     if not len(first):
         return [], []
     text = words.text_of()[first]
@@ -178,12 +245,30 @@ def _marks_batch(marks: list[tuple]) -> pa.RecordBatch:
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, crc, ranges): word ranges [begin, end) to remove, for docs with doc_id and text.
+    """(doc_id, ranges): ranges (crc, begin, end) of words to remove, for docs with doc_id and text.
 
-    crc is that of the text's bytes, so that rows of one id are told apart; a null id is LAST_ID.
+    doc_id must not be null. crc is that of the text's bytes: it tells rows of one id apart.
     """
     hot = hot_grams(docs, gram)
-    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
+
+    def take_census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for i, j, words in word_slices(batch.column(1)):
+                yield _census(words, ids[i:j], window, gram, hot)
+
+    # What is known to recur has no need to meet others: it is dealt by its own document.
+    dealt = F.coalesce("minimiser", F.xxhash64("doc_id", "start"))
+    recurring = (
+        docs.mapInArrow(take_census, "minimiser long, doc_id long, start int, known boolean")
+        .withColumn("bucket", dealt)
+        .repartition("bucket")
+        .sortWithinPartitions("minimiser")
+        .select(*_CENSUS)
+        .mapInArrow(_recurring, "doc_id long, start int")
+        .groupBy("doc_id")
+        .agg(F.collect_list("start").alias("starts"))  # at most the words of a document
+    )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,8 +278,12 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                 crcs = np.array(
                     [zlib.crc32(raw[a:b]) for a, b in zip(offsets, offsets[1:])], np.int64
                 )
-                sent, marks = _send(words, ids[i:j], crcs, window, gram, hot)
-                rows = [(*r, None, None) for r in sent] + [(None, m[0], m[1], None, m[2], m[3]) for m in marks]
+                starts = batch.column(2).slice(i, j - i)
+                text = np.repeat(np.arange(j - i), starts.value_lengths().to_numpy())
+                chosen = text << 32 | starts.flatten().to_numpy()
+                sent, marks = _send(words, ids[i:j], crcs, chosen, window, gram, hot)
+                rows = [(*r, None, None) for r in sent]
+                rows += [(None, m[0], m[1], None, m[2], m[3]) for m in marks]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
                 columns = list(zip(*rows)) or [()] * 6
                 yield pa.RecordBatch.from_arrays(
@@ -218,7 +307,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     # A mark has no minimiser: dealt by its own document, it passes through.
     key = F.coalesce("minimiser", F.xxhash64("doc_id", "place"))
     marks = (
-        keyed.mapInArrow(send, _SENT)
+        docs.join(recurring, "doc_id")
+        .select("doc_id", "text", "starts")
+        .mapInArrow(send, _SENT)
         .withColumn("bucket", key)
         .repartition("bucket")
         .sortWithinPartitions("bucket", "doc_id", "place")
@@ -227,9 +318,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     )
     crc = F.col("place").bitwiseAND(F.lit(2**32 - 1)).alias("crc")
     # The ranges of one document, at most its words.
-    return marks.groupBy("doc_id", crc).agg(
-        F.collect_list(F.struct("begin", "end")).alias("ranges")
-    )
+    return marks.groupBy("doc_id").agg(F.collect_list(F.struct(crc, "begin", "end")).alias("ranges"))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -248,25 +337,23 @@ def remove_repeats(
 ) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed for each row of docs."""
     texts = ids_and_texts(docs, id_col, text_col)
-    ranges = repeated_ranges(texts, window, gram).select(
-        F.col("doc_id").alias("range_id"), F.col("crc").alias("range_crc"), "ranges"
-    )
-    joined = texts.join(
-        ranges,
-        (F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("range_id"))
-        & (F.crc32("text") == F.col("range_crc")),
-        "left",
-    ).select("doc_id", "text", "ranges.begin", "ranges.end")
+    texts = texts.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
+    ranges = repeated_ranges(texts, window, gram)
+    joined = texts.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words in word_slices(batch.column(1)):
-                begins, ends = (batch.column(c).slice(i, j - i).to_pylist() for c in (2, 3))
                 depth = np.zeros(len(words) + 1, np.int64)
-                for base, begin, end in zip(words.first.tolist(), begins, ends):
-                    if begin:
-                        np.add.at(depth, np.array(begin) + base, 1)
-                        np.add.at(depth, np.array(end) + base, -1)
+                raw, offsets = words.data.tobytes(), words.offsets.tolist()
+                for text, own in enumerate(batch.column(2).slice(i, j - i).to_pylist()):
+                    if own:
+                        crc = zlib.crc32(raw[offsets[text] : offsets[text + 1]])
+                        base = int(words.first[text])
+                        for r in own:
+                            if r["crc"] == crc:
+                                depth[base + r["begin"]] += 1
+                                depth[base + r["end"]] -= 1
                 keep = np.cumsum(depth)[:-1] == 0
                 kept = np.concatenate([[0], np.cumsum(keep)])
                 yield pa.RecordBatch.from_arrays(
@@ -279,4 +366,5 @@ def remove_repeats(
                     ["doc_id", "text", "n_words", "n_removed"],
                 )
 
-    return joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long")
+    kept = joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long")
+    return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))
