@@ -15,8 +15,9 @@ gives (``missed``); ``trees`` follows from the recall wanted.
 Leaves compare signatures, a byte for each coordinate, and name candidates: a spanning forest of the
 likeliest links, which are confirmed on full sets. Classes that no candidate holds apart are one
 component or cannot be linked. A leaf with a candidate that failed and whose ends are still apart is
-compared again, then on the full sets themselves. So all pairs of a leaf are decided, while only as
-many pairs travel as there are classes. Components are found by
+looked at again: what else is likely between its components travels as pairs, or, where that would
+be more than ``PAIRS_EACH`` for each class, the classes travel with their sets and are compared in
+the leaf. So all pairs of a leaf are decided, while few of them travel. Components are found by
 alternating large-star and small-star steps over the confirmed links.
 
 Defined results: without words or text the set is empty and linked with nothing; with fewer words
@@ -47,6 +48,7 @@ LOOKED_AT, ALIKE = 48, 0.5
 # Standard deviations below the threshold at which signatures still leave a link possible: one in
 # some 10^7 links at the threshold itself falls below, fewer of closer ones.
 SLACK = 5.2
+PAIRS_EACH = 8
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLIERS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -292,6 +294,57 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+_OPEN = "leaf long, side int, rep long, n long, sketch binary, component long, other long"
+
+
+def undecided(leaves: DataFrame, threshold: Threshold) -> DataFrame:
+    """Likely pairs between components, the tested candidates aside: (rep, other), or whole classes.
+
+    leaves has the component of each class. Where other is null the row is a class that takes part
+    in more pairs than should travel.
+    """
+    names = [f.split()[0] for f in _OPEN.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            reps, sketch, sizes, sides = _leaf_columns(group)
+            component = group.column("component").to_numpy()
+            values, counts = np.unique(component, return_counts=True)
+            if len(values) == 1:
+                continue
+            tested = set(forest(sketch, sizes, sides, threshold))
+            pairs, involved = [], set()
+            # The largest component is looked at from the others' side.
+            outside = np.flatnonzero(component != values[counts.argmax()])
+            for i in outside.tolist():
+                likely = threshold.likely(i, sketch, sizes, sides) > 0
+                for j in np.flatnonzero(likely & (component != component[i])).tolist():
+                    if (i, j) not in tested and (j, i) not in tested:
+                        involved.update((i, j))
+                        if len(pairs) <= PAIRS_EACH * len(reps):
+                            pairs.append((i, j))
+            if not pairs:
+                continue
+            if len(pairs) <= PAIRS_EACH * len(reps):
+                ends = [(min(reps[i], reps[j]), max(reps[i], reps[j])) for i, j in pairs]
+                ends = [(int(a), int(b)) for a, b in sorted(set(ends)) if a != b]
+                out = [(None, None, a, None, None, None, b) for a, b in ends]
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*out), kinds)] if out else None
+                if columns:
+                    yield pa.RecordBatch.from_arrays(columns, names)
+            else:
+                rows = group.take(sorted(involved))
+                other = pa.chunked_array([pa.nulls(len(rows), pa.int64())])
+                yield from rows.append_column("other", other).to_batches()
+
+    kinds = [
+        pa.field(name, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[kind])
+        for name, kind in (f.split() for f in _OPEN.split(", "))
+    ]
+    rows = leaves.select("leaf", "side", "rep", "n", "sketch", "component")
+    return rows.repartition("leaf").sortWithinPartitions("leaf", "rep").mapInArrow(run, _OPEN)
+
+
 def decided(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (a, b) between different components of each leaf, on full sets."""
 
@@ -459,7 +512,13 @@ def near_duplicates(
     if not still.isEmpty():
         again = sketched.join(still, "leaf", "left_semi").join(found, F.col("rep") == F.col("id"), "left")
         again = again.withColumn("component", F.coalesce("component", "rep"))
-        more = stored(decided(again, sets, threshold), "near-more")
+        open_rows = stored(undecided(again, threshold), "near-undecided")
+        more_pairs = open_rows.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+        members_left = open_rows.where("other is null").drop("other")
+        more = confirmed(more_pairs.distinct(), sets, threshold).unionByName(
+            decided(members_left, sets, threshold)
+        )
+        more = stored(more, "near-more")
         if not more.isEmpty():
             known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
             found = components(known.unionByName(more))
