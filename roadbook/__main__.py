@@ -18,7 +18,7 @@ from roadbook.streaming.arrivals import refresh_on_arrival
 
 def _show(title: str, table: DataFrame) -> None:
     print(f"\n=== {title}")
-    table.show(100, truncate=False)
+    table.show(max(1, table.count()), truncate=False)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 def parse_number(text: Column) -> Column:
     """Text (or a number) as DOUBLE; NULL where it is not a number.
 
-    Java's parser also takes "NaN" and a type suffix ("12d", "1.5f"), which are no numbers here.
+    Java's parser also takes "NaN", a type suffix ("12d", "1.5f") and hexadecimal floats ("0x1p3"),
+    which are no numbers here.
     """
     shown = F.rtrim(text.cast("string"))
     lettered = F.substring(shown, -1, 1).isin("d", "D", "f", "F", "n", "N") & ~F.endswith(
         F.lower(shown), F.lit("inf")
     )
-    return F.when(~lettered, text.try_cast("double"))
+    hexadecimal = F.contains(F.lower(shown), F.lit("x"))
+    return F.when(~lettered & ~hexadecimal, text.try_cast("double"))
 
 
 def is_number(value: Column) -> Column:
@@ -26,10 +28,10 @@ def is_number(value: Column) -> Column:
 def round_half_up(value: Column, places: int) -> Column:
     """ROUND of a double by its decimal digits, ties away from zero.
 
-    Going through six decimals first makes a tie a tie whatever the summation order left in the
+    Going through ten decimals first makes a tie a tie whatever the summation order left in the
     last bits. Values that do not fit the decimal (huge, infinite, NaN) are rounded as they are.
     """
-    exact = F.round(value.try_cast("decimal(18,6)"), places).cast("double")
+    exact = F.round(value.try_cast("decimal(38,10)"), places).cast("double")
     return F.coalesce(exact, F.round(value, places))
 
 

@@ -39,7 +39,7 @@ def hot_keys(counts: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame
     rows = F.col("_rows")
     return (
         counts.where(rows > rows_per_part)
-        .orderBy(rows.desc())
+        .orderBy(rows.desc(), *[c for c in counts.columns if c != "_rows"])
         .limit(MOST_HOT_KEYS)
         .withColumn("_parts", F.ceil(rows / rows_per_part).cast("int"))
         .drop("_rows")

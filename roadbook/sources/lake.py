@@ -135,11 +135,23 @@ def register_tables(
     for name, path, rows in _tables(spark, lake, include_silver):
         table = f"{database}.{name}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        if spark.catalog.tableExists(table) and not _is_at(spark, table, path, rows):
+            spark.sql(f"DROP TABLE {table}")  # external: its files stay
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-            f"USING parquet PARTITIONED BY (dt) LOCATION '{path}'"
+            f"USING parquet PARTITIONED BY (dt) LOCATION '{quoted}'"
         )
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+
+def _is_at(spark: SparkSession, table: str, path: str, rows: DataFrame) -> bool:
+    """Whether the catalog has this place and these columns for the table."""
+    known = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    place = known.data_type.removeprefix("file:").replace("//", "/").rstrip("/") if known else ""
+    wanted = path.removeprefix("file:").replace("//", "/").rstrip("/")
+    fields = {f.name: f.dataType for f in spark.table(table).schema}
+    return place == wanted and fields == {f.name: f.dataType for f in rows.schema}
 
 
 def cached_table(spark: SparkSession, name: str) -> DataFrame:

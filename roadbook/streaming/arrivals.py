@@ -1,9 +1,9 @@
 """Rebuild the days for which new raw files have arrived, and no others.
 
 The file stream only remembers which files were seen: it lists them and never opens one. Each
-batch then reruns the ordinary batch job on whole days, so the result is that of a full run, a
-file that comes late corrects its day, and a batch that is repeated after a failure changes
-nothing.
+batch then reruns the ordinary batch job on whole days, so a file that comes late, whatever its age,
+corrects its day, and a batch that is repeated after a failure changes nothing. Files are told apart
+by path: one that is rewritten under its name, or removed, needs a run of the job on its day.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from roadbook.plans import job
 from roadbook.sources.lake import Lake, make_folder
 from roadbook.spec import DATASETS
 
+# A copied or restored file keeps its old modification time and still counts as new.
+ANY_AGE = "36500d"
 # Fixed value: what the binary file source yields, and the day from the folder name.
 FILES = "path string, modificationTime timestamp, length long, content binary, dt date"
 
@@ -27,6 +29,7 @@ def arriving_days(spark: SparkSession, lake: Lake) -> DataFrame:
         spark.readStream.format("binaryFile")
         .schema(FILES)
         .option("pathGlobFilter", "*.json")
+        .option("maxFileAge", ANY_AGE)
         .load(lake.raw(spec.name))
         .select("dt")
         for spec in DATASETS

@@ -112,3 +112,12 @@ def test_human_bytes(spark):
         return f"{n:.1f} TB"
 
     assert got == [expected(n) for n in sizes]
+
+
+@pytest.mark.parametrize(("value", "places", "expected"), [(2.0049997, 2, 2.0), (49.9499996, 1, 49.9)])
+def test_rounding_once(spark, value, places, expected):
+    assert values(spark, [value], "v double", fn.round_half_up(F.col("v"), places)) == [expected]
+
+
+def test_hexadecimal_floats_are_no_numbers(spark):
+    assert values(spark, ["0x1p3", "8"], "v string", fn.parse_number(F.col("v"))) == [None, 8.0]

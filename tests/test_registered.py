@@ -7,12 +7,13 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+from registry.oracle import ORACLE_SQL as LAKE_SQL
+from registry.queries import QUERIES as LAKE_QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = registered.queries()
-SQL = registered.oracle_sql()
+QUERIES, SQL = LAKE_QUERIES, LAKE_SQL
 # What these return is file sizes, which SQL on the sample tables cannot know.
 ROWS_ONLY = {"scan_footprint", "scan_cost_comparison"}
 
@@ -30,6 +31,10 @@ def sorted_rows(records):
     return sorted(records, key=repr)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(registered.queries()) and set(SQL) <= set(registered.oracle_sql())
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) - set(SQL) == ROWS_ONLY and set(SQL) <= set(QUERIES)
 
