@@ -34,6 +34,7 @@ FEWEST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 MOST_SYMBOLS = 50  # per cent of the words
 MOST_DUP_LINES = 30  # per cent of the lines with a word
+MOST_BROADCAST = 100_000  # hosts
 WORST_RATE = 0.5  # a host is rejected if more of its documents than this fail, after shrinking
 
 MEASURES = (
@@ -182,12 +183,14 @@ def judge(
 ) -> DataFrame:
     """Measures of each row, base_failed, host_rejected and kept.
 
-    Only rejected hosts are joined back, so that the usual host with many documents takes no part
-    in the shuffle by host; a rejected one that is large is split by adaptive execution.
+    Only rejected hosts are joined back: to all tasks if they are few, so that no host's documents
+    meet in one task, or else by a shuffle in which adaptive execution splits large hosts.
     """
     measures = stored(document_measures(docs, id_col, text_col, host_col), "host-measures")
     rejected = host_rates(measures).where(F.col("shrunk_rate") > worst_rate)
-    rejected = rejected.select(F.col("host").alias("rejected_host"))
+    rejected = stored(rejected.select(F.col("host").alias("rejected_host")), "rejected-hosts")
+    if rejected.count() <= MOST_BROADCAST:
+        rejected = F.broadcast(rejected)
     return (
         measures.join(rejected, F.col("host") == F.col("rejected_host"), "left")
         .withColumn("base_failed", base_failed())
