@@ -49,6 +49,8 @@ LOOKED_AT, ALIKE = 48, 0.5
 # some 10^7 links at the threshold itself falls below, fewer of closer ones.
 SLACK = 5.2
 PAIRS_EACH = 8
+# Marks of the documents whose sets are asked for: 8 MB go to all tasks, whatever the input.
+FILTER_BITS = 1 << 26
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLIERS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -455,6 +457,28 @@ def leaves_of(classes: DataFrame, trees: int) -> DataFrame:
     return stored(reduce(DataFrame.unionByName, leaves), "leaves")
 
 
+def _maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows without most of those whose doc_id is not in ids, before they are shuffled for a join.
+
+    Ids are marked in a map of FILTER_BITS bits by their hash, which goes to all tasks whatever the
+    number of ids; the more there are, the more other rows pass.
+    """
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    marks = ids.select(
+        F.bitmap_bucket_number(spread).alias("part"), F.bitmap_bit_position(spread).alias("bit")
+    )
+    marks = marks.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("marks"))
+    bit = F.bitmap_bit_position(spread)
+    byte = F.expr("cast(conv(hex(substring(marks, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)")
+    return (
+        rows.withColumn("part", F.bitmap_bucket_number(spread))
+        .withColumn("bit", bit)
+        .join(F.broadcast(marks), "part")
+        .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0)
+        .select(*rows.columns)
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 80,
@@ -480,7 +504,9 @@ def near_duplicates(
     likely = stored(candidates(sketched, threshold), "near-candidates")
     pairs = stored(likely.select("a", "b").distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stored(full_sets(texts.join(wanted, "doc_id", "left_semi"), shingle), "near-sets")
+    wanted = stored(wanted, "near-wanted")
+    asked = _maybe_among(texts, wanted).join(wanted, "doc_id", "left_semi")
+    sets = stored(full_sets(asked, shingle), "near-sets")
     same_id = (
         members.select("doc_id", "rep")
         .where("doc_id <> rep")

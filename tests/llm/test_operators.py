@@ -141,6 +141,16 @@ def test_near_duplicates(docs, percent, shingle):
         assert r.n_shingles == len(sets[own]) and r.kept == (component[own] == own)
 
 
+def test_filter_before_the_sets_loses_no_document(spark):
+    rows = spark.range(-5_000, 5_000).selectExpr("id as doc_id", "'x' as text")
+    asked = spark.range(-5_000, 5_000, 7).withColumnRenamed("id", "doc_id")
+    passed = neardup._maybe_among(rows, asked)
+    assert passed.columns == rows.columns
+    assert passed.join(asked, "doc_id").count() == asked.count()
+    assert passed.count() < 1.1 * asked.count()
+    assert neardup._maybe_among(rows, asked.limit(0)).count() == 0
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
