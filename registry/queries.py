@@ -343,7 +343,8 @@ def bronze_roundtrip(spark, sf_dir):
 def bronze_inferred_scan(spark, sf_dir):
     lake = sample_lake(spark, sf_dir)
     raw = bronze.infer_raw(spark, lake.raw(DRIVER_SHIFT_LOGS.name))
-    return raw.select("dt", "driver_id", "vehicle_id", "clock_in", "break_minutes", "city")
+    columns = ("driver_id", "vehicle_id", "clock_in", "clock_out", "break_minutes", "city")
+    return raw.select("dt", *columns)
 
 
 @register
@@ -357,8 +358,10 @@ def silver_roundtrip(spark, sf_dir):
 
 @register
 def gold_roundtrip(spark, sf_dir):
-    zones.register_views(spark, sample_lake(spark, sf_dir))
-    return spark.table("driver_performance")
+    lake, name = zones.Lake(scratch_dir(spark, "gold")), "driver_performance"
+    table = zones.read_gold(spark, sample_lake(spark, sf_dir), name)
+    zones.write_days(table, lake.curated(name), ["driver_id"])
+    return zones.read_gold(spark, lake, name)
 
 
 @register

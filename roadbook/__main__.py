@@ -56,7 +56,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif given.step == "cost":
         _show("scan costs", job.cost_comparison(spark, lake, *cost_of))
     else:
-        refresh_on_arrival(spark, lake, f"{lake.base}/arrivals").awaitTermination()
+        days = refresh_on_arrival(spark, lake, f"{lake.base}/arrivals")
+        print("rebuilt:", *days or ["nothing"])
     spark.stop()
 
 

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 # A key is hot above this many rows, and is split into parts of about as many.
 ROWS_PER_PART = 2_000_000
-# Keys that can be split at once. Any further key holds under 1/1000 of the rows: it stays whole.
-MOST_HOT_KEYS = 1_000
-# Rows without a key match nothing, so they can go to any of this many parts.
-PARTS_WITHOUT_KEY = 1_000
+# A hot key also holds more than this share of all rows, so there are fewer hot keys than this.
+HOT_SHARE_OF = 10_000
+# Rows without a key match nothing: each goes to a part of its own hash, below the parts of keys.
+_HASHES = 1 << 30
 
 
 def _has_key(keys: Sequence[str]) -> Column:
@@ -32,15 +32,16 @@ def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """The largest keys above ``rows_per_part`` rows with ``_parts``, how many to split each into.
+    """Keys above ``rows_per_part`` rows with ``_parts``, how many to split each into.
 
-    At most MOST_HOT_KEYS rows whatever the size of the data, so the result may be broadcast.
+    Every one has more than 1 / HOT_SHARE_OF of the rows, so there are fewer than HOT_SHARE_OF of
+    them whatever the size of the data, and the result may be broadcast. Any other key has so few
+    rows that it can stay whole.
     """
     rows = F.col("_rows")
+    share = counts.agg(F.sum("_rows") / F.lit(HOT_SHARE_OF)).scalar()
     return (
-        counts.where(rows > rows_per_part)
-        .orderBy(rows.desc(), *[c for c in counts.columns if c != "_rows"])
-        .limit(MOST_HOT_KEYS)
+        counts.where((rows > rows_per_part) & (rows > share))
         .withColumn("_parts", F.ceil(rows / rows_per_part).cast("int"))
         .drop("_rows")
     )
@@ -63,7 +64,7 @@ def full_outer_one_to_many(
     hot = F.broadcast(hot_keys(counts, rows_per_part))
     # Part 0 has the row of ``one``, so rows without a key stay out of it.
     part_of_key = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1)))
-    part_of_none = F.pmod(F.xxhash64(*spread_by), F.lit(PARTS_WITHOUT_KEY)) + 1
+    part_of_none = -1 - F.pmod(F.xxhash64(*spread_by), F.lit(_HASHES))
     part = F.when(_has_key(keys), part_of_key).otherwise(part_of_none).cast("int")
     spread = many.join(hot, keys, "left").withColumn("_part", part).drop("_parts")
     every_part = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)

@@ -108,16 +108,19 @@ def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def cleaning_report(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
-    """Raw against staged rows. Raw lines are counted unparsed, staged rows from Parquet footers."""
-    return reports.cleaning_report(
-        {
-            spec.name: (
-                bronze.raw_lines(spark, lake.raw(spec.name), days),
-                read_silver(spark, lake, spec).where(on_days(days)),
-            )
-            for spec in DATASETS
-        }
-    )
+    """Raw against staged rows of the days that lie in the raw zone, or of the given ones.
+
+    Raw lines are counted unparsed, staged rows from Parquet footers. A day that is no longer in the
+    raw zone was not cleaned, so its staged rows do not count.
+    """
+
+    def counted(spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+        source = lake.raw(spec.name)
+        covered = days_on_file(spark, source) if days is None else days
+        staged = read_silver(spark, lake, spec).where(on_days(covered))
+        return bronze.raw_lines(spark, source, days), staged
+
+    return reports.cleaning_report({spec.name: counted(spec) for spec in DATASETS})
 
 
 def build_report(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -43,6 +43,20 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(folder)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbered tables below ``path`` that were written to the end, in order."""
+    folder, files = _folder(spark, path)
+    listed = files.listStatus(folder) if files.exists(folder) else []
+    names = [status.getPath().getName() for status in listed]
+    numbers = sorted(int(name) for name in names if name.isdigit())
+    return [n for n in numbers if files.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0])]
+
+
 def days_on_file(spark: SparkSession, path: str) -> list[str]:
     """The days that have a folder at ``path``; none if there is nothing."""
     folder, files = _folder(spark, path)

@@ -1,9 +1,9 @@
-"""Rebuild the days for which new raw files have arrived, and no others.
+"""Rebuild the days whose raw files have changed, and no others.
 
-The file stream only remembers which files were seen: it lists them and never opens one. Each
-batch then reruns the ordinary batch job on whole days, so a file that comes late, whatever its age,
-corrects its day, and a batch that is repeated after a failure changes nothing. Files are told apart
-by path: one that is rewritten under its name, or removed, needs a run of the job on its day.
+What lies in the raw zone (path, length and modification time of each file) is compared with what
+lay there when the last refresh ended. A day with a file that is new, rewritten or gone is rebuilt as
+a whole by the ordinary batch job, whatever the age of the file. The listing is kept only after the
+rebuild, so a refresh that fails is repeated by the next one, which changes nothing twice.
 """
 
 from __future__ import annotations
@@ -11,50 +11,57 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
 
 from roadbook.plans import job
-from roadbook.sources.lake import Lake, make_folder
+from roadbook.session import scratch_dir
+from roadbook.sources.lake import Lake, complete_versions, make_folder, remove_folder
 from roadbook.spec import DATASETS
 
-# A copied or restored file keeps its old modification time and still counts as new.
-ANY_AGE = "36500d"
-# Fixed value: what the binary file source yields, and the day from the folder name.
-FILES = "path string, modificationTime timestamp, length long, content binary, dt date"
+KEPT = "path string, modificationTime timestamp, length long, dt date"
 
 
-def arriving_days(spark: SparkSession, lake: Lake) -> DataFrame:
-    """A stream with the day of every new raw file."""
-    listings = [
-        spark.readStream.format("binaryFile")
-        .schema(FILES)
-        .option("pathGlobFilter", "*.json")
-        .option("maxFileAge", ANY_AGE)
-        .load(lake.raw(spec.name))
-        .select("dt")
-        for spec in DATASETS
-    ]
-    return reduce(DataFrame.unionByName, listings)
+def files_of(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The raw files of all datasets. None is opened."""
 
+    def listed(path: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+        day = F.col("dt") if "dt" in files.columns else F.lit(None)  # an empty folder has no days
+        return files.select("path", "modificationTime", "length", day.cast("date").alias("dt"))
 
-def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> StreamingQuery:
-    """Bring silver and gold up to date with the raw zone, then stop. Run it whenever data lands.
+    return reduce(DataFrame.unionByName, [listed(lake.raw(spec.name)) for spec in DATASETS])
 
+
+def changed_days(before: DataFrame, now: DataFrame) -> DataFrame:
+    """The days (``dt``) of files that are in one listing and not, or not so, in the other."""
+    both = before.withColumn("side", F.lit(1)).unionByName(now.withColumn("side", F.lit(2)))
+    one_sided = both.groupBy(*before.columns).agg(F.count_distinct("side").alias("sides"))
+    return one_sided.where("sides = 1").select("dt").distinct()
+
+
+def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> list[str]:
+    """Bring silver and gold up to date with the raw zone; the days that were rebuilt.
+
+    Run it whenever data lands, one at a time. ``checkpoint`` is the folder that keeps the listing.
     A dataset of which nothing has arrived yet is watched as well.
     """
     for spec in DATASETS:
         make_folder(spark, lake.raw(spec.name))
-
-    def rebuild(batch: DataFrame, _: int) -> None:
-        days = [row.dt for row in batch.distinct().collect()]  # one row per day
-        if days:
-            job.build_silver(spark, lake, days)
-            job.build_gold(spark, lake, days)
-
-    return (
-        arriving_days(spark, lake)
-        .writeStream.foreachBatch(rebuild)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # Written before it is used: files that land during the rebuild belong to the next refresh.
+    path = scratch_dir(spark, "raw-files")
+    files_of(spark, lake).write.parquet(path)
+    now = spark.read.schema(KEPT).parquet(path)
+    versions = complete_versions(spark, checkpoint)
+    if versions:
+        before = spark.read.schema(KEPT).parquet(f"{checkpoint}/{versions[-1]}")
+    else:
+        before = spark.createDataFrame([], KEPT)
+    days = sorted(str(row.dt) for row in changed_days(before, now).collect())  # one row per day
+    if days:
+        job.build_silver(spark, lake, days)
+        job.build_gold(spark, lake, days)
+        last = versions[-1] if versions else 0
+        now.write.mode("overwrite").parquet(f"{checkpoint}/{last + 1}")
+    for version in versions[: -1 if not days else None]:
+        remove_folder(spark, f"{checkpoint}/{version}")
+    return days

@@ -163,16 +163,22 @@ def test_split_join_equals_plain_full_outer_join(skewed, rows_per_part):
     assert rows(got, "k", "n", "v") == rows(one.join(many, "k", "full_outer"), "k", "n", "v")
 
 
-def test_hot_keys_are_few_and_the_largest(skewed, monkeypatch):
+def test_hot_keys_have_a_share_of_the_rows(skewed, monkeypatch):
     _, many = skewed
     counts = skew.rows_per_key(many, ["k"])
     assert rows(skew.hot_keys(counts, 50)) == [("hot", 6)]
-    monkeypatch.setattr(skew, "MOST_HOT_KEYS", 1)
+    assert skew.hot_keys(counts, 1).count() == counts.where("_rows > 1").count() > 1
+    monkeypatch.setattr(skew, "HOT_SHARE_OF", 2)
     assert rows(skew.hot_keys(counts, 1)) == [("hot", 300)]
 
 
-def test_keys_beyond_the_hot_list_join_unsplit(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "MOST_HOT_KEYS", 2)
+def test_two_thousand_hot_keys_are_all_split(spark):
+    many = spark.range(6_000).select((F.col("id") % 2_000).alias("k"))
+    assert skew.hot_keys(skew.rows_per_key(many, ["k"]), 2).count() == 2_000
+
+
+def test_keys_with_a_small_share_join_unsplit(skewed, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_SHARE_OF", 2)
     one, many = skewed
     got = skew.full_outer_one_to_many(one, many, ["k"], ["v"], 1)
     assert rows(got, "k", "n", "v") == rows(one.join(many, "k", "full_outer"), "k", "n", "v")

@@ -4,6 +4,7 @@ import json
 import logging
 import os
 import re
+import shutil
 
 import pytest
 from conftest import rows
@@ -449,7 +450,7 @@ def test_scratch_folder_is_the_shared_one(spark):
 
 def test_arriving_files_rebuild_their_days_only(spark, lake, tmp_path):
     def refresh():
-        refresh_on_arrival(spark, lake, str(tmp_path / "seen")).awaitTermination()
+        refresh_on_arrival(spark, lake, str(tmp_path / "seen"))
 
     def written():
         pattern = f"{lake.base}/*/*/dt=*/*.parquet"
@@ -479,3 +480,41 @@ def test_arriving_files_rebuild_their_days_only(spark, lake, tmp_path):
         zones.write_days(job.clean(raw, spec), full.staging(spec.name))
         assert rows(zones.read_silver(spark, full, spec)) == got[spec.name]
     refresh()
+
+
+def test_old_rewritten_and_removed_files_are_noticed(spark, lake, tmp_path):
+    def refresh():
+        return refresh_on_arrival(spark, lake, str(tmp_path / "seen"))
+
+    def delivered():
+        sla = zones.read_gold(spark, lake, "delivery_sla_compliance")
+        return dict(sla.groupBy(F.col("dt").cast("string")).agg(F.sum("total_deliveries")).collect())
+
+    def land(day, *numbers, part=0):
+        land_lines(
+            lake, DELIVERY_COMPLETIONS, day, [delivery(n, day) for n in numbers], part=part
+        )
+
+    land(DAY_1, 1)
+    assert refresh() == [str(DAY_1)] and refresh() == []
+    land(DAY_2, 1, 2)
+    for file in glob.glob(f"{lake.raw('delivery_completions')}/dt={DAY_2}/*"):
+        os.utime(file, (1_000_000_000, 1_000_000_000))  # restored from a copy of years ago
+    assert refresh() == [str(DAY_2)]
+    assert delivered() == {str(DAY_1): 1, str(DAY_2): 2}
+    land(DAY_1, 1, 2, 3)  # under the same name
+    assert refresh() == [str(DAY_1)]
+    assert delivered() == {str(DAY_1): 3, str(DAY_2): 2}
+    for file in glob.glob(f"{lake.raw('delivery_completions')}/dt={DAY_2}/*.json"):
+        os.remove(file)
+    assert refresh() == [str(DAY_2)]
+    assert delivered() == {str(DAY_1): 3} and refresh() == []
+
+
+def test_days_gone_from_the_raw_zone_are_not_dropped_rows(spark, lake):
+    for day in (DAY_1, DAY_2):
+        land_lines(lake, DELIVERY_COMPLETIONS, day, [delivery(1, day)])
+    job.build_silver(spark, lake)
+    shutil.rmtree(f"{lake.raw('delivery_completions')}/dt={DAY_2}")
+    found = job.cleaning_report(spark, lake).where("dataset = 'delivery_completions'")
+    assert rows(found, "raw_rows", "staged_rows", "dropped_rows") == [(1, 1, 0)]
