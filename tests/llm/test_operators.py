@@ -335,3 +335,11 @@ def test_digest_is_of_the_text(spark, docs):
 
     r = docs.where("doc_id = 10").select(text_digest("text").alias("d")).first()
     assert r.d == hashlib.sha256(b"one two").hexdigest()
+
+
+def test_decontamination_finds_an_item_that_a_third_of_all_documents_hold(spark):
+    rows = [(i, prose(60, 1000 + i) + (f" {ITEM} " if i % 3 == 0 else " ") + prose(60, 3000 + i)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, ITEM), (2, prose(30, 77))], "item_id long, text string")
+    found = decontam.find_leaks(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, 1) for i in range(0, 300, 3)}
