@@ -343,3 +343,16 @@ def test_decontamination_finds_an_item_that_a_third_of_all_documents_hold(spark)
     benchmark = spark.createDataFrame([(1, ITEM), (2, prose(30, 77))], "item_id long, text string")
     found = decontam.find_leaks(docs, benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(i, 1) for i in range(0, 300, 3)}
+
+
+def test_decontamination_finds_short_and_long_items(spark):
+    items = {n: prose(n, 9000 + n) for n in (4, 6, 8, 12, 20, 40, 400, 1000, 2000)}
+    near = items[1000].split()
+    near[::6] = ["swapped"] * len(near[::6])
+    texts = [*items.values(), " ".join(near)]
+    rows = [(i, f"{prose(70, 700 + i)} {text} {prose(70, 800 + i)}") for i, text in enumerate(texts)]
+    rows += [(100 + i, prose(300, 100 + i)) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, benchmark).collect()}
+    assert found == {(i, n) for i, n in enumerate(items)} | {(len(items), 1000)}
