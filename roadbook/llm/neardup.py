@@ -22,8 +22,9 @@ alternating large-star and small-star steps over the confirmed links.
 
 Defined results: without words or text the set is empty and linked with nothing; with fewer words
 than a shingle the whole sequence is the one shingle. Rows of one id are one document: their sets
-are linked. A null id comes after all others and stays null. Ties need no order: components have
-the smallest id reachable.
+are linked. A row with a null id is a document of its own that comes after all others; its id stays
+null, and so does the component of such rows alone, one of which is kept. Ties need no order:
+components have the smallest id reachable.
 """
 
 from __future__ import annotations
@@ -38,9 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.shared import stored
-from roadbook.llm.substrings import LAST_ID, gram_hashes
-from roadbook.llm.words import ids_and_texts, mix, word_slices
+from roadbook.llm.shared import stored, with_row_keys
+from roadbook.llm.substrings import gram_hashes
+from roadbook.llm.words import ids_and_texts, mix, unused_name, word_slices
 
 COORDINATES, BRANCH, LEAF, DEEPEST = 64, 2, 1000, 5
 # Classes of a large node that are looked at to tell whether they are alike on the whole.
@@ -488,10 +489,28 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) for each row of docs."""
-    threshold = Threshold(percent)
-    texts = ids_and_texts(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text"
+    rows, last = with_row_keys(ids_and_texts(docs, id_col, text_col), "doc_id", "row_key")
+    found = groups_of(rows.select(F.col("row_key").alias("doc_id"), "text"), percent, shingle, recall)
+    return found.select(
+        F.when(F.col("doc_id") <= last, F.col("doc_id")).alias("doc_id"),
+        "n_shingles",
+        F.when(F.col("component_id") <= last, F.col("component_id")).alias("component_id"),
+        "kept",
     )
+
+
+def one_of_each(docs: DataFrame, percent: int, shingle: int, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs that near_duplicates keeps, with all their columns."""
+    key, name = unused_name(docs, "row_key"), unused_name(docs, "dropped_key")
+    rows, _ = with_row_keys(docs, id_col, key)
+    groups = groups_of(ids_and_texts(rows, key), percent, shingle)
+    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return rows.join(dropped, F.col(key) == F.col(name), "left_anti").drop(key)
+
+
+def groups_of(texts: DataFrame, percent: int, shingle: int, recall: float = 0.999999) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for texts with doc_id, which must not be null."""
+    threshold = Threshold(percent)
     rows = stored(features(texts, shingle), "near-features")
     reps = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     named = rows.where("n > 0").join(reps, "digest")
@@ -552,11 +571,9 @@ def near_duplicates(
         "doc_id", "n", F.coalesce("component", "rep").alias("component")
     )
     without = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
-    given = F.when(F.col("doc_id") != LAST_ID, F.col("doc_id"))
-    named = F.when(F.col("component") != LAST_ID, F.col("component"))
     return in_class.unionByName(without).select(
-        given.alias("doc_id"),
+        "doc_id",
         F.col("n").alias("n_shingles"),
-        named.alias("component_id"),
+        F.col("component").alias("component_id"),
         (F.col("doc_id") == F.col("component")).alias("kept"),
     )

@@ -356,3 +356,22 @@ def test_decontamination_finds_short_and_long_items(spark):
     benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, benchmark).collect()}
     assert found == {(i, n) for i, n in enumerate(items)} | {(len(items), 1000)}
+
+
+def test_rows_without_id_are_documents_of_their_own(spark, docs, tmp_path):
+    a, b, c = prose(120, 51), prose(120, 52), prose(120, 53)
+    rows = [(1, a), (2, b), (None, a), (None, b), (None, c), (None, c), (None, None), (3, c)]
+    rows += [(None, prose(90, 54)), (None, f"{prose(90, 55)} {ITEM}"), (4, f"{prose(90, 56)} {ITEM}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = neardup.near_duplicates(table, 80, 5).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == sorted(
+        [(1, 1, True), (2, 2, True), (0, 1, False), (0, 2, False), (3, 3, True), (0, 3, False), (0, 3, False)]
+        + [(0, 0, True)] * 3 + [(4, 4, True)]
+    )
+    kept = corpus_pipeline.one_of_each_group(spark, table, str(tmp_path))
+    left = [(1, a), (2, b), (None, None), (3, c), *rows[8:]]
+    assert kept.columns == table.columns and sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, left))
+    clean = corpus_pipeline.clean_of_benchmarks(spark, table, str(tmp_path))
+    expected = [row for row in rows if ITEM not in (row[1] or "")]
+    assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, expected))
