@@ -2,7 +2,8 @@
 
 A template and a region of a text are aligned on words that occur once in both: the longest
 increasing subsequence of their positions gives anchors, and the gaps between anchors are aligned
-the same way. A region covers a template if at least ``COVER`` of the template's words are aligned.
+the same way. A region covers a template if at least ``COVER`` of the template's words are aligned,
+among them its telling phrases (``TELLING``: name and version), each without another word inside.
 
 Which texts and regions are looked at follows from bounds that lose nothing: a text, or a stretch of
 ``ROOM`` times a template's length, must hold at least ``COVER`` of the template's words at all.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,12 @@ from roadbook.llm.words import ids_and_texts, word_slices
 
 COVER, ROOM, MOST_TEMPLATE_WORDS = 0.8, 2, 100_000
 
-# Notices as their licenses word them.
+# Notices as their licenses word them; several wordings of one are parted by a new line.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.\n"
+    "This work is licensed under the GNU General Public License, version 3.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of "
@@ -41,6 +43,16 @@ TEMPLATES = {
     "BSD-conditions": "Redistribution and use in source and binary forms, with or without "
     "modification, are permitted provided that the following conditions are met",
 }
+# What tells a license from others that are worded alike; a word in brackets may be missing.
+TELLING = {
+    "Apache-2.0": ["Apache License [Version] 2.0"],
+    "MIT": ["MIT License"],
+    "GPL-3.0": ["GNU General Public License", "version 3", "version 3.0"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0"],
+    "MIT-grant": ["person obtaining", "this software and associated documentation files"],
+    "BSD-conditions": ["source and binary forms", "permitted provided"],
+}
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -90,10 +102,29 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 class Template:
-    def __init__(self, name: str, text: str):
+    def __init__(self, name: str, text: str, telling: Iterable[str] = ()):
         self.name, self.keys = name, keys_of(text)
         self.words = self.keys.tolist()
         self.counts = Counter(self.words)
+        # Where each telling phrase that this wording has begins, and which of its words must be there.
+        self.telling: list[tuple[int, list[bool]]] = []
+        for phrase in telling:
+            words = keys_of(phrase).tolist()
+            must = [not word.startswith("[") for word in phrase.split()]
+            for at in range(len(self.words) - len(words) + 1):
+                if self.words[at : at + len(words)] == words:
+                    self.telling.append((at, must))
+
+    def told(self, pairs: list[tuple[int, int]]) -> bool:
+        """Whether an alignment (in the text, in the template) has the telling phrases."""
+        place = {j: i for i, j in pairs}
+        for at, must in self.telling:
+            if any(needed and at + k not in place for k, needed in enumerate(must)):
+                return False
+            there = [place[at + k] for k in range(len(must)) if at + k in place]
+            if there[-1] - there[0] != len(there) - 1:
+                return False
+        return True
 
 
 def stretches(words: list[int], template: Template, cover: float = COVER):
@@ -110,7 +141,7 @@ def stretches(words: list[int], template: Template, cover: float = COVER):
         if sum((held & template.counts).values()) < cover * size:
             continue
         pairs = patience(region, template.words)
-        if len(pairs) >= cover * size:
+        if len(pairs) >= cover * size and template.told(pairs):
             first, last = begin + pairs[0][0], begin + pairs[-1][0]
             out.append((first, last - first + 1, len(pairs) / size))
             at = bisect_left(hits, last + 1)
@@ -124,8 +155,18 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, license, first_word, n_words, coverage: one row for each stretch, in one pass."""
-    given = [Template(*item) for item in sorted((templates or TEMPLATES).items())]
+    """doc_id, license, first_word, n_words, coverage: one row for each stretch, in one pass.
+
+    Given templates are taken as they are: one wording each, without telling phrases.
+    """
+    if templates:
+        given = [Template(*item) for item in sorted(templates.items())]
+    else:
+        given = [
+            Template(name, wording, TELLING[name])
+            for name, text in sorted(TEMPLATES.items())
+            for wording in text.split("\n")
+        ]
     given = [t for t in given if t.words]
     if sum(len(t.words) for t in given) > MOST_TEMPLATE_WORDS:
         raise ValueError("too many template words for one pass; give templates in parts")

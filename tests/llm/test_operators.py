@@ -375,3 +375,27 @@ def test_rows_without_id_are_documents_of_their_own(spark, docs, tmp_path):
     clean = corpus_pipeline.clean_of_benchmarks(spark, table, str(tmp_path))
     expected = [row for row in rows if ITEM not in (row[1] or "")]
     assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, expected))
+
+
+def test_licenses_worded_alike_are_told_apart(spark):
+    others = """Released under the BSD License.
+Released under the MIT No Attribution License.
+Licensed under CC BY 4.0.
+Licensed under CC BY-SA 4.0.
+Licensed under the Apache License, Version 1.1.
+This work is licensed under the GNU General Public License, version 2.
+This work is licensed under the GNU Lesser General Public License, version 3.
+This work is licensed under a Creative Commons Attribution 3.0 International License.
+This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License.
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation""".split("\n")
+    own = {
+        "Licensed under the Apache License 2.0.": "Apache-2.0",
+        "Licensed under Apache License, Version 2.0": "Apache-2.0",
+        "This is licensed under the GNU General Public License, version 3.0.": "GPL-3.0",
+        f"{others[4]} {licenses.TEMPLATES['Apache-2.0']}": "Apache-2.0",
+    }
+    own |= {w: name for name, text in licenses.TEMPLATES.items() for w in text.split("\n")}
+    texts = [f"{prose(20, 60 + i)} {text} {prose(20, 90 + i)}" for i, text in enumerate([*others, *own])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [(r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()]
+    assert sorted(found) == [(len(others) + i, name) for i, name in enumerate(own.values())]
