@@ -17,10 +17,13 @@ from roadbook.llm import (
     hosts,
     licenses,
     lines,
+    mixing,
     neardup,
     packing,
+    phrases,
     pii,
     quality,
+    spelling,
     substrings,
     tokens,
 )
@@ -137,6 +140,24 @@ def op10_host_rules(spark, sf_dir):
     )
 
 
+@register
+def op11_source_mixture(spark, sf_dir):
+    return mixing.taken_rows(mixing.mixture(table(spark, sf_dir, "documents")))
+
+
+@register
+def op12_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.words_of(table(spark, sf_dir, "documents")))
+
+
+# CRC-32 of a string in DuckDB, which has no function for it: eight steps for each byte.
+CRC32_BYTE = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END::UBIGINT)"
+
 CHECKED_BY = {
     "op1_line_dedup": r"""
         WITH cut AS (
@@ -254,4 +275,102 @@ CHECKED_BY = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
         FROM judged""",
+    "op12_collocations": r"""
+        WITH piece AS (
+            SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+        ), cut AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+        ), gram AS (
+            SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+            FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                FROM cut, (VALUES (1), (2), (3), (4)) AS sizes(size) WHERE len(w) >= size)
+        ), freq AS (
+            SELECT lang, size, phrase, count(*) AS a FROM gram GROUP BY lang, size, phrase
+        ), total AS (
+            SELECT lang, sum(a)::BIGINT AS n FROM freq WHERE size = 1 GROUP BY lang
+        ), candidate AS (
+            SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w FROM freq
+            WHERE size > 1 AND a >= 30
+        ), part AS (
+            SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p,
+                array_to_string(w[k + 1:], ' ') AS q
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate)
+        ), scored AS (
+            SELECT part.lang, part.phrase, part.a, k, x.a AS l, y.a AS r,
+                (2000000::HUGEINT * part.a // (x.a + y.a))::BIGINT AS score
+            FROM part JOIN freq AS x ON x.lang = part.lang AND x.phrase = p
+            JOIN freq AS y ON y.lang = part.lang AND y.phrase = q
+        ), lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inside AS (
+            SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+            FROM (SELECT lang, a, w, m, unnest(range(1, size - m + 2)) AS i
+                FROM candidate, (VALUES (2), (3)) AS lengths(m) WHERE size > m)
+        ), longer AS (
+            SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase
+        ), ranked AS (
+            SELECT lowest.*, row_number() OVER (PARTITION BY lang
+                ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM lowest LEFT JOIN longer USING (lang, phrase)
+            WHERE most IS NULL OR 100 * most < 80 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang)
+        WHERE rank <= 2000""",
+    "op13_spelling_variants": rf"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list(c ORDER BY i) AS t FROM (SELECT i,
+                list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]), lambda c, x: {CRC32_BYTE}) AS c
+                FROM (SELECT unnest(range(256)) AS i))
+        ), run AS (
+            SELECT doc_id, run, count(*) AS times FROM (
+                SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''),
+                    '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+                FROM documents)
+            WHERE length(run) > 6 GROUP BY doc_id, run
+        ), marked AS (
+            SELECT run, times, xor(list_reduce(list_prepend(4294967295::UBIGINT, [
+                    ('0x' || hex[2 * i - 1:2 * i])::UBIGINT FOR i IN range(1, length(hex) // 2 + 1)]),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) % 256)::BIGINT + 1])), 4294967295::UBIGINT) AS h
+            FROM (SELECT run, times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hex
+                FROM run), crc_table
+        ), shortened AS (
+            SELECT times, CASE WHEN h % 31 = 0
+                THEN run[:(h % length(run))::INT] || run[(h % length(run))::INT + 2:]
+                ELSE run END AS word
+            FROM marked
+        ), word AS (
+            SELECT word, sum(times)::BIGINT AS n FROM shortened WHERE length(word) > 6
+            GROUP BY word HAVING sum(times) > 1
+        ), shorter AS (
+            SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM shorter AS a JOIN shorter AS b
+                ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter AS a JOIN word AS b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter AS a JOIN word AS b ON a.rest = b.word
+        ), best AS (
+            SELECT word, min(other) AS other, any_value(most) AS most
+            FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most FROM near)
+            WHERE other_n = most GROUP BY word
+        ), counted AS (
+            SELECT word, count(*) AS n_near FROM near GROUP BY word
+        ), formed AS (
+            SELECT word.word, n, coalesce(counted.n_near, 0) AS n_near,
+                CASE WHEN most >= 10 * n THEN other END AS form,
+                CASE WHEN most >= 10 * n THEN most END AS form_n
+            FROM word LEFT JOIN best USING (word) LEFT JOIN counted ON counted.word = word.word
+        ), chain AS (
+            SELECT word, word AS root FROM formed
+            UNION SELECT chain.word, formed.form FROM chain JOIN formed
+                ON formed.word = chain.root AND formed.form IS NOT NULL
+        ), ended AS (
+            SELECT chain.word, chain.root FROM chain JOIN formed ON formed.word = chain.root
+            WHERE formed.form IS NULL
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN ended USING (word)""",
 }
