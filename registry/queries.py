@@ -87,6 +87,9 @@ def silver_parse_timestamps(spark, sf_dir):
     shifts = cleaning.parse_timestamps(
         _raw(spark, sf_dir, DRIVER_SHIFT_LOGS), ["clock_in", "clock_out"]
     )
+    deliveries = cleaning.parse_timestamps(
+        _raw(spark, sf_dir, DELIVERY_COMPLETIONS), ["assigned_at", "completed_at"]
+    )
     pings = cleaning.require(pings, "timestamp").select(
         F.col("vehicle_id").alias("source_id"),
         F.col("timestamp").alias("event_time"),
@@ -97,7 +100,38 @@ def silver_parse_timestamps(spark, sf_dir):
         F.col("clock_in").alias("event_time"),
         F.col("clock_out").alias("end_time"),
     )
-    return pings.unionByName(shifts)
+    deliveries = cleaning.require(deliveries, "assigned_at").select(
+        F.col("delivery_id").alias("source_id"),
+        F.col("assigned_at").alias("event_time"),
+        F.col("completed_at").alias("end_time"),
+    )
+    return pings.unionByName(shifts).unionByName(deliveries)
+
+
+# How event times are written for timestamp_forms, by event number.
+WRITTEN = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyyMMdd'T'HHmmss",
+    "yyyyMMdd",
+    "MM/dd/yyyy hh:mm a",
+    "dd MMM yyyy HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss'+0530'",
+    "yyyy.MM.dd HH:mm'Z'",
+    "yyyyMMddHHmmss",
+    "HH:mm:ss",
+    "MMMM d, yyyy h:mm:ss a",
+)
+
+
+@register
+def timestamp_forms(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    form = F.col("event_id") % len(WRITTEN)
+    at = F.col("ts").cast("timestamp")
+    text = F.element_at(F.array(*[F.date_format(at, w) for w in WRITTEN]), (form + 1).cast("int"))
+    rows = events.select("event_id", form.alias("form"), text.alias("text"))
+    return rows.select("event_id", "form", functions.parse_timestamp(F.col("text")).alias("parsed"))
 
 
 @register

@@ -36,6 +36,41 @@ def test_parse_timestamp(spark):
     assert got == [second * 10**6, second * 10**6 + 678901, None, None, None, None]
 
 
+# Texts that pandas reads as well, each on its own.
+READ_ALIKE = """
+2024-01-02T03:04:05|2024-01-02 03:04|2024-01-02|2024-1-2 3:4:5|2024-01|2024|2024-01-02T03
+2024-01-02T03:04:05Z|2024-01-02T03:04:05z|2024-01-02T03:04:05+05:30|2024-01-02T03:04:05+0530
+2024-01-02T03:04:05+05|2024-01-02 03:04:05 +05:30|2024-01-02 03:04:05 UTC|2024-01-02t03:04:05
+2024/01/02|2024/1/2 03:04:05|2024.01.02|01/02/2024|13/01/2024|1/2/2024 3:04 PM|20240102
+20240102T030405|20240102 030405|20240102030405|20240102T0304|20240102T030405Z|20240102T030405+0530
+2 Jan 2024|02-Jan-2024 10:00|Jan 2, 2024|January 2, 2024 10:00:00 pm|2 January 2024|2024-Jan-02
+2024-01-02 03:04:05 AM|2024-01-02 12:04 am|01-02-2024|01.02.2024|2024-01-02T030405|2024-01-02 3:04:05.5
+2024-02-29|2024-01-02T03:04:05.123456+05:30|  2024-01-02 |2024-01-02T03:04:05-08:00
+2023-02-29|2024-02-30|2024-13-01|2024-01-02T24:00:00|2024-01-02T03:04:60|2024-01-02 13:04 PM|202401
+2024-002|2024-W01-2|T12:30|1704164645|NaT||not-a-time|12024-01-02|31/02/2024|20241301|2024-01-02 25:00
+""".strip("\n").replace("\n", "|").split("|")
+
+
+def test_parse_timestamp_reads_what_pandas_reads(spark):
+    import pandas as pd
+
+    got = values(spark, READ_ALIKE, "v string", F.unix_micros(fn.parse_timestamp(F.col("v"))))
+    for text, micros in zip(READ_ALIKE, got):
+        expected = pd.to_datetime(text, errors="coerce", utc=True)
+        assert micros == (None if expected is pd.NaT else expected.value // 1000), text
+
+
+def test_parse_timestamp_takes_no_time_without_a_date(spark):
+    texts = ["12:30", "9:05", "12:30:00", "T12:30", "12:3-05:00", "now", "today", " 7:15 ", "noon"]
+    assert values(spark, texts, "v string", fn.parse_timestamp(F.col("v"))) == [None] * len(texts)
+
+
+def test_parse_timestamp_leaves_timestamps(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-02 03:04:05.678901' AS v UNION ALL SELECT NULL")
+    got = df.select(F.unix_micros(fn.parse_timestamp(F.col("v")))).collect()
+    assert [r[0] for r in got] == [1_704_164_645_678_901, None]
+
+
 @pytest.mark.parametrize(
     "value, places, expected",
     [
