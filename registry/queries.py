@@ -16,7 +16,7 @@ from roadbook import functions
 from roadbook.functions import round_half_up
 from roadbook.operators import cleaning, reports
 from roadbook.plans import analytics, dashboard, gold, job
-from roadbook.session import scratch_dir, use_utc
+from roadbook.session import scratch_dir, use_utc, working_session
 from roadbook.sources import bronze, sample
 from roadbook.sources import lake as zones
 from roadbook.spec import (
@@ -141,14 +141,22 @@ def silver_speed_range(spark, sf_dir):
     return valid.select("vehicle_id", "timestamp", "speed_kmph")
 
 
+def _cleaned(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFrame:
+    """Silver rows as the job makes them."""
+    lake = sample_lake(spark, sf_dir)
+    size = sum(day.bytes for day in job.list_raw(spark, lake).get(spec.name, {}).values())
+    raw = bronze.read_raw(working_session(spark, size), lake.raw(spec.name), spec)
+    return job.clean_staged(spark, raw, spec)[0]
+
+
 @register
 def silver_dedupe_telemetry(spark, sf_dir):
-    return cleaning.clean(_raw(spark, sf_dir, VEHICLE_TELEMETRY), VEHICLE_TELEMETRY)
+    return _cleaned(spark, sf_dir, VEHICLE_TELEMETRY)
 
 
 @register
 def silver_dedupe_shifts(spark, sf_dir):
-    return cleaning.clean(_raw(spark, sf_dir, DRIVER_SHIFT_LOGS), DRIVER_SHIFT_LOGS)
+    return _cleaned(spark, sf_dir, DRIVER_SHIFT_LOGS)
 
 
 @register
@@ -160,7 +168,7 @@ def silver_dedupe_shifts_prefer_closed(spark, sf_dir):
 
 @register
 def silver_dedupe_deliveries(spark, sf_dir):
-    return cleaning.clean(_raw(spark, sf_dir, DELIVERY_COMPLETIONS), DELIVERY_COMPLETIONS)
+    return _cleaned(spark, sf_dir, DELIVERY_COMPLETIONS)
 
 
 @register

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from roadbook.functions import parse_number, parse_timestamp
 from roadbook.functions.numbers import is_number
 from roadbook.sources.bronze import with_arrival
-from roadbook.spec import ARRIVAL, DatasetSpec
+from roadbook.spec import ARRIVAL, VALID, DatasetSpec
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,6 +67,23 @@ def typed(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast("boolean") for c in spec.of_type("boolean")})
 
 
+def judged(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """All rows of a raw dataset typed, with VALID; of a row that is not valid only ``dt`` remains.
+
+    Written once, it says how many rows came in on each day and how many of them were valid, and the
+    rest of cleaning reads columns of it instead of raw text.
+    """
+    rows = typed(raw, spec)
+    if ARRIVAL not in rows.columns:
+        rows = with_arrival(rows)
+    ranges = [F.col(c).between(low, high) for c, (low, high) in spec.ranges.items()]
+    required = [is_number(F.col(c)) for c in spec.required_numeric]
+    valid = _all([*required, F.col(spec.required_timestamp).isNotNull(), *ranges])
+    rows = rows.withColumn(VALID, F.coalesce(valid, F.lit(False)))
+    kept = [F.when(F.col(VALID), F.col(c)).alias(c) for c in (*spec.columns, ARRIVAL)]
+    return rows.select(*kept, VALID, "dt")
+
+
 def _valid(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     df = drop_malformed(df, spec.required_numeric)
     df = require(df, spec.required_timestamp)
@@ -80,14 +97,16 @@ def clean(raw: DataFrame, spec: DatasetSpec, prefer: str | None = None) -> DataF
     With ``prefer`` (say ``clock_out``), copies that fill this column win over earlier ones that
     do not; by default the first copy wins even if it is less complete.
     """
-    order: list[str | Column] = [ARRIVAL]
-    if prefer:
-        order.insert(0, F.col(prefer).isNull())
     rows = typed(raw, spec)
     if ARRIVAL not in rows.columns:
         rows = with_arrival(rows)
     valid = _valid(rows, spec)
-    return keep_first(valid, spec.keys, order).select(*spec.columns, "dt")
+    return keep_first(valid, spec.keys, first_by(prefer)).select(*spec.columns, "dt")
+
+
+def first_by(prefer: str | None) -> list[str | Column]:
+    """The order in which copies win: by arrival, those that fill ``prefer`` before the others."""
+    return [ARRIVAL] if prefer is None else [F.col(prefer).isNull(), ARRIVAL]
 
 
 def _all(conditions) -> Column:

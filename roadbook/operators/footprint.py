@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadbook.functions import human_bytes
@@ -12,23 +12,12 @@ USD_PER_TB = 5.0
 BYTES_PER_TB = 1024**4
 
 
-def scanned_files(
-    spark: SparkSession, path: str, suffix: str, days: Column | None = None
-) -> DataFrame:
-    """Path, length and day of the files a scan of ``path`` opens.
+def scan_footprint(scenario: str, files: DataFrame, matched: DataFrame) -> DataFrame:
+    """One row: files and bytes that are scanned, and how many rows the query matched.
 
-    The binary source lists files without opening them as long as no content is asked for, and a
-    condition on ``dt`` prunes folders just as in the scan itself. Column pruning does not show
-    here: a file counts with its whole length.
+    ``files`` is a listing (``sources.listing``) of what the scan opens: a condition on ``dt`` prunes it
+    as it prunes folders. A file counts with its whole length, whichever columns are read.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path)
-    if days is not None:
-        files = files.where(days)
-    return files.select("path", "length", "dt")
-
-
-def scan_footprint(scenario: str, files: DataFrame, matched: DataFrame) -> DataFrame:
-    """One row: files and bytes that are scanned, and how many rows the query matched."""
     touched = files.select("length", F.lit(1).alias("file"))
     numbers = touched.unionByName(
         matched.select(F.lit(1).alias("matched")), allowMissingColumns=True

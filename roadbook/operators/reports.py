@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -41,13 +41,18 @@ def cleaning_report(datasets: Mapping[str, tuple[DataFrame, DataFrame]]) -> Data
         for name, (dirty, cleaned) in datasets.items()
         for df, raw in ((dirty, 1), (cleaned, 0))
     )
+    return _with_dropped(
+        counts.groupBy("dataset").agg(
+            F.sum("raw_rows").alias("raw_rows"), F.sum("staged_rows").alias("staged_rows")
+        )
+    )
+
+
+def _with_dropped(counts: DataFrame) -> DataFrame:
     raw, dropped = F.col("raw_rows"), F.col("dropped_rows")
     share = F.coalesce(percent(dropped, raw), F.lit(0.0))
-    return (
-        counts.groupBy("dataset")
-        .agg(F.sum("raw_rows").alias("raw_rows"), F.sum("staged_rows").alias("staged_rows"))
-        .withColumn("dropped_rows", raw - F.col("staged_rows"))
-        .withColumn("dropped_pct", round_half_up(share, 1))
+    return counts.withColumn("dropped_rows", raw - F.col("staged_rows")).withColumn(
+        "dropped_pct", round_half_up(share, 1)
     )
 
 
@@ -61,3 +66,24 @@ def build_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.count("dt").alias("partition_count"),
         )
     )
+
+
+def cleaning_report_of_counts(entered: Mapping[str, DataFrame]) -> DataFrame:
+    """The cleaning report from counts by day (raw_rows, rows) of each dataset."""
+
+    def counted(name: str, days: DataFrame) -> DataFrame:
+        return days.agg(
+            F.lit(name).alias("dataset"),
+            F.coalesce(F.sum("raw_rows"), F.lit(0)).alias("raw_rows"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("staged_rows"),
+        )
+
+    return _with_dropped(_union(counted(name, days) for name, days in entered.items()))
+
+
+def build_report_of_counts(entered: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """The build report from counts by day (name, rows); a day without rows is none."""
+    known = entered.where((F.col("rows") > 0) & F.col("name").isin(*tables))
+    return known.groupBy(F.col("name").alias("table_name")).agg(
+        F.sum("rows").alias("row_count"), F.count("dt").alias("partition_count")
+    )

@@ -1,70 +1,176 @@
 """The daily job: clean raw days, rebuild their gold rows, answer the queries, report.
 
-Every zone is written before the next is built from it, so a failed step starts again from the
-zone before, and each write replaces whole days, so running a step twice changes nothing.
+Days are built in groups of a bounded size, each zone written before the next is built from it. The
+ledger knows which days are done, and from which files: a run that was stopped goes on where it was,
+and each write replaces whole days, so doing a step twice changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
+from itertools import chain
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.operators import footprint, reports
-from roadbook.operators.cleaning import clean
+from roadbook.operators.cleaning import first_by, judged
+from roadbook.operators.dedupe import first_copies, repeated_marks
 from roadbook.plans import analytics, gold
-from roadbook.session import shuffles_sized_for
-from roadbook.sources import bronze
+from roadbook.plans.schedule import GROUP_BYTES, groups_of_days
+from roadbook.session import scratch_dir, working_session
+from roadbook.sources import bronze, ledger
 from roadbook.sources.bronze import Days, on_days
 from roadbook.sources.lake import (
     Lake,
-    bytes_on_file,
     days_on_file,
+    make_folder,
     read_gold,
     read_silver,
     register_views,
+    remove_folder,
     write_days,
 )
+from roadbook.sources.ledger import Entry
+from roadbook.sources.listing import Day, by_day, list_files, stored_listing
 from roadbook.spec import (
     DATASETS,
     DELIVERY_COMPLETIONS,
     DRIVER_SHIFT_LOGS,
     GOLD_TABLES,
+    VALID,
     VEHICLE_TELEMETRY,
     DatasetSpec,
 )
 
+T = TypeVar("T")
+
 # Rows are sorted by this column within the days of a gold table.
 GOLD_KEYS = dict(zip(GOLD_TABLES, ("vehicle_id", "driver_id", "city")))
+# What each gold table is built from.
+GOLD_SOURCES = dict(
+    zip(
+        GOLD_TABLES,
+        (
+            (VEHICLE_TELEMETRY,),
+            (DRIVER_SHIFT_LOGS, DELIVERY_COMPLETIONS),
+            (DELIVERY_COMPLETIONS,),
+        ),
+    )
+)
+# Fingerprint of a day that has no files.
+NO_FILES = 0
 
-
-def _several(days: Days) -> bool:
-    return days is None or len(days) > 1
+Listed = Mapping[str, Mapping[str, Day]]
 
 
-def at_once(steps: Iterable[Callable[[], None]]) -> None:
+def at_once(steps: Iterable[Callable[[], T]]) -> list[T]:
     """Run independent writes together, so that none waits for the last tasks of another."""
     with ThreadPoolExecutor() as pool:
-        for step in [pool.submit(step) for step in steps]:
-            step.result()
+        return [step.result() for step in [pool.submit(step) for step in steps]]
+
+
+def list_raw(spark: SparkSession, lake: Lake) -> dict[str, dict[str, Day]]:
+    """The days of each raw dataset with their bytes and fingerprints."""
+    return by_day(list_files(spark, {spec.name: lake.raw(spec.name) for spec in DATASETS}, ".json"))
+
+
+def _sizes(listed: Listed, names: Iterable[str], days: Iterable[str]) -> dict[str, int]:
+    """For each day the bytes of the largest of the named inputs."""
+    none = Day(0, NO_FILES)
+    return {day: max(listed.get(n, {}).get(day, none).bytes for n in names) for day in days}
 
 
-def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
-    """Clean the raw datasets, all days or the given ones."""
+def _all_days(listed: Listed, days: Days) -> list[str]:
+    found = {day for of in listed.values() for day in of} if days is None else {str(d) for d in days}
+    return sorted(found)
 
-    def write(spec: DatasetSpec) -> None:
-        source = lake.raw(spec.name)
-        covered = days_on_file(spark, source) if days is None else days
-        rows = clean(bronze.read_raw(spark, source, spec, days), spec)
-        write_days(rows, lake.staging(spec.name), spec.keys, _several(days), covered)
 
-    largest = max(bytes_on_file(spark, lake.raw(spec.name), days) for spec in DATASETS)
-    with shuffles_sized_for(spark, largest):
-        at_once(partial(write, spec) for spec in DATASETS)
+def clean_staged(
+    spark: SparkSession, raw: DataFrame, spec: DatasetSpec, prefer: str | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Silver rows as ``clean`` gives them, counts by day, and the scratch folders behind both.
+
+    Raw text is parsed once, and all that is shuffled of every row is a hash of its key; both happen
+    here, in the session of ``raw``. What is returned belongs to ``spark``.
+    """
+    own = raw.sparkSession
+    judged_at, marks_at = (scratch_dir(own, f"{kind}-{spec.name}") for kind in ("judged", "repeated"))
+
+    def written(rows: DataFrame, path: str, session: SparkSession) -> DataFrame:
+        return session.read.schema(rows.schema).parquet(path)
+
+    rows = judged(raw, spec)
+    rows.write.parquet(judged_at)
+    marks = repeated_marks(written(rows, judged_at, own).where(VALID), spec.keys)
+    marks.write.parquet(marks_at)
+    staged, marks = written(rows, judged_at, spark), written(marks, marks_at, spark)
+    valid = staged.where(VALID).drop(VALID)
+    rows = first_copies(valid, spec.keys, marks, first_by(prefer)).select(*spec.columns, "dt")
+    counts = staged.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if(VALID).alias("valid_rows")
+    )
+    return rows, counts, [judged_at, marks_at]
+
+
+def build_silver(
+    spark: SparkSession,
+    lake: Lake,
+    days: Days = None,
+    listed: Listed | None = None,
+    group_bytes: int = GROUP_BYTES,
+) -> None:
+    """Clean the raw datasets, all days or the given ones, and enter them in the ledger.
+
+    Of all days, a dataset's own ones in the raw zone are built; of given days, those of each dataset.
+    """
+    listed = list_raw(spark, lake) if listed is None else listed
+    for spec in DATASETS:
+        make_folder(spark, lake.staging(spec.name))
+    names = [spec.name for spec in DATASETS]
+    for group in groups_of_days(_sizes(listed, names, _all_days(listed, days)), group_bytes):
+        own = working_session(spark, group.bytes)
+        parts = [
+            (spec, [d for d in group.days if days is not None or d in listed.get(spec.name, {})])
+            for spec in DATASETS
+        ]
+        found = at_once(partial(_write_silver, own, lake, s, d, listed) for s, d in parts if d)
+        ledger.enter(own, lake, "silver", chain.from_iterable(found))
+
+
+def _write_silver(
+    spark: SparkSession, lake: Lake, spec: DatasetSpec, days: list[str], listed: Listed
+) -> list[Entry]:
+    raw = bronze.read_raw(spark, lake.raw(spec.name), spec, days)
+    rows, counts, scratch = clean_staged(spark, raw, spec)
+    try:
+        write_days(rows, lake.staging(spec.name), spec.keys, covers=days)
+        came = ledger.counts_by_day(counts)
+    finally:
+        for path in scratch:
+            remove_folder(spark, path)
+    written = ledger.counts_by_day(_rows_per_day(read_silver(spark, lake, spec).where(on_days(days))))
+    of, none = listed.get(spec.name, {}), Day(0, NO_FILES)
+    return [
+        Entry(
+            spec.name,
+            day,
+            of.get(day, none).mark,
+            came.get(day, {}).get("raw_rows", 0),
+            came.get(day, {}).get("valid_rows", 0),
+            written.get(day, {}).get("rows", 0),
+        )
+        for day in days
+    ]
+
+
+def _rows_per_day(table: DataFrame) -> DataFrame:
+    """Rows of each day; from Parquet files it reads nothing but their footers."""
+    return table.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def gold_tables(spark: SparkSession, lake: Lake, days: Days = None) -> dict[str, DataFrame]:
@@ -81,18 +187,85 @@ def gold_tables(spark: SparkSession, lake: Lake, days: Days = None) -> dict[str,
     return dict(zip(GOLD_TABLES, tables))
 
 
-def build_gold(spark: SparkSession, lake: Lake, days: Days = None) -> None:
-    """Aggregate silver into the gold tables, all days or the given ones."""
+def build_gold(
+    spark: SparkSession,
+    lake: Lake,
+    days: Days = None,
+    group_bytes: int = GROUP_BYTES,
+) -> None:
+    """Aggregate silver into the gold tables, all days or the given ones, and enter them in the ledger.
 
-    def write(name: str, table: DataFrame) -> None:
-        path = lake.curated(name)
-        covered = days_on_file(spark, path) if days is None else days
-        write_days(table, path, [GOLD_KEYS[name]], _several(days), covered)
+    Of all days, those that silver or a gold table has.
+    """
+    for name in GOLD_TABLES:
+        make_folder(spark, lake.curated(name))
+    places = {spec.name: lake.staging(spec.name) for spec in DATASETS}
+    staged, marks = at_once(
+        [
+            lambda: by_day(list_files(spark, places, ".parquet")),
+            lambda: ledger.finished(spark, lake, "silver"),
+        ]
+    )
+    wanted = set(_all_days(staged, days))
+    if days is None:
+        wanted |= {day for name in GOLD_TABLES for day in days_on_file(spark, lake.curated(name))}
+    for group in groups_of_days(_sizes(staged, list(staged) or [""], wanted), group_bytes):
+        own = working_session(spark, group.bytes)
+        tables = gold_tables(own, lake, group.days)
+        found = at_once(
+            partial(_write_gold, own, lake, name, table, group.days, marks)
+            for name, table in tables.items()
+        )
+        ledger.enter(own, lake, "gold", chain.from_iterable(found))
+
+
+def _write_gold(
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    table: DataFrame,
+    days: tuple[str, ...],
+    marks: Mapping[tuple[str, str], int],
+) -> list[Entry]:
+    write_days(table, lake.curated(name), [GOLD_KEYS[name]], covers=days)
+    written = ledger.counts_by_day(_rows_per_day(read_gold(spark, lake, name).where(on_days(days))))
+    return [
+        Entry(name, day, gold_mark(name, day, marks), None, None, written.get(day, {}).get("rows", 0))
+        for day in days
+    ]
+
+
+def gold_mark(name: str, day: str, silver: Mapping[tuple[str, str], int]) -> int:
+    """Fingerprint of what a gold day is built from, by those of its silver days."""
+    return reduce(
+        lambda mark, spec: (mark * 31 + silver.get((spec.name, day), NO_FILES)) % 2**63,
+        GOLD_SOURCES[name],
+        NO_FILES,
+    )
 
-    largest = max(bytes_on_file(spark, lake.staging(spec.name), days) for spec in DATASETS)
-    tables = gold_tables(spark, lake, days)
-    with shuffles_sized_for(spark, largest):
-        at_once(partial(write, name, table) for name, table in tables.items())
+
+def unfinished(
+    spark: SparkSession, lake: Lake, listed: Listed, days: Days = None
+) -> tuple[list[str], list[str]]:
+    """The days that silver, and those that gold has not built from the raw files as they are now.
+
+    A silver day that is to be built is to be built in gold as well, and is not named there.
+    """
+    zones = ("silver", "gold")
+    silver, done = at_once(partial(ledger.finished, spark, lake, zone) for zone in zones)
+    wanted = _all_days(listed, days)
+    stale = [
+        day
+        for day in wanted
+        if any(silver.get((n, day)) != of[day].mark for n, of in listed.items() if day in of)
+    ]
+    behind = [
+        day
+        for day in wanted
+        if day not in stale
+        and any(done.get((name, day)) != gold_mark(name, day, silver) for name in GOLD_TABLES)
+    ]
+    return stale, behind
 
 
 def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -110,22 +283,21 @@ def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def cleaning_report(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """Raw against staged rows of the days that lie in the raw zone, or of the given ones.
 
-    Raw lines are counted unparsed, staged rows from Parquet footers. A day that is no longer in the
-    raw zone was not cleaned, so its staged rows do not count.
+    The counts are those that were entered when the days were built; no data is read. A day that is no
+    longer in the raw zone does not count.
     """
+    built = ledger.entries(spark, lake, "silver")
 
-    def counted(spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-        source = lake.raw(spec.name)
-        covered = days_on_file(spark, source) if days is None else days
-        staged = read_silver(spark, lake, spec).where(on_days(covered))
-        return bronze.raw_lines(spark, source, days), staged
+    def of(spec: DatasetSpec) -> DataFrame:
+        covered = days_on_file(spark, lake.raw(spec.name)) if days is None else days
+        return built.where((F.col("name") == spec.name) & on_days(covered))
 
-    return reports.cleaning_report({spec.name: counted(spec) for spec in DATASETS})
+    return reports.cleaning_report_of_counts({spec.name: of(spec) for spec in DATASETS})
 
 
 def build_report(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Rows and days of the gold tables."""
-    return reports.build_report({name: read_gold(spark, lake, name) for name in GOLD_TABLES})
+    """Rows and days of the gold tables, as entered when they were built; no data is read."""
+    return reports.build_report_of_counts(ledger.entries(spark, lake, "gold"), GOLD_TABLES)
 
 
 def footprints(spark: SparkSession, lake: Lake, city: str, on: analytics.Day) -> DataFrame:
@@ -137,8 +309,10 @@ def footprints(spark: SparkSession, lake: Lake, city: str, on: analytics.Day) ->
     )
     point = analytics.sla_point_lookup(read_gold(spark, lake, "delivery_sla_compliance"), city, on)
     that_day = F.col("dt") == analytics.day(on)
-    before = footprint.scanned_files(spark, raw, ".json")
-    after = footprint.scanned_files(spark, curated, ".parquet", that_day)
+    listing = stored_listing(spark, {"before": raw}, ".json").unionByName(
+        stored_listing(spark, {"after": curated}, ".parquet").where(that_day)
+    )
+    before, after = (listing.where(F.col("name") == name) for name in ("before", "after"))
     return footprint.scan_footprint("before", before, of_city).unionByName(
         footprint.scan_footprint("after", after, point)
     )
@@ -164,14 +338,26 @@ def run(
     lake: Lake,
     days: Days = None,
     cost_of: tuple[str, analytics.Day] | None = None,
+    fresh: bool = False,
 ) -> JobResult:
     """Build silver and gold from the raw zone, name the tables, and prepare the answers.
 
-    With ``cost_of``, a (city, day), the scan comparison is written next to the zones as JSON. Any
-    failure ends the run.
+    Days that the ledger has as built from the raw files as they are now are left alone, unless
+    ``fresh``; so a run that was stopped goes on with what is left. With ``cost_of``, a (city, day), the
+    scan comparison is written next to the zones as JSON. Any failure ends the run.
     """
-    build_silver(spark, lake, days)
-    build_gold(spark, lake, days)
+    listed = list_raw(spark, lake)
+    if fresh:
+        stale, behind = _all_days(listed, days), []
+    else:
+        stale, behind = unfinished(spark, lake, listed, days)
+    if stale and days is None:
+        of_stale = {n: {d: of[d] for d in of if d in stale} for n, of in listed.items()}
+        build_silver(spark, lake, None, of_stale)
+    elif stale:
+        build_silver(spark, lake, stale, listed)
+    if stale or behind:
+        build_gold(spark, lake, sorted({*stale, *behind}))
     register_views(spark, lake)
     cost = None
     if cost_of:

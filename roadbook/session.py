@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,34 +31,32 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input per shuffle partition, and the most partitions that pay off: above it the blocks that pass
-# between map and reduce tasks (one for each pair) get too small and too many.
+# Input per shuffle partition.
 BYTES_PER_PARTITION = 256 * 1024**2
-MOST_PARTITIONS = 50_000
 PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Start shuffles with enough partitions for the input; never with fewer than configured.
+def working_session(spark: SparkSession, input_bytes: int = 0, **conf: str) -> SparkSession:
+    """A session beside the caller's for work of the engine's own, on the same cluster and catalog.
 
-    Adaptive execution joins partitions that turn out small, but does not split those of an
-    aggregation or a window, so the number to start from has to grow with the data.
+    It has the caller's settings, UTC, the given ones, and shuffles that start with enough partitions
+    for the input, never with fewer than configured: adaptive execution joins partitions that turn
+    out small, but does not split those of an aggregation or a window. The caller's session stays as
+    it is, so builds that run at the same time do not change each other's settings.
     """
-    before = spark.conf.get(PARTITIONS, None)
-    configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MOST_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
-    if wanted <= configured:
-        yield
-        return
-    spark.conf.set(PARTITIONS, str(wanted))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(PARTITIONS)
-        else:
-            spark.conf.set(PARTITIONS, before)
+    own = spark.newSession()
+    known = own.conf.getAll
+    for key, value in spark.conf.getAll.items():
+        if known.get(key) != value and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    use_utc(own)
+    configured = own.conf.get(PARTITIONS, None) or own.conf.get("spark.sql.shuffle.partitions")
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    if wanted > int(configured):
+        own.conf.set(PARTITIONS, str(wanted))
+    for key, value in conf.items():
+        own.conf.set(key, value)
+    return own
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -75,3 +71,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="roadbook-")
     app = spark.sparkContext.applicationId
     return f"{base.rstrip('/')}/roadbook/{app}/{label}-{uuid.uuid4().hex[:12]}"
+

@@ -27,6 +27,10 @@ class Lake:
     def curated(self, name: str) -> str:
         return f"{self.base}/curated/{name}"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.base}/ledger"
+
     @property
     def cost_report(self) -> str:
         return f"{self.base}/cost_comparison"
@@ -65,16 +69,6 @@ def days_on_file(spark: SparkSession, path: str) -> list[str]:
     return sorted(name.removeprefix("dt=") for name in names if name.startswith("dt="))
 
 
-def bytes_on_file(spark: SparkSession, path: str, days: Sequence[dt.date | str] | None) -> int:
-    """Size of a table, or of some of its days; 0 where there is nothing."""
-    total = 0
-    for place in [path] if days is None else [f"{path}/dt={day}" for day in days]:
-        folder, files = _folder(spark, place)
-        if files.exists(folder):
-            total += files.getContentSummary(folder).getLength()
-    return total
-
-
 def _any_file(spark: SparkSession, path: str):
     """One file of a folder, or None."""
     folder, files = _folder(spark, path)

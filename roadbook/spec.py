@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 # Columns that bronze readers add to the data columns.
 ARRIVAL = "_arrival"  # sortable position of the row among the rows of its day
+VALID = "_valid"  # whether the row meets the rules of its dataset
 CORRUPT = "_corrupt_record"  # text of a line that is not JSON
 
 

@@ -8,30 +8,14 @@ rebuild, so a refresh that fails is repeated by the next one, which changes noth
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.plans import job
-from roadbook.session import scratch_dir
 from roadbook.sources.lake import Lake, complete_versions, make_folder, remove_folder
+from roadbook.sources.listing import FILES, by_day, stored_listing
 from roadbook.spec import DATASETS
 
-KEPT = "path string, modificationTime timestamp, length long, dt date"
-
-
-def files_of(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The raw files of all datasets. None is opened."""
-
-    def listed(path: str) -> DataFrame:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-        day = F.col("dt") if "dt" in files.columns else F.lit(None)  # an empty folder has no days
-        return files.select("path", "modificationTime", "length", day.cast("date").alias("dt"))
-
-    return reduce(DataFrame.unionByName, [listed(lake.raw(spec.name)) for spec in DATASETS])
-
-
 def changed_days(before: DataFrame, now: DataFrame) -> DataFrame:
     """The days (``dt``) of files that are in one listing and not, or not so, in the other."""
     both = before.withColumn("side", F.lit(1)).unionByName(now.withColumn("side", F.lit(2)))
@@ -48,17 +32,15 @@ def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> list
     for spec in DATASETS:
         make_folder(spark, lake.raw(spec.name))
     # Written before it is used: files that land during the rebuild belong to the next refresh.
-    path = scratch_dir(spark, "raw-files")
-    files_of(spark, lake).write.parquet(path)
-    now = spark.read.schema(KEPT).parquet(path)
+    now = stored_listing(spark, {spec.name: lake.raw(spec.name) for spec in DATASETS}, ".json")
     versions = complete_versions(spark, checkpoint)
     if versions:
-        before = spark.read.schema(KEPT).parquet(f"{checkpoint}/{versions[-1]}")
+        before = spark.read.schema(FILES).parquet(f"{checkpoint}/{versions[-1]}")
     else:
-        before = spark.createDataFrame([], KEPT)
+        before = spark.createDataFrame([], FILES)
     days = sorted(str(row.dt) for row in changed_days(before, now).collect())  # one row per day
     if days:
-        job.build_silver(spark, lake, days)
+        job.build_silver(spark, lake, days, by_day(now))
         job.build_gold(spark, lake, days)
         last = versions[-1] if versions else 0
         now.write.mode("overwrite").parquet(f"{checkpoint}/{last + 1}")

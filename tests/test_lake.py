@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from roadbook import session
 from roadbook.__main__ import main as command
-from roadbook.operators import footprint, reports
-from roadbook.plans import job
+from roadbook.operators import dedupe, footprint, reports
+from roadbook.operators.cleaning import clean
+from roadbook.plans import job, schedule
 from roadbook.session import scratch_dir
-from roadbook.sources import bronze
+from roadbook.sources import bronze, listing
 from roadbook.sources import lake as zones
 from roadbook.spec import (
     ARRIVAL,
     DATASETS,
     DELIVERY_COMPLETIONS,
     DRIVER_SHIFT_LOGS,
+    GOLD_SCHEMAS,
     VEHICLE_TELEMETRY,
 )
 from roadbook.streaming.arrivals import refresh_on_arrival
@@ -205,7 +207,7 @@ def test_inferred_scan_finds_types(spark, filled):
 
 @pytest.mark.parametrize("spec", DATASETS, ids=lambda spec: spec.name)
 def test_cleaning_parses_once_and_stays_small_enough_to_be_compiled(spark, filled, plan, spec):
-    cleaned = job.clean(bronze.read_raw(spark, filled.raw(spec.name), spec), spec)
+    cleaned = clean(bronze.read_raw(spark, filled.raw(spec.name), spec), spec)
     text = plan(cleaned)
     checks = [line for line in text.splitlines() if "Filter " in line and "_rank" not in line]
     assert checks and not any("cast(" in line for line in checks)
@@ -332,7 +334,7 @@ def test_dataset_that_is_gone_leaves_silver_alone(spark, filled):
     job.build_silver(spark, filled)
     elsewhere = zones.Lake(filled.base + "-none")
     spec = DELIVERY_COMPLETIONS
-    empty = job.clean(bronze.read_raw(spark, elsewhere.raw(spec.name), spec), spec)
+    empty = clean(bronze.read_raw(spark, elsewhere.raw(spec.name), spec), spec)
     zones.write_days(empty, filled.staging(spec.name), spec.keys)
     assert zones.days_on_file(spark, filled.staging(spec.name)) == [str(DAY_1), str(DAY_2)]
 
@@ -422,21 +424,190 @@ def test_report_is_one_json_object(spark, tmp_path):
     assert json.load(open(file)) == {"n": 1, "s": "a"}
 
 
-def test_shuffles_grow_with_the_input(spark, filled):
+def test_listing_has_sizes_by_day_and_opens_nothing(spark, filled):
     path = filled.raw("vehicle_telemetry")
     sizes = [os.path.getsize(f) for f in sorted(glob.glob(f"{path}/*/*.json"))]
-    assert zones.bytes_on_file(spark, path, None) == sum(sizes)
-    assert zones.bytes_on_file(spark, path, [DAY_1, DAY_3]) == sizes[0]
-    assert zones.bytes_on_file(spark, path + "-none", None) == 0
+    places = {"a": path, "gone": path + "-none"}
+    listed = listing.by_day(listing.stored_listing(spark, places, ".json"))
+    assert {d: day.bytes for d, day in listed["a"].items()} == dict(zip((str(DAY_1), str(DAY_2)), sizes))
+    assert "gone" not in listed
+    assert listing.by_day(listing.list_files(spark, places, ".json")) == listed
+    land_lines(filled, VEHICLE_TELEMETRY, DAY_2, [ping("V9", DAY_2, 1)], part=9)
+    after = listing.by_day(listing.list_files(spark, places, ".json"))
+    one, two = str(DAY_1), str(DAY_2)
+    assert after["a"][one] == listed["a"][one] and after["a"][two] != listed["a"][two]
+
+
+def test_listing_is_packed_by_count_of_files(spark, tmp_path, monkeypatch):
+    for day in range(1, 5):
+        os.makedirs(tmp_path / f"dt=2024-01-0{day}")
+        for part in range(10):
+            with open(tmp_path / f"dt=2024-01-0{day}" / f"part-{part}.json", "wb") as file:
+                file.truncate(200 * 1024**2)  # sparse: it takes no space
+    files = listing.list_files(spark, {"big": str(tmp_path)}, ".json")
+    assert files.rdd.getNumPartitions() == 1 and files.count() == 40
+    monkeypatch.setattr(listing, "FILES_PER_TASK", 10)
+    assert 4 <= listing.list_files(spark, {"big": str(tmp_path)}, ".json").rdd.getNumPartitions() <= 5
+
+
+def test_shuffles_grow_with_the_input_in_a_session_of_their_own(spark):
+    before = spark.conf.getAll
 
     def partitions(size):
-        with session.shuffles_sized_for(spark, size):
-            return spark.conf.get(session.PARTITIONS, None)
+        own = session.working_session(spark, size)
+        assert own.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+        return own.conf.get(session.PARTITIONS, None)
 
     assert partitions(10 * 1024**2) is None
     assert partitions(1024**4) == "4096"
-    assert partitions(100 * 1024**4) == str(session.MOST_PARTITIONS)
-    assert spark.conf.get(session.PARTITIONS, None) is None
+    assert partitions(100 * 1024**4) == "409600"
+    assert spark.conf.getAll == before
+
+
+def test_days_are_built_in_groups_of_bounded_size():
+    sizes = {"2024-01-03": 30, "2024-01-01": 40, "2024-01-02": 50, "2024-01-04": 500, "2024-01-05": 10}
+    groups = schedule.groups_of_days(sizes, 100)
+    assert [(g.days, g.bytes) for g in groups] == [
+        (("2024-01-01", "2024-01-02"), 90),
+        (("2024-01-03",), 30),
+        (("2024-01-04",), 500),
+        (("2024-01-05",), 10),
+    ]
+    assert schedule.groups_of_days({}) == []
+
+
+def test_groups_give_what_one_build_gives(spark, filled, tmp_path):
+    whole = zones.Lake(str(tmp_path / "whole"))
+    shutil.copytree(f"{filled.base}/raw", f"{whole.base}/raw")
+    before = spark.conf.getAll
+    job.build_silver(spark, whole)
+    job.build_gold(spark, whole)
+    job.build_silver(spark, filled, group_bytes=1)
+    job.build_gold(spark, filled, group_bytes=1)
+    assert spark.conf.getAll == before
+    for spec in DATASETS:
+        one, many = (zones.read_silver(spark, lake, spec) for lake in (whole, filled))
+        assert rows(one) == rows(many) != []
+    for name in GOLD_SCHEMAS:
+        one, many = (zones.read_gold(spark, lake, name) for lake in (whole, filled))
+        assert rows(one) == rows(many) != []
+
+
+# --- narrow dedupe ----------------------------------------------------------------------------
+
+
+def test_narrow_dedupe_gives_what_the_wide_one_gives(spark, filled):
+    for spec in DATASETS:
+        raw = bronze.read_raw(spark, filled.raw(spec.name), spec)
+        for prefer in (None, spec.required_timestamp):
+            narrow, counts, _ = job.clean_staged(spark, raw, spec, prefer)
+            assert rows(narrow) == rows(clean(raw, spec, prefer)) != []
+        assert counts.agg(F.sum("raw_rows")).first()[0] == raw.count()
+
+
+def test_narrow_dedupe_shuffles_only_rows_whose_key_repeats(spark, plan):
+    data = spark.range(100_000).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 3 as int)) as dt",
+        "cast(id % 99000 as string) as k",
+        "id as _arrival",
+        "repeat('x', 200) as wide",
+    )
+    marks = dedupe.repeated_marks(data, ["k"])
+    marks = spark.createDataFrame(marks.collect(), marks.schema)
+    assert 900 < sum(bin(r.bits & (2**64 - 1)).count("1") for r in marks.collect()) <= 1000
+    found = dedupe.first_copies(data, ["k"], marks)
+    # The same key on another day is no copy: 1,000 keys repeat on the same day (99,000 is 3 * 33,000).
+    assert found.count() == 99_000 and found.agg(F.max("_arrival")).first()[0] == 98_999
+    exchanges = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1
+    assert found.where("_arrival < 0").count() == 0
+
+
+def test_narrow_dedupe_of_a_hot_key_and_of_equal_marks(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "BITS", 64)  # every key shares its mark with others
+    data = spark.range(3000).selectExpr(
+        "date'2024-01-01' as dt", "if(id % 3 = 0, 'hot', cast(id as string)) as k", "id as _arrival"
+    )
+    found = dedupe.first_copies(data, ["k"], dedupe.repeated_marks(data, ["k"]))
+    assert found.count() == 2001 and found.where("k = 'hot'").first()._arrival == 0
+
+
+# --- the ledger -------------------------------------------------------------------------------
+
+
+def test_run_that_was_stopped_between_zones_goes_on(spark, filled, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(job, "gold_tables", fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            job.run(spark, filled)
+    silver = {f: os.path.getmtime(f) for f in glob.glob(f"{filled.base}/staging/**/*.parquet", recursive=True)}
+    assert silver and not glob.glob(f"{filled.base}/curated/*/dt=*")
+    result = job.run(spark, filled)
+    assert {f: os.path.getmtime(f) for f in silver} == silver
+    assert result.gold.count() == 3
+
+    gold = glob.glob(f"{filled.base}/curated/**/*.parquet", recursive=True)
+    job.run(spark, filled)
+    assert glob.glob(f"{filled.base}/curated/**/*.parquet", recursive=True) == gold
+    job.run(spark, filled, fresh=True)
+    assert not set(gold) & set(glob.glob(f"{filled.base}/curated/**/*.parquet", recursive=True))
+
+
+def test_run_stopped_between_groups_goes_on(spark, filled, monkeypatch):
+    write, calls = job._write_silver, []
+
+    def stops(own, lake, spec, days, listed):
+        calls.append((spec.name, tuple(days)))
+        if str(DAY_2) in days:
+            raise RuntimeError("stopped")
+        return write(own, lake, spec, days, listed)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(job, "_write_silver", stops)
+        with pytest.raises(RuntimeError):
+            job.build_silver(spark, filled, group_bytes=1)
+    stale, behind = job.unfinished(spark, filled, job.list_raw(spark, filled))
+    assert (stale, behind) == ([str(DAY_2)], [str(DAY_1)])
+    job.run(spark, filled)
+    assert job.unfinished(spark, filled, job.list_raw(spark, filled)) == ([], [])
+
+
+def test_run_rebuilds_days_whose_files_changed(spark, filled):
+    job.run(spark, filled)
+    land_lines(filled, DELIVERY_COMPLETIONS, DAY_2, [delivery(99, DAY_2)], part=7)
+    assert job.unfinished(spark, filled, job.list_raw(spark, filled)) == ([str(DAY_2)], [])
+    before = job.cleaning_report(spark, filled).where("dataset = 'delivery_completions'").first()
+    result = job.run(spark, filled)
+    after = result.cleaning.where("dataset = 'delivery_completions'").first()
+    assert (after.raw_rows, after.staged_rows) == (before.raw_rows + 1, before.staged_rows + 1)
+
+
+def test_reports_read_no_data(spark, filled):
+    job.run(spark, filled)
+    for report in (job.cleaning_report(spark, filled), job.build_report(spark, filled)):
+        read = report.inputFiles()
+        assert read and all("/ledger/" in file for file in read)
+    counted = reports.cleaning_report(
+        {
+            spec.name: (bronze.raw_lines(spark, filled.raw(spec.name)), zones.read_silver(spark, filled, spec))
+            for spec in DATASETS
+        }
+    )
+    assert rows(job.cleaning_report(spark, filled), *counted.columns) == rows(counted)
+    tables = {name: zones.read_gold(spark, filled, name) for name in GOLD_SCHEMAS}
+    assert rows(job.build_report(spark, filled)) == rows(reports.build_report(tables))
+
+
+def test_scratch_data_of_a_build_is_removed(spark, filled):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    kept = set(glob.glob(f"{shared}/roadbook/*/*"))
+    job.build_silver(spark, filled)
+    left = {os.path.basename(p) for p in set(glob.glob(f"{shared}/roadbook/*/*")) - kept}
+    assert not any(name.startswith(("judged", "repeated")) for name in left)
 
 
 def test_scratch_folder_is_the_shared_one(spark):
@@ -477,7 +648,7 @@ def test_arriving_files_rebuild_their_days_only(spark, lake, tmp_path):
     full = zones.Lake(lake.base + "-full")
     for spec in DATASETS:
         raw = bronze.read_raw(spark, lake.raw(spec.name), spec)
-        zones.write_days(job.clean(raw, spec), full.staging(spec.name))
+        zones.write_days(clean(raw, spec), full.staging(spec.name))
         assert rows(zones.read_silver(spark, full, spec)) == got[spec.name]
     refresh()
 
