@@ -6,18 +6,19 @@ JSON, gold tables on silver Parquet, analytical and dashboard queries on gold Pa
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.sample_lake import sample_lake
+from registry.sample_lake import catalog, sample_lake
 from roadbook import functions
 from roadbook.functions import round_half_up
-from roadbook.operators import cleaning, reports
-from roadbook.plans import analytics, dashboard, gold, job
+from roadbook.operators import cleaning, footprint, reports
+from roadbook.plans import analytics, dashboard, gold, job, statements
 from roadbook.session import scratch_dir, use_utc, working_session
-from roadbook.sources import bronze, sample
+from roadbook.sources import bronze, manifest, sample
 from roadbook.sources import lake as zones
 from roadbook.spec import (
     DATASETS,
@@ -59,6 +60,10 @@ def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     return tuple(zones.read_gold(spark, lake, name) for name in GOLD_TABLES)
 
 
+def _bounds(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str] | None:
+    return zones.day_bounds(spark, sample_lake(spark, sf_dir).curated(name))
+
+
 def _six_places(df: DataFrame, *columns: str) -> DataFrame:
     """Unrounded float aggregates to six places, so that summation order is no matter."""
     return df.withColumns({c: round_half_up(F.col(c), 6) for c in columns})
@@ -249,7 +254,8 @@ def q1_underutilized_vehicles(spark, sf_dir):
 @register
 def q2_driver_leaderboard_7d(spark, sf_dir):
     _, drivers, _ = _gold(spark, sf_dir)
-    return analytics.driver_leaderboard(drivers)
+    _, last = _bounds(spark, sf_dir, "driver_performance")
+    return analytics.driver_leaderboard(drivers, last=last)
 
 
 @register
@@ -313,8 +319,7 @@ def _in_range(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
 
 @register
 def dash_date_bounds(spark, sf_dir):
-    fleet, _, _ = _gold(spark, sf_dir)
-    return dashboard.date_bounds(fleet)
+    return dashboard.listed_date_bounds(spark, _bounds(spark, sf_dir, "daily_fleet_utilization"))
 
 
 @register
@@ -331,7 +336,8 @@ def dash_kpis(spark, sf_dir):
 @register
 def dash_kpis_all_days(spark, sf_dir):
     fleet, _, sla = _gold(spark, sf_dir)
-    masked = dashboard.in_range(fleet, fleet), dashboard.in_range(sla, fleet)
+    bounds = _bounds(spark, sf_dir, "daily_fleet_utilization")
+    masked = [dashboard.in_range(table, fleet, bounds=bounds) for table in (fleet, sla)]
     return _six_places(
         dashboard.kpis(*masked),
         "avg_active_time_pct",
@@ -370,15 +376,95 @@ def dash_worst_breach_days(spark, sf_dir):
     return dashboard.worst_breach_days(sla)
 
 
+# --- the same queries in SQL, on tables of the catalog ----------------------------------------
+
+
+def _ask(spark: SparkSession, sf_dir: str, name: str, **parameters) -> DataFrame:
+    lake, database = catalog(spark, sf_dir)
+    zones.register_raw(spark, lake)
+    return statements.ask(spark, name, database, **parameters)
+
+
+@register
+def sql_underutilized_vehicles(spark, sf_dir):
+    return _ask(spark, sf_dir, "underutilized_vehicles")
+
+
+@register
+def sql_driver_leaderboard(spark, sf_dir):
+    _, last = _bounds(spark, sf_dir, "driver_performance")
+    return _ask(spark, sf_dir, "driver_leaderboard", last=last)
+
+
+@register
+def sql_city_sla_trend(spark, sf_dir):
+    return _ask(spark, sf_dir, "city_sla_trend", first=FIRST_DAY, last=LAST_DAY)
+
+
+@register
+def sql_worst_sla_city_days(spark, sf_dir):
+    return _ask(spark, sf_dir, "worst_sla_city_days")
+
+
+@register
+def sql_utilization_vs_hours(spark, sf_dir):
+    return _ask(spark, sf_dir, "utilization_vs_hours")
+
+
+@register
+def sql_raw_city_day_sla(spark, sf_dir):
+    return _ask(spark, sf_dir, "raw_city_day_sla", city=CITY, day=DAY)
+
+
+# --- the job ----------------------------------------------------------------------------------
+
+
+@register
+def job_run(spark, sf_dir):
+    """A run on the raw zone into new zones, another one that finds nothing to do, and its reports."""
+    raw = sample_lake(spark, sf_dir)
+    lake = zones.Lake(scratch_dir(spark, "job"), raw_base=raw.base)
+    job.run(spark, lake)
+    result = job.run(spark, lake)
+    silver = result.cleaning.select(
+        F.lit("silver").alias("zone"),
+        F.col("dataset").alias("name"),
+        "raw_rows",
+        F.col("staged_rows").alias("row_count"),
+        F.lit(None).cast("long").alias("days"),
+    )
+    gold_rows = result.gold.select(
+        F.lit("gold").alias("zone"),
+        F.col("table_name").alias("name"),
+        F.lit(None).cast("long").alias("raw_rows"),
+        "row_count",
+        F.col("partition_count").alias("days"),
+    )
+    return silver.unionByName(gold_rows)
+
+
 # --- sources and sinks ------------------------------------------------------------------------
 
 
+def _together(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All tables in one, each row with the name of its table; columns a table lacks are NULL."""
+    named = [table.withColumn("name", F.lit(name)) for name, table in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 @register
 def bronze_roundtrip(spark, sf_dir):
-    path = scratch_dir(spark, "bronze") + "/driver_shift_logs"
-    bronze.land_raw(sample.shifts(spark, sf_dir), path)
-    landed = bronze.read_raw(spark, path, DRIVER_SHIFT_LOGS)
-    return landed.select(*DRIVER_SHIFT_LOGS.columns, "dt")
+    lake = zones.Lake(scratch_dir(spark, "bronze"))
+
+    def back(spec: DatasetSpec) -> DataFrame:
+        path = lake.raw(spec.name)
+        read = partial(bronze.read_raw_fields, spark, path, spec, *spec.columns)
+        bronze.land_raw(sample.RAW[spec.name](spark, sf_dir), path, sample.input_bytes(spark, sf_dir))
+        manifest.seal(read(), path)
+        return manifest.checked(read, path)
+
+    tables = job.at_once(partial(back, spec) for spec in DATASETS)
+    return _together(dict(zip((spec.name for spec in DATASETS), tables)))
 
 
 @register
@@ -392,18 +478,32 @@ def bronze_inferred_scan(spark, sf_dir):
 @register
 def silver_roundtrip(spark, sf_dir):
     lake = zones.Lake(scratch_dir(spark, "silver"))
-    spec = DELIVERY_COMPLETIONS
-    cleaned = cleaning.clean(_raw(spark, sf_dir, spec), spec)
-    zones.write_days(cleaned, lake.staging(spec.name), spec.keys)
-    return zones.read_silver(spark, lake, spec)
+
+    def back(spec: DatasetSpec) -> DataFrame:
+        path = lake.staging(spec.name)
+        read = partial(zones.read_silver, spark, lake, spec)
+        cleaned = cleaning.clean(_raw(spark, sf_dir, spec), spec)
+        zones.write_days(cleaned, path, spec.keys)
+        manifest.seal(read(), path)
+        return manifest.checked(read, path)
+
+    tables = job.at_once(partial(back, spec) for spec in DATASETS)
+    return _together(dict(zip((spec.name for spec in DATASETS), tables)))
 
 
 @register
 def gold_roundtrip(spark, sf_dir):
-    lake, name = zones.Lake(scratch_dir(spark, "gold")), "driver_performance"
-    table = zones.read_gold(spark, sample_lake(spark, sf_dir), name)
-    zones.write_days(table, lake.curated(name), ["driver_id"])
-    return zones.read_gold(spark, lake, name)
+    lake, of = zones.Lake(scratch_dir(spark, "gold")), sample_lake(spark, sf_dir)
+
+    def back(name: str) -> DataFrame:
+        path = lake.curated(name)
+        read = partial(zones.read_gold, spark, lake, name)
+        zones.write_days(zones.read_gold(spark, of, name), path, [job.GOLD_KEYS[name]])
+        manifest.seal(read(), path)
+        return manifest.checked(read, path)
+
+    tables = job.at_once(partial(back, name) for name in GOLD_TABLES)
+    return _together(dict(zip(GOLD_TABLES, tables)))
 
 
 @register
@@ -432,3 +532,45 @@ def scan_footprint(spark, sf_dir):
 @register
 def scan_cost_comparison(spark, sf_dir):
     return job.cost_comparison(spark, sample_lake(spark, sf_dir), CITY, DAY)
+
+
+def _document_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a listing, a day for each source: all of them against one day's."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    number = F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("int")
+    files = documents.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"),
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("length"),
+        F.date_add(analytics.day(FIRST_DAY), number).alias("dt"),
+        "lang",
+    )
+    one_day = files.where(F.col("dt") == analytics.day(DAY))
+    footprints = [
+        footprint.scan_footprint(name, found, found.where("lang = 'en'"))
+        for name, found in (("before", files), ("after", one_day))
+    ]
+    return footprints[0].unionByName(footprints[1])
+
+
+@register
+def document_scan_footprint(spark, sf_dir):
+    return _document_footprints(spark, sf_dir)
+
+
+@register
+def document_scan_cost(spark, sf_dir):
+    cost = footprint.scan_cost_comparison(_document_footprints(spark, sf_dir), CITY, DAY)
+    return cost.select(
+        "target_dt",
+        "target_city",
+        *[
+            F.col(f"{side}.{name}").alias(f"{side}_{name}")
+            for side in ("before", "after")
+            for name in ("bytes_scanned", "files_touched", "rows_matched")
+        ],
+        "reduction_pct",
+        "before_cost_usd",
+        "after_cost_usd",
+        "before_size",
+        "after_size",
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from functools import partial
 from threading import Lock
@@ -11,7 +12,7 @@ from pyspark.sql import SparkSession
 from roadbook.plans import job
 from roadbook.session import scratch_dir, use_utc
 from roadbook.sources import bronze, sample
-from roadbook.sources.lake import Lake
+from roadbook.sources.lake import Lake, register_tables
 
 _lakes: dict[tuple[str, str], Lake] = {}
 _building = Lock()
@@ -24,8 +25,9 @@ def new_lake(spark: SparkSession) -> Lake:
 
 def land(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
     """Write the three sample datasets to the raw zone."""
+    size = sample.input_bytes(spark, sf_dir)
     job.at_once(
-        partial(bronze.land_raw, derive(spark, sf_dir), lake.raw(name))
+        partial(bronze.land_raw, derive(spark, sf_dir), lake.raw(name), size)
         for name, derive in sample.RAW.items()
     )
 
@@ -51,3 +53,15 @@ def sample_lake(spark: SparkSession, sf_dir: str) -> Lake:
         job.build_silver(spark, lake)
         job.build_gold(spark, lake)
         return remember(spark, sf_dir, lake)
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
+    """The lake of ``sf_dir`` and the database that names its tables, entered once per lake."""
+    lake = sample_lake(spark, sf_dir)
+    name = "roadbook_" + hashlib.md5(lake.base.encode()).hexdigest()[:12]
+    with _building:
+        if not spark.catalog.databaseExists(name):
+            place = scratch_dir(spark, "database")
+            spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+            register_tables(spark, lake, name)
+    return lake, name

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame
 
@@ -16,9 +17,31 @@ from roadbook.sources.lake import Lake
 from roadbook.streaming.arrivals import refresh_on_arrival
 
 
+PAGE = 100
+
+
 def _show(title: str, table: DataFrame) -> None:
+    """Print a whole answer page by page, each as wide as its own values. It is computed once, and the
+    driver holds a page and a partition of it, not all.
+    """
     print(f"\n=== {title}")
-    table.show(max(1, table.count()), truncate=False)
+    rows = iter(table.toLocalIterator(prefetchPartitions=True))
+    page, total = list(islice(rows, PAGE)), 0
+    while True:
+        _print_page(table.columns, [["NULL" if v is None else str(v) for v in row] for row in page])
+        total += len(page)
+        page = list(islice(rows, PAGE))
+        if not page:
+            break
+    print(f"({total} rows)")
+
+
+def _print_page(names: Sequence[str], rows: Sequence[Sequence[str]]) -> None:
+    widths = [max(map(len, column)) for column in zip(names, *rows)]
+    line = "+".join("-" * width for width in widths)
+    print("|".join(n.ljust(w) for n, w in zip(names, widths)), line, sep="\n")
+    for row in rows:
+        print("|".join(v.ljust(w) for v, w in zip(row, widths)))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -29,6 +52,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--only", nargs="+", metavar="DAY", help="days to rebuild (default: all)")
     parser.add_argument("--city", help="city of the scan comparison")
     parser.add_argument("--day", help="day of the scan comparison")
+    parser.add_argument("--fresh", action="store_true", help="run: rebuild what is up to date too")
     given = parser.parse_args(arguments)
     if given.step == "cost" and not (given.city and given.day):
         parser.error("cost needs --city and --day")
@@ -37,7 +61,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     lake = Lake(given.lake.rstrip("/"))
     cost_of = (given.city, given.day) if given.city and given.day else None
     if given.step == "run":
-        result = job.run(spark, lake, given.only, cost_of)
+        result = job.run(spark, lake, given.only, cost_of, given.fresh)
         _show("cleaning", result.cleaning)
         _show("gold tables", result.gold)
         for name, table in result.queries.items():

@@ -15,10 +15,6 @@ from roadbook.functions import parse_number, parse_timestamp, percent, round_hal
 Day = dt.date | str
 
 
-class PartitionNotFound(LookupError):
-    """A day that was asked for is not on file."""
-
-
 def day(value: Day):
     """A literal DATE."""
     return F.lit(str(value)).cast("date")
@@ -38,13 +34,21 @@ def underutilized_vehicles(fleet: DataFrame, k: int = 5) -> DataFrame:
 
 
 def driver_leaderboard(
-    drivers: DataFrame, days: int = 7, k: int = 5, min_completed: int = 5
+    drivers: DataFrame,
+    days: int = 7,
+    k: int = 5,
+    min_completed: int = 5,
+    last: Day | None = None,
 ) -> DataFrame:
-    """The k drivers with the best on-time rate over the last ``days`` days on file.
+    """The k drivers with the best on-time rate over the ``days`` days up to ``last``.
 
-    The first day is a scalar subquery on the partition column, so older folders are not read.
+    ``sources.lake.day_bounds`` has the last day of a table in the lake; older folders are then pruned
+    when the query is planned. Without it, the last day is read from the table by a scalar subquery.
     """
-    first_day = drivers.agg(F.date_sub(F.max("dt"), days - 1)).scalar()
+    if last is None:
+        first_day = drivers.agg(F.date_sub(F.max("dt"), days - 1)).scalar()
+    else:
+        first_day = day(dt.date.fromisoformat(str(last)) - dt.timedelta(days - 1))
     completed, on_time = F.sum("deliveries_completed"), F.sum("on_time_deliveries")
     return (
         drivers.where(F.col("dt") >= first_day)
@@ -140,8 +144,15 @@ def raw_city_day_sla(deliveries: DataFrame, city: str, on: Day) -> DataFrame:
 
 
 def sla_point_lookup(sla: DataFrame, city: str, on: Day) -> DataFrame:
-    """SLA of one city and day from gold; reads one folder and fails if it is not there."""
+    """SLA of one city and day from gold; reads one folder.
+
+    Execution fails where that day has no rows at all; a city without rows on it gives none. Nothing is
+    run until then.
+    """
     that_day = sla.where(F.col("dt") == day(on))
-    if that_day.isEmpty():
-        raise PartitionNotFound(f"dt={on}")
-    return that_day.where(F.col("city") == city).select("total_deliveries", "sla_compliance_pct")
+    answer = that_day.where(F.col("city") == city).select("total_deliveries", "sla_compliance_pct")
+    failure = F.raise_error(F.lit(f"no rows on file for dt={on}")).cast("boolean")
+    missing = F.when(F.col("rows") == 0, failure).otherwise(F.lit(False))
+    nothing = that_day.agg(F.count(F.lit(1)).alias("rows")).where(missing)
+    none = [F.lit(None).cast(answer.schema[c].dataType).alias(c) for c in answer.columns]
+    return answer.unionByName(nothing.select(*none))

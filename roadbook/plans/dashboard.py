@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.functions import percent, round_half_even, stable
@@ -14,10 +14,31 @@ def date_bounds(fleet: DataFrame) -> DataFrame:
     return fleet.agg(F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))
 
 
+def listed_date_bounds(spark: SparkSession, bounds: tuple[Day, Day] | None) -> DataFrame:
+    """The same from ``sources.lake.day_bounds``, without reading anything."""
+    low, high = bounds or (None, None)
+    one = spark.range(1)
+    return one.select(_day_or_null(low).alias("min_dt"), _day_or_null(high).alias("max_dt"))
+
+
+def _day_or_null(value: Day | None) -> Column:
+    return F.lit(None if value is None else str(value)).cast("date")
+
+
 def in_range(
-    table: DataFrame, fleet: DataFrame, first: Day | None = None, last: Day | None = None
+    table: DataFrame,
+    fleet: DataFrame,
+    first: Day | None = None,
+    last: Day | None = None,
+    bounds: tuple[Day, Day] | None = None,
 ) -> DataFrame:
-    """Rows of ``table`` from ``first`` to ``last``; a bound not given is that of ``fleet``."""
+    """Rows of ``table`` from ``first`` to ``last``; a bound not given is that of ``fleet``.
+
+    With ``bounds`` (``sources.lake.day_bounds`` of the fleet table) it is known when the query is
+    planned, and folders outside are pruned; without, it is read from the table by a scalar subquery.
+    """
+    low, high = bounds or (None, None)
+    first, last = first or low, last or high
     low = fleet.agg(F.min("dt")).scalar() if first is None else day(first)
     high = fleet.agg(F.max("dt")).scalar() if last is None else day(last)
     return table.where(F.col("dt").between(low, high))

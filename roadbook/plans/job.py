@@ -27,6 +27,7 @@ from roadbook.sources import bronze, ledger
 from roadbook.sources.bronze import Days, on_days
 from roadbook.sources.lake import (
     Lake,
+    day_bounds,
     days_on_file,
     make_folder,
     read_gold,
@@ -271,9 +272,10 @@ def unfinished(
 def queries(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The five queries on gold."""
     fleet, drivers, sla = (read_gold(spark, lake, name) for name in GOLD_TABLES)
+    _, last = day_bounds(spark, lake.curated("driver_performance")) or (None, None)
     return {
         "underutilized_vehicles": analytics.underutilized_vehicles(fleet),
-        "driver_leaderboard_7d": analytics.driver_leaderboard(drivers),
+        "driver_leaderboard_7d": analytics.driver_leaderboard(drivers, last=last),
         "city_sla_trend": analytics.city_sla_trend(sla),
         "worst_sla_city_days": analytics.worst_sla_city_days(sla),
         "utilization_vs_hours": analytics.utilization_vs_hours(fleet, drivers),

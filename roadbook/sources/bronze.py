@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.session import BYTES_PER_PARTITION
 from roadbook.spec import ARRIVAL, CORRUPT, DatasetSpec
 
 log = logging.getLogger(__name__)
@@ -95,16 +96,23 @@ def raw_lines(spark: SparkSession, path: str, days: Days = None) -> DataFrame:
     return lines.where(on_days(days) & (F.trim("value") != "")).select("dt")
 
 
-def land_raw(records: DataFrame, path: str) -> None:
+def land_raw(records: DataFrame, path: str, input_bytes: int = 0) -> None:
     """Write records as JSON lines per day; days that are written replace what was there.
 
     Null fields stay in the record. Where the frame has the ARRIVAL column, lines and files are
-    laid out in its order, which ``read_raw`` then finds again.
+    laid out in its order, which ``read_raw`` then finds again. The records are so dealt out by
+    ranges, as many as ``input_bytes`` (what they are derived from) call for, or as configured.
     """
     if ARRIVAL in records.columns:
         by_arrival = ["dt", ARRIVAL]
+        configured = records.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        wanted = -(-input_bytes // BYTES_PER_PARTITION)
+        # A number of its own is kept as it is, while the configured one is cut down to what pays off.
+        ranges = [wanted] if wanted > int(configured) else []
         records = (
-            records.repartitionByRange(*by_arrival).sortWithinPartitions(*by_arrival).drop(ARRIVAL)
+            records.repartitionByRange(*ranges, *by_arrival)
+            .sortWithinPartitions(*by_arrival)
+            .drop(ARRIVAL)
         )
     (
         records.write.mode("overwrite")

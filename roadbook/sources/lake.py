@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.sources import bronze
+from roadbook.sources.listing import Day, by_day, list_files
 from roadbook.spec import DATASETS, GOLD_SCHEMAS, DatasetSpec
 
 
@@ -17,9 +19,10 @@ class Lake:
     """Where the zones lie: raw (bronze), staging (silver), curated (gold)."""
 
     base: str
+    raw_base: str = ""  # where the raw zone lies, if not beside the others
 
     def raw(self, name: str) -> str:
-        return f"{self.base}/raw/{name}"
+        return f"{self.raw_base or self.base}/raw/{name}"
 
     def staging(self, name: str) -> str:
         return f"{self.base}/staging/{name}"
@@ -52,6 +55,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def size_on_file(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all below a folder; 0 where there is nothing."""
+    folder, files = _folder(spark, path)
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
+
 def complete_versions(spark: SparkSession, path: str) -> list[int]:
     """The numbered tables below ``path`` that were written to the end, in order."""
     folder, files = _folder(spark, path)
@@ -76,6 +85,17 @@ def _any_file(spark: SparkSession, path: str):
     return next((status.getPath() for status in listed if status.isFile()), None)
 
 
+def day_bounds(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """First and last day of a table by its folders, those without a file left out. No file is opened."""
+    days = days_on_file(spark, path)
+
+    def first(ordered: Iterable[str]) -> str | None:
+        return next((d for d in ordered if _any_file(spark, f"{path}/dt={d}") is not None), None)
+
+    low = first(days)
+    return None if low is None else (low, first(reversed(days)))
+
+
 def write_days(
     table: DataFrame,
     path: str,
@@ -162,6 +182,42 @@ def _is_at(spark: SparkSession, table: str, path: str, rows: DataFrame) -> bool:
     return place == wanted and fields == {f.name: f.dataType for f in rows.schema}
 
 
+def register_raw(spark: SparkSession, lake: Lake) -> None:
+    """Name the raw datasets for SQL in this session, fields as text: raw_<dataset>."""
+    for spec in DATASETS:
+        table = bronze.read_raw_fields(spark, lake.raw(spec.name), spec, *spec.columns)
+        table.createOrReplaceTempView(f"raw_{spec.name}")
+
+
 def cached_table(spark: SparkSession, name: str) -> DataFrame:
     """A registered table kept in memory (and on disk beyond it) while a dashboard is in use."""
     return spark.table(name).cache()
+
+
+class TableCache:
+    """Gold tables kept in memory (and on disk beyond it), each in the version its files have.
+
+    ``table`` lists the table's files, which opens none, and reads them again if they are no longer the
+    ones that were read: a day that was rebuilt is seen, and the copy from before is released.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lake):
+        self._spark, self._lake = spark, lake
+        self._kept: dict[str, tuple[dict[str, Day], DataFrame]] = {}
+
+    def table(self, name: str) -> DataFrame:
+        path = self._lake.curated(name)
+        version = by_day(list_files(self._spark, {name: path}, ".parquet")).get(name, {})
+        kept = self._kept.get(name)
+        if kept is None or kept[0] != version:
+            self.release(name)
+            self._spark.catalog.refreshByPath(path)
+            kept = self._kept[name] = (version, read_gold(self._spark, self._lake, name).persist())
+        return kept[1]
+
+    def release(self, name: str | None = None) -> None:
+        """Give up the copy of a table, or of all."""
+        for known in [name] if name else list(self._kept):
+            _, table = self._kept.pop(known, (None, None))
+            if table is not None:
+                table.unpersist(blocking=True)

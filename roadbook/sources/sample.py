@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.sources.lake import size_on_file
 from roadbook.spec import ARRIVAL
 
 # The cities, and minutes promised by order priority 1 to 5.
@@ -149,6 +150,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the largest table the datasets are derived from."""
+    return max(size_on_file(spark, f"{sf_dir}/{name}.parquet") for name in ("events", "lineitem"))
+
+
 RAW = {
     "vehicle_telemetry": telemetry,
     "driver_shift_logs": shifts,

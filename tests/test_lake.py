@@ -8,15 +8,16 @@ import shutil
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from roadbook import session
 from roadbook.__main__ import main as command
 from roadbook.operators import dedupe, footprint, reports
 from roadbook.operators.cleaning import clean
-from roadbook.plans import job, schedule
+from roadbook.plans import analytics, dashboard, job, schedule, statements
 from roadbook.session import scratch_dir
-from roadbook.sources import bronze, listing
+from roadbook.sources import bronze, listing, manifest
 from roadbook.sources import lake as zones
 from roadbook.spec import (
     ARRIVAL,
@@ -374,6 +375,127 @@ def test_sql_on_the_views_gives_the_same_answers(spark, filled):
     )
 
 
+def test_statements_answer_what_the_functions_answer(spark, filled):
+    answers = job.run(spark, filled).queries
+    zones.register_raw(spark, filled)
+    zones.register_tables(spark, filled, "fleet_asked")
+    _, last = zones.day_bounds(spark, filled.curated("driver_performance"))
+    try:
+        for database in (None, "fleet_asked"):
+            asked = {
+                "underutilized_vehicles": {},
+                "driver_leaderboard": {"last": last, "least": 1},
+                "city_sla_trend": {},
+                "worst_sla_city_days": {},
+                "utilization_vs_hours": {},
+            }
+            for name, parameters in asked.items():
+                found = statements.ask(spark, name, database, **parameters)
+                if name == "driver_leaderboard":
+                    drivers = zones.read_gold(spark, filled, "driver_performance")
+                    known = analytics.driver_leaderboard(drivers, min_completed=1)
+                else:
+                    known = answers[name]
+                assert found.columns == known.columns
+                assert found.collect() == known.collect() != [], name
+            fields = ("city", "status", "assigned_at", "completed_at", "promised_minutes")
+            raw = bronze.read_raw_fields(
+                spark, filled.raw("delivery_completions"), DELIVERY_COMPLETIONS, *fields
+            )
+            found = statements.ask(spark, "raw_city_day_sla", database, city="Delhi", day=DAY_1)
+            assert found.collect() == analytics.raw_city_day_sla(raw, "Delhi", DAY_1).collect() != []
+    finally:
+        spark.sql("DROP DATABASE fleet_asked CASCADE")
+
+
+def test_statement_parameters_are_values_and_no_sql(spark, filled):
+    job.run(spark, filled)
+    zones.register_raw(spark, filled)
+    odd = statements.ask(spark, "raw_city_day_sla", city="Delhi' OR '1' = '1", day=DAY_1)
+    assert odd.collect() == []
+
+
+def test_bounds_come_from_folders_that_have_files(spark, filled):
+    job.run(spark, filled)
+    path = filled.curated("daily_fleet_utilization")
+    assert zones.day_bounds(spark, path) == (str(DAY_1), str(DAY_2))
+    os.makedirs(f"{path}/dt={DAY_3}")
+    assert zones.day_bounds(spark, path) == (str(DAY_1), str(DAY_2))
+    assert zones.day_bounds(spark, path + "-none") is None
+    known = dashboard.listed_date_bounds(spark, zones.day_bounds(spark, path))
+    assert known.collect() == dashboard.date_bounds(zones.read_gold(spark, filled, "daily_fleet_utilization")).collect()
+    assert dashboard.listed_date_bounds(spark, None).first() == (None, None)
+
+
+def test_cached_tables_follow_their_files(spark, filled):
+    job.run(spark, filled)
+    name = "delivery_sla_compliance"
+    cache = zones.TableCache(spark, filled)
+    first = cache.table(name)
+    before = first.agg(F.sum("total_deliveries")).first()[0]
+    assert first.storageLevel.useMemory and cache.table(name) is first
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    land_lines(filled, DELIVERY_COMPLETIONS, DAY_2, [delivery(77, DAY_2)], part=5)
+    job.run(spark, filled)
+    second = cache.table(name)
+    assert second is not first and second.storageLevel.useMemory
+    assert second.agg(F.sum("total_deliveries")).first()[0] == before + 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept  # the copy from before is gone
+    cache.release()
+    assert not second.storageLevel.useMemory
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept - 1
+
+
+# --- manifests --------------------------------------------------------------------------------
+
+
+def test_manifest_notices_lost_repeated_and_changed_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows_of = "select date'2024-01-01' + cast(id % 3 as int) as dt, id, if(id % 7 = 0, null, id) as v"
+    table = spark.sql(f"{rows_of} from range(300)")
+
+    def read():
+        return spark.read.schema("id long, v long, dt date").parquet(path)
+
+    zones.write_days(table, path, ["id"])
+    manifest.seal(read(), path)
+    assert manifest.checked(read, path).count() == 300 and read().count() == 300
+    zones.write_days(table.repartition(7), path)  # another order, other files
+    assert rows(manifest.checked(read, path)) == rows(table.select("id", "v", "dt"))
+    wrong = {
+        "lost": table.where("id <> 17"),
+        "repeated": table.union(table.where("id = 17")),
+        "paired": table.union(table.where("id = 17")).union(table.where("id = 17")),
+        "changed": table.withColumn("v", F.expr("if(id = 17, 18, v)")),
+        "moved": table.withColumn("v", F.expr("if(id = 17, null, v)")).withColumn("id", F.expr("if(id = 17, 18, id)")),
+        "a day more": table.union(spark.sql("select date'2024-02-01', 1L, 1L")),
+    }
+    for what, changed in wrong.items():
+        zones.write_days(changed, path)
+        with pytest.raises(PySparkException, match="not as sealed: dt=2024-0"):
+            manifest.checked(read, path).collect()
+            pytest.fail(what)
+        shutil.rmtree(f"{path}/dt=2024-02-01", ignore_errors=True)
+    shutil.rmtree(f"{path}/dt=2024-01-02")
+    with pytest.raises(PySparkException, match="not as sealed: dt=2024-01-02"):
+        manifest.checked(read, path).collect()
+
+
+# --- answers on screen ------------------------------------------------------------------------
+
+
+def test_answers_are_printed_whole_page_by_page(spark, capsys):
+    from roadbook import __main__ as screen
+
+    screen._show("numbers", spark.range(250).selectExpr("id", "if(id = 3, null, repeat('x', id % 5)) as t"))
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[1] == "=== numbers" and lines[-1] == "(250 rows)"
+    assert [int(x.split("|")[0]) for x in lines if x[:1].isdigit()] == list(range(250))
+    assert sum(line.startswith("id") for line in lines) == 3 and any("NULL" in line for line in lines)
+    screen._show("none", spark.range(0))
+    assert "(0 rows)" in capsys.readouterr().out
+
+
 def test_catalog_names(spark, filled, tmp_path):
     job.build_silver(spark, filled)
     job.build_gold(spark, filled)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -124,8 +125,43 @@ def test_sla_point_lookup(spark):
     table = sla(spark, (1, "Pune", 9, 2, 1.0), (1, "Delhi", 8, 2, 2.0))
     assert collected(analytics.sla_point_lookup(table, "Delhi", d(1))) == [(8, 2.0)]
     assert collected(analytics.sla_point_lookup(table, "Noida", d(1))) == []
-    with pytest.raises(analytics.PartitionNotFound):
-        analytics.sla_point_lookup(table, "Delhi", d(2))
+    missing = analytics.sla_point_lookup(table, "Delhi", d(2))  # no job yet, so no failure
+    for run in (missing.collect, missing.count):
+        with pytest.raises(PySparkException, match="no rows on file for dt=2024-"):
+            run()
+
+
+def test_sla_point_lookup_starts_no_job_until_it_is_executed(spark):
+    table = sla(spark, (1, "Delhi", 8, 2, 2.0))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup", "point lookup")
+    try:
+        found = analytics.sla_point_lookup(table, "Delhi", d(1))
+        assert len(tracker.getJobIdsForGroup("lookup")) == 0
+        assert collected(found) == [(8, 2.0)]
+        assert len(tracker.getJobIdsForGroup("lookup")) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_known_bounds_prune_folders_when_the_query_is_planned(gold_on_disk, plan):
+    drivers, fleet_table = gold_on_disk["driver_performance"], gold_on_disk["daily_fleet_utilization"]
+    for frame in (
+        analytics.driver_leaderboard(drivers, days=2, last=d(4)),
+        dashboard.in_range(drivers, fleet_table, bounds=(d(2), d(3))),
+        dashboard.in_range(drivers, fleet_table, first=d(2), bounds=(d(1), d(3))),
+    ):
+        text = plan(frame)
+        assert "PartitionFilters: [isnotnull(dt" in text and "ubquery" not in text
+
+
+def test_leaderboard_up_to_a_given_day(spark):
+    schema = "driver_id string, deliveries_completed long, on_time_deliveries long, dt date"
+    table = spark.createDataFrame([("A", 6, 6, d(1)), ("A", 6, 3, d(8)), ("B", 6, 6, d(3))], schema)
+    assert collected(analytics.driver_leaderboard(table)) == collected(
+        analytics.driver_leaderboard(table, last=str(d(8)))
+    )
+    assert collected(analytics.driver_leaderboard(table, days=1, last=d(8))) == [("A", 6, 50.0)]
 
 
 # --- dashboard --------------------------------------------------------------------------------
