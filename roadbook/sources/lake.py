@@ -55,6 +55,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def write_text(spark: SparkSession, path: str, name: str, text: str) -> None:
+    """A small file, written under a name that readers skip and then renamed."""
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+    hidden = _folder(spark, f"{path}/_{name}")[0]
+    out = files.create(hidden)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if not files.rename(hidden, _folder(spark, f"{path}/{name}")[0]):
+        raise OSError(f"{path}/{name} could not be written")
+
+
 def size_on_file(spark: SparkSession, path: str) -> int:
     """Bytes of a file or of all below a folder; 0 where there is nothing."""
     folder, files = _folder(spark, path)

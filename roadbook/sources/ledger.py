@@ -7,7 +7,9 @@ of files that were written to the end, so tasks that run twice do not show in th
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -15,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.sources.lake import Lake
+from roadbook.sources.lake import Lake, write_text
 
 
 class Entry(NamedTuple):
@@ -52,10 +54,12 @@ def finished(spark: SparkSession, lake: Lake, zone: str) -> dict[tuple[str, str]
 
 
 def enter(spark: SparkSession, lake: Lake, zone: str, found: Iterable[Entry]) -> None:
-    """Append the entries of one group of days."""
-    rows = spark.createDataFrame(list(found), ENTRIES.replace("dt date", "dt string"))
-    rows = rows.withColumns({"dt": F.col("dt").cast("date"), "version": F.lit(time.time_ns())})
-    rows.coalesce(1).write.mode("append").json(f"{lake.ledger}/{zone}")
+    """Append the entries of one group of days, as a file of its own that is there whole or not at all."""
+    version = time.time_ns()
+    lines = [json.dumps({**entry._asdict(), "version": version}) for entry in found]
+    if lines:
+        name = f"{version}-{uuid.uuid4().hex[:8]}.json"
+        write_text(spark, f"{lake.ledger}/{zone}", name, "\n".join(lines) + "\n")
 
 
 def counts_by_day(counts: DataFrame) -> dict[str, dict[str, int]]:

@@ -3,6 +3,9 @@
 import datetime as dt
 import glob
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -35,6 +38,31 @@ def test_every_query_is_registered():
     assert set(QUERIES) <= set(registered.queries()) and set(SQL) <= set(registered.oracle_sql())
 
 
+@pytest.mark.parametrize("absent", ["roadbook.llm.queries", "corpus_pipeline", "public_tokenizers"])
+def test_the_lake_is_registered_without_the_text_operators(monkeypatch, absent):
+    text = [m for m in sys.modules if m.startswith(("roadbook.llm", "corpus_pipeline"))]
+    for name in text:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, absent, None)  # as if there were no such module
+    assert set(QUERIES) <= set(registered.queries()) and set(SQL) <= set(registered.oracle_sql())
+    if absent == "public_tokenizers":
+        assert set(registered.queries()) == set(QUERIES)
+
+
+def test_the_lake_is_registered_beside_an_empty_folder(tmp_path):
+    root = os.path.dirname(os.path.abspath(registered.__file__))
+    for name in ("registry", "roadbook", "__spark_entry__.py"):
+        source = os.path.join(root, name)
+        if os.path.isdir(source):
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        else:
+            shutil.copy(source, tmp_path / name)
+    (tmp_path / "roadbook" / "llm").mkdir()
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert run.stdout.split() == [str(len(QUERIES)), str(len(SQL))], run.stderr
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) - set(SQL) == ROWS_ONLY and set(SQL) <= set(QUERIES)
 
