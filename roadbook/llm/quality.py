@@ -120,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .limit(SAMPLE)
     )
     # At most SAMPLE rows of two numbers.
-    marked = texts.join(F.broadcast(sample), "doc_id", "left").select("text", "quality")
+    marked = texts.join(F.broadcast(sample), "doc_id", "left").select("text", "quality", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, texts = np.zeros(TERMS, np.int64), 0
@@ -131,16 +131,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 frequency += (counts > 0).sum(axis=0)
                 texts += len(counts)
                 label = batch.column(1).slice(i, j - i).to_pylist()
-                rows += [(q, counts[k].tobytes()) for k, q in enumerate(label) if q is not None]
-            yield _batch([(None, None, q, c) for q, c in rows])
-        found = [(int(t), int(frequency[t]), None, None) for t in np.flatnonzero(frequency)]
-        yield _batch([*found, (-1, texts, None, None)])
-
-    schema = "term int, n long, quality double, counts binary"
+                ids = batch.column(2).slice(i, j - i).to_pylist()
+                rows += [
+                    (q, counts[k].tobytes(), ids[k]) for k, q in enumerate(label) if q is not None
+                ]
+            yield _batch([(None, None, *row) for row in rows])
+        found = [(int(t), int(frequency[t]), None, None, None) for t in np.flatnonzero(frequency)]
+        yield _batch([*found, (-1, texts, None, None, None)])
+
+    schema = "term int, n long, quality double, counts binary, doc_id long"
     gathered = stored(marked.mapInArrow(run, schema), "quality-terms")
     sums = dict(gathered.where("term is not null").groupBy("term").agg(F.sum("n")).collect())
-    # Bounded by SAMPLE rows, or a few more if ids repeat.
-    rows = gathered.where("counts is not null").orderBy("counts", "quality").collect()
+    # One row for each id, the one of least counts, so SAMPLE rows at most however often an id stands.
+    rows = gathered.where("counts is not null").groupBy("doc_id").agg(
+        F.min(F.struct("counts", "quality")).alias("row")
+    )
+    rows = rows.select("row.*").orderBy("counts", "quality").collect()
     frequency = np.array([sums.get(t, 0) for t in range(TERMS)], np.float64)
     idf = (np.log((1 + sums.get(-1, 0)) / (1 + frequency)) + 0.3).astype(np.float32)
     if not rows:
@@ -157,10 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 4
-    kinds = [pa.int32(), pa.int64(), pa.float64(), pa.binary()]
+    columns = list(zip(*rows)) or [()] * 5
+    kinds = [pa.int32(), pa.int64(), pa.float64(), pa.binary(), pa.int64()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["term", "n", "quality", "counts"]
+        [pa.array(c, k) for c, k in zip(columns, kinds)],
+        ["term", "n", "quality", "counts", "doc_id"],
     )
 
 

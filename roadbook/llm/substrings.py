@@ -18,7 +18,8 @@ is one row for each slice.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; a null or empty text has none. A document of
 fewer words than a window keeps all. Rows of one id are compared on their own: at the same start
-none is earlier, so that repeated rows stay alike. A null id comes after all others.
+none is earlier, so that repeated rows stay alike; ranges find their row again by the id and the CRC-32
+of its text. Each row without an id is a document of its own, after all that have one.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadbook.llm.shared import with_row_keys
 from roadbook.llm.words import Words, ids_and_texts, mix, word_slices
 
 WINDOW, GRAM = 20, 5
@@ -38,7 +40,6 @@ WINDOW, GRAM = 20, 5
 SAMPLE, HOT_SHARE = 4000, 0.01
 # Super-k-mers sorted at a time in a bucket, and windows in one at most.
 ROWS_AT_ONCE, LONGEST = 20_000, 256
-LAST_ID = 2**63 - 1
 
 _SENT = "minimiser long, doc_id long, place long, words binary, begin int, end int"
 _CENSUS = ["minimiser", "doc_id", "start", "known"]
@@ -336,8 +337,8 @@ def remove_repeats(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed for each row of docs."""
-    texts = ids_and_texts(docs, id_col, text_col)
-    texts = texts.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
+    rows, last = with_row_keys(ids_and_texts(docs, id_col, text_col), "doc_id", "row_key")
+    texts = rows.select(F.col("row_key").alias("doc_id"), "text")
     ranges = repeated_ranges(texts, window, gram)
     joined = texts.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges")
 
@@ -367,4 +368,4 @@ def remove_repeats(
                 )
 
     kept = joined.mapInArrow(cut, "doc_id long, text string, n_words long, n_removed long")
-    return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))
+    return kept.withColumn("doc_id", F.when(F.col("doc_id") <= last, F.col("doc_id")))

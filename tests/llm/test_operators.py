@@ -399,3 +399,66 @@ Permission is hereby granted, free of charge, to any person or organization obta
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = [(r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()]
     assert sorted(found) == [(len(others) + i, name) for i, name in enumerate(own.values())]
+
+
+def test_substring_dedup_of_rows_without_an_id_that_share_a_checksum(spark):
+    # Two texts of equal CRC-32, found by search; one of them repeats a passage, the other does not.
+    passage = " ".join(f"p{i}" for i in range(25))
+    seen, pair = {}, None
+    for i in range(400_000):
+        text = f"{passage} x{i}" if i % 2 else " ".join(f"q{i}{k}" for k in range(30))
+        twin = seen.setdefault(zlib.crc32(text.encode()), text)
+        if twin != text and twin.startswith("p0 ") != text.startswith("p0 "):
+            pair = (twin, text)
+            break
+    assert pair is not None
+    rows = [(1, passage), (None, pair[0]), (None, pair[1]), (2**63 - 1 - 10, "one two")]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = {r.text: r.n_removed for r in got}
+    other = next(t for t in pair if not t.startswith("p0 "))
+    assert removed[other] == 0 and sorted(removed.values()) == [0, 0, 0, 25]
+    assert sorted(str(r.doc_id) for r in got) == sorted(["1", "None", "None", str(2**63 - 11)])
+
+
+def test_substring_dedup_of_many_rows_without_an_id(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, f"a{i} {passage} b{i}") for i in range(200)] + [(i, f"c{i}") for i in range(400)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = [r for r in got if r.doc_id is None and r.n_removed == 0]
+    assert len(kept) == 1 and sum(r.n_removed for r in got) == 199 * 30
+
+
+def test_quality_of_an_id_that_stands_on_very_many_rows(spark):
+    often = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 3 != 1)
+    hot = [(often, f"{prose(5, i % 50)} {i}") for i in range(20_000)]
+    rest = [(100 + i, prose(60, i)) for i in range(30)]
+    docs = spark.createDataFrame(hot + rest, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rest] + [(often, 1)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    learnt = {i for i, _ in rest if zlib.crc32(str(i).encode()) % 3 != 1} | {often}
+    assert len(model.vectors) == len(learnt)
+
+
+def test_host_whose_documents_fail_takes_the_good_ones_along(spark):
+    rng = random.Random(4)
+
+    def good():
+        return " ".join(rng.choice(VOCABULARY) + str(rng.randint(0, 999)) for _ in range(80))
+
+    rows = [(i, good(), f"clean{i % 8}") for i in range(160)]
+    rows += [(200 + i, "spam spam spam", "bad") for i in range(57)] + [(300 + i, good(), "bad") for i in range(3)]
+    # One document that fails, of two: shrunk towards the others, its host stays.
+    rows += [(400, "short", "small"), (401, good(), "small"), (500, good(), None)]
+    got = {r.doc_id: r for r in hosts.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].host_rejected and not got[i].kept and not got[i].base_failed for i in (300, 301, 302))
+    assert got[401].kept and got[400].base_failed and got[500].kept and all(got[i].kept for i in range(160))
+
+
+def test_pipeline_drops_documents_that_a_stage_empties(spark, tmp_path):
+    text = "\n".join(prose(12, 50 + i) for i in range(12))
+    rows = [(1, text), (2, text), (3, "\n".join(reversed(text.split("\n"))) + "\n \n"), (4, ""), (5, None), (6, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.first_lines(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    # What was empty from the start is left as it came; it lost nothing here.
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6]
