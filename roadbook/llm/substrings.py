@@ -338,7 +338,9 @@ def remove_repeats(
 ) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed for each row of docs."""
     rows, last = with_row_keys(ids_and_texts(docs, id_col, text_col), "doc_id", "row_key")
-    texts = rows.select(F.col("row_key").alias("doc_id"), "text")
+    # No key is null. Spark is told so, or it would filter one of the two joins with texts, and the
+    # texts would be shuffled for each.
+    texts = rows.select(F.coalesce("row_key", F.lit(-1)).alias("doc_id"), "text")
     ranges = repeated_ranges(texts, window, gram)
     joined = texts.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges")
 
