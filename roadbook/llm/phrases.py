@@ -1,11 +1,11 @@
 """Phrase collocations by prefix-free parsing.
 
 Texts are lower-cased, split into pieces at punctuation and line ends, and pieces into words. A parse cuts
-each piece wherever a word's own characters say so (a hash of some of its bytes and its length, one word
-in eight on average), so equal stretches of text are cut alike wherever they stand. A chunk is the words
-from one cut to the next, which it owns, and the first three words after them, which the next one owns.
-Every n-gram of up to four words that starts at an owned word lies inside the chunk and in no other, so
-overlaps count once. The dictionary of different chunks of a language, with how often the parse has
+each text before every word whose own characters say so (a hash of some of its bytes and its length, one
+word in 32 on average), so equal stretches of text are cut alike wherever they stand. A chunk is the words
+from one cut to the next, which it owns, and up to three words after them in the same piece, which the
+next one owns; a dot stands where one piece ends and another begins. Every n-gram of up to four words that
+starts at an owned word lies inside the chunk and in no other, so overlaps count once. The dictionary of different chunks of a language, with how often the parse has
 them, is all that is counted from: n-grams inside a chunk weigh as much as the chunk is frequent.
 
 Counting goes up by length. N-grams are counted by a 64-bit hash first, only where both shorter ones in
@@ -38,7 +38,8 @@ from roadbook.llm.shared import stored
 from roadbook.llm.words import LOWER_ASCII, bytes_and_offsets, mix, spans, window_hashes
 
 LEAST, TOP, LONGEST = 30, 2000, 4
-GAP = 8  # one word in so many cuts
+GAP = 32  # one word in so many starts a chunk
+BREAK = "."  # between pieces of a chunk; no word has this character
 MARK_BITS = 26
 SALTS = 16
 # Chunks of so many bytes are counted together before they leave a task.
@@ -52,7 +53,7 @@ _CHUNKS = "lang string, chunk string, owned int"
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, chunk (its words joined by a space), owned (words that count) and n (times in the parse)."""
+    """lang, chunk (words and breaks joined by a space), owned (words that count), n (times in the parse)."""
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     chunks = texts.where("text is not null").mapInArrow(_parse, _CHUNKS)
@@ -106,20 +107,25 @@ def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array, n
     for place in (end - 1, (start + end) // 2, np.minimum(start + 1, end - 1)):
         sign = (sign << np.uint64(8)) | data[place]
     trigger = mix(sign + (length.astype(np.uint64) << np.uint64(32))) % np.uint64(GAP) == 0
-    begin = np.flatnonzero(new | trigger)
+    opens_text = np.ones(words, dtype=bool)
+    opens_text[1:] = text_of[1:] != text_of[:-1]
+    begin = np.flatnonzero(opens_text | trigger)
     last = np.append(begin[1:], words)
     pieces = np.append(np.flatnonzero(new), words)
-    piece_end = pieces[np.cumsum(new)[begin]]
+    piece_end = pieces[np.cumsum(new)[last - 1]]
     reach = np.minimum(last + LONGEST - 1, piece_end)
-    # All words with a space after each, then a copy of each chunk's share.
-    at = np.concatenate([[0], np.cumsum(length + 1)])
+    # All words with a space after each, and a break before what opens a piece within a text; then a
+    # copy of each chunk's share.
+    lead = 2 * (new & ~opens_text)
+    at = np.concatenate([[0], np.cumsum(lead + length + 1)])
+    own = at[:-1] + lead  # where each word begins
     spaced = np.full(at[-1], 32, np.uint8)
-    is_word = np.ones(at[-1], dtype=bool)
-    is_word[at[1:] - 1] = False
-    spaced[is_word] = data[inside]
-    sizes = at[reach] - 1 - at[begin]
+    spaced[at[:-1][lead > 0]] = ord(BREAK)
+    letters = np.arange(np.sum(length)) + np.repeat(own - (np.cumsum(length) - length), length)
+    spaced[letters] = data[inside]
+    sizes = at[reach] - 1 - own[begin]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    share = spaced[np.arange(bounds[-1]) + np.repeat(at[begin] - bounds[:-1], sizes)]
+    share = spaced[np.arange(bounds[-1]) + np.repeat(own[begin] - bounds[:-1], sizes)]
     chunks = pa.LargeStringArray.from_buffers(
         len(begin), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(share)
     )
@@ -144,9 +150,13 @@ class _Slice:
         sizes = np.diff(bounds)
         self.lang = np.repeat(langs.indices.to_numpy(), sizes)
         self.weight = np.repeat(table["n"].to_numpy(), sizes)
-        place = np.arange(len(self.codes)) - np.repeat(bounds[:-1] - bounds[0], sizes)
-        self.owned = place < np.repeat(table["owned"].to_numpy(), sizes)
-        self.left = np.repeat(sizes, sizes) - place  # words to the chunk's end, this one included
+        at, ends = np.arange(len(self.codes)), np.repeat(bounds[1:] - bounds[0], sizes)
+        is_break = self.codes == pc.index(self.names, pa.scalar(BREAK, self.names.type)).as_py()
+        before = np.cumsum(~is_break) - ~is_break  # words in front of each
+        first = np.repeat(before[bounds[:-1] - bounds[0]], sizes)
+        self.owned = ~is_break & (before - first < np.repeat(table["owned"].to_numpy(), sizes))
+        stops = np.minimum.accumulate(np.where(is_break, at, len(at))[::-1])[::-1]
+        self.left = np.minimum(stops, ends) - at  # words to the end of the piece or the chunk
         self.grams = {1: mix(hashes[self.codes] + of_lang[self.lang])}
         for size in range(2, LONGEST + 1):
             before, following = self.grams[size - 1], np.roll(self.grams[1], 1 - size)
