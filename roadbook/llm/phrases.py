@@ -11,7 +11,8 @@ them, is all that is counted from: n-grams inside a chunk weigh as much as the c
 Counting goes up by length. N-grams are counted by a 64-bit hash first, only where both shorter ones in
 them are marked as frequent; the marks are a bit map of fixed size (8 MB) that goes to all tasks. Equal
 hashes and equal marks only let more through, so nothing frequent is lost at any size; the fuller the
-map, the more n-grams are counted that turn out to be rare. What is left is counted by its words, exactly.
+map, the more n-grams are counted that turn out to be rare. What is left, and every single word, is
+counted by its words, exactly; the sum of the words is n.
 
 A candidate has 2 to ``longest`` words and occurs at least ``least`` times (a). Each cut into two parts that
 occur l and r times gives floor(2000000 * a / (l + r)); the lowest counts, of equal ones the cut after
@@ -43,7 +44,7 @@ BREAK = "."  # between pieces of a chunk; no word has this character
 MARK_BITS = 26
 SALTS = 16
 # Chunks of so many bytes are counted together before they leave a task.
-BYTES_AT_ONCE = 12 * 1024**2
+BYTES_AT_ONCE = 8 * 1024**2
 
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: between words, 2: between pieces
 _KIND[list(b" \t")] = 1
@@ -69,9 +70,9 @@ def collocations(
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the best phrases of each language."""
     chunks = stored(dictionary(docs, text_col, lang_col), "phrase-chunks")
-    frequent = stored(_frequent(chunks, least), "phrase-counts")
-    words = chunks.groupBy("lang").agg(F.sum(F.col("owned") * F.col("n")).alias("n"))
-    best = _best(_scored(frequent), top)
+    counts = stored(_counts(chunks, least), "phrase-counts")
+    words = counts.where("size = 1").groupBy("lang").agg(F.sum("a").alias("n"))
+    best = _best(_scored(counts.where(F.col("a") >= least)), top)
     return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
@@ -213,13 +214,13 @@ def _hash_counts(size: int, marks) -> Callable:
 
 
 def _word_counts(marks) -> Callable:
-    """Counts of n-grams of all lengths by their words, where hashes leave it open that they are frequent."""
+    """Counts of all words, and of longer n-grams that may be frequent by their hashes, by their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {k: v.value for k, v in marks.items()}
         for part in _slices(batches):
             for size in range(1, LONGEST + 1):
-                at = part.starts(size, known)
+                at = part.starts(size, known if size > 1 else {})
                 codes = {f"w{k}": part.codes[at + k] for k in range(size)}
                 sums = _summed({"lang": part.lang[at], **codes, "n": part.weight[at]})
                 words = [part.names.take(sums[c]) for c in codes]
@@ -233,8 +234,8 @@ def _word_counts(marks) -> Callable:
     return run
 
 
-def _frequent(chunks: DataFrame, least: int) -> DataFrame:
-    """lang, size, phrase and a of the phrases of up to LONGEST words found at least ``least`` times."""
+def _counts(chunks: DataFrame, least: int) -> DataFrame:
+    """lang, size, phrase and a of all words and of the longer phrases found at least ``least`` times."""
     spark, marks = chunks.sparkSession, {}
     for size in range(1, LONGEST):
         counts = chunks.mapInArrow(_hash_counts(size, marks), "hash long, n long")
@@ -242,7 +243,7 @@ def _frequent(chunks: DataFrame, least: int) -> DataFrame:
         marks = {**marks, size: spark.sparkContext.broadcast(_marked(counts))}
     found = chunks.mapInArrow(_word_counts(marks), "lang string, size int, phrase string, a long")
     found = found.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
-    return found.where(F.col("a") >= least)
+    return found.where((F.col("size") == 1) | (F.col("a") >= least))
 
 
 def _marked(hashes: DataFrame) -> np.ndarray:
