@@ -255,11 +255,15 @@ def unfinished(
     zones = ("silver", "gold")
     silver, done = at_once(partial(ledger.finished, spark, lake, zone) for zone in zones)
     wanted = _all_days(listed, days)
-    stale = [
-        day
-        for day in wanted
-        if any(silver.get((n, day)) != of[day].mark for n, of in listed.items() if day in of)
-    ]
+
+    def changed(name: str, day: str) -> bool:
+        of = listed.get(name, {})
+        if day in of:
+            return silver.get((name, day)) != of[day].mark
+        # Its files are gone, or never came: that counts where the day was asked for.
+        return days is not None and silver.get((name, day), NO_FILES) != NO_FILES
+
+    stale = [day for day in wanted if any(changed(spec.name, day) for spec in DATASETS)]
     behind = [
         day
         for day in wanted

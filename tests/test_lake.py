@@ -708,6 +708,18 @@ def test_run_rebuilds_days_whose_files_changed(spark, filled):
     assert (after.raw_rows, after.staged_rows) == (before.raw_rows + 1, before.staged_rows + 1)
 
 
+def test_run_of_a_day_whose_files_are_gone_removes_its_rows(spark, filled):
+    job.run(spark, filled)
+    shutil.rmtree(f"{filled.base}/raw/delivery_completions/dt={DAY_2}")
+    job.run(spark, filled)  # nothing arrived, so nothing is built
+    assert zones.read_silver(spark, filled, DELIVERY_COMPLETIONS).where(F.col("dt") == DAY_2).count() > 0
+    job.run(spark, filled, [DAY_2])
+    assert zones.read_silver(spark, filled, DELIVERY_COMPLETIONS).where(F.col("dt") == DAY_2).count() == 0
+    sla = zones.read_gold(spark, filled, "delivery_sla_compliance")
+    assert [r.dt for r in sla.select("dt").distinct().collect()] == [DAY_1]
+    assert job.unfinished(spark, filled, job.list_raw(spark, filled), [DAY_2]) == ([], [])
+
+
 def test_reports_read_no_data(spark, filled):
     job.run(spark, filled)
     for report in (job.cleaning_report(spark, filled), job.build_report(spark, filled)):
