@@ -4,18 +4,27 @@ Base patterns with their checks give spans that always count. Generators of high
 further spans, which may overlap those and each other: obfuscated addresses, numbers with other
 separators, telephone numbers without a plus. Boosted trees score each proposal from its format and
 its context. They are trained on proposals from the corpus: one that a checked base span of its kind
-overlaps is an example, any other is a counterexample, and what the checks themselves look at (the
-plus, the check digit) is hidden from the trees, so that they learn what such data look like and
-where they stand. For each kind the threshold is the lowest score at which, on documents held out
-from training, at least ``PRECISION`` of the proposals are examples. The trees are written out as
-SQL, so that scoring is part of the plan.
-
-Bounds: at most ``SAMPLE`` proposals, those of smallest hash, are trained on, and at most as many
-calibrate; they are rows of a dozen numbers. All documents are searched whole.
+overlaps is an example, any other is not. The trees see a proposal in one spelling, without what the
+base patterns ask for (the at-sign and dots, the separators, the plus and the country), so that a
+base span and the same thing written otherwise look alike to them.
+
+No table says which proposals are personal data, so thresholds follow from examples and two other
+classes. Refuted proposals are known not to be what they look like: their digits fail the check, or a
+base span of another kind explains them. Open ones are neither. On documents held out from training,
+a kind's threshold is the lowest score above which at least ``PRECISION`` of examples and refuted
+ones are examples, and examples are nearly (``EVENLY``) as large a share of examples and open ones as
+in the surest half. What the trees can tell from the examples thins out below that score; what they
+cannot is mixed in evenly, and is added. The trees are written out as SQL, so that scoring is part
+of the plan.
+
+Bounds: at most ``SAMPLE`` proposals of each kind, those of smallest hash, are trained on: rows of a
+dozen numbers. All held-out proposals calibrate, summed up by score in thousandths. All documents
+are searched whole; matches are placed in blocks, so that the work is not the square of their number.
 
 Defined results: a null or empty text has no span; positions are code points, end exclusive; a
-proposal that overlaps a base span of its kind is not added again. Without examples, or without
-counterexamples, nothing is added. Repeated rows are searched each.
+proposal that overlaps a base span of any kind is not added. A kind with fewer than ``FEWEST`` examples
+held out, or a corpus without proposals other than examples, gets nothing added. Repeated rows are
+searched each.
 """
 
 from __future__ import annotations
@@ -31,9 +40,9 @@ from roadbook.llm.shared import stored
 from roadbook.llm.words import ids_and_texts
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, PRECISION, TREES, DEPTH = 10_000, 0.98, 8, 3
-FEWEST_HELD_OUT = 20  # proposals above a threshold that it takes to trust it
-CONTEXT = 24
+SAMPLE, TREES, DEPTH = 5_000, 8, 3
+PRECISION, EVENLY, FEWEST = 0.98, 0.9, 20
+CONTEXT, BLOCK = 24, 256
 
 _LOCAL = "A-Za-z0-9._%+-"
 # The base patterns. A match of theirs starts where a run of its first characters does, or where the
@@ -66,35 +75,88 @@ FEATURES = (
     "letter_after",
     "sign_before",
     "word_before",
+    "count_before",
 )
 # Words that announce such data, in a few languages: fixed values.
 ANNOUNCED = "mail|e-mail|tel|phone|call|fax|mobile|card|visa|credit|ip|host|server|address|contact"
+# Words that announce other numbers: fixed values.
+COUNTED = "order|invoice|number|ref|serial|isbn|version|page|year|code|ticket|item"
+
+
+_SPAN = "STRUCT<start: INT, end: INT, found: STRING, before: STRING, after: STRING>"
+_JUDGED = f"STRUCT<x: {_SPAN}, example: BOOLEAN, explained: BOOLEAN>"
 
 
 def _positions(matches: str, gaps: str) -> str:
-    """SQL: structs (start, end, found) from what a pattern matched and what lay between."""
+    """SQL: spans from what a pattern matched and what lay between, with what is beside each."""
+    m, g = f"{matches}[i]", f"{gaps}[i]"
+    return f"""aggregate(
+        sequence(0, CAST((size({matches}) - 1) div {BLOCK} AS INT)),
+        named_struct('at', 0, 'out', CAST(array() AS ARRAY<ARRAY<{_SPAN}>>)),
+        (s, b) -> aggregate(
+            sequence(b * {BLOCK}, least(size({matches}), (b + 1) * {BLOCK}) - 1),
+            named_struct('at', s.at, 'out', CAST(array() AS ARRAY<{_SPAN}>)),
+            (t, i) -> named_struct(
+                'at', t.at + length({g}) + length({m}),
+                'out', concat(t.out, array(named_struct(
+                    'start', t.at + length({g}),
+                    'end', t.at + length({g}) + length({m}),
+                    'found', {m},
+                    'before', right(concat(IF(i > 0, {matches}[i - 1], ''), {g}), {CONTEXT}),
+                    'after', left({gaps}[i + 1], 1))))),
+            t -> named_struct('at', t.at, 'out', concat(s.out, array(t.out)))),
+        s -> flatten(s.out))"""
+
+
+def _judged(events: str) -> str:
+    """SQL: the proposals among the events, in order of their start, and what overlaps them.
+
+    Events are structs (start, flag, x) sorted by start; flag is 0 for a base span of the kind, 1 for
+    one of another kind and 2 for a proposal. Proposals do not overlap each other, so that of a span
+    only the proposal open at its start, and of a proposal only the furthest end so far matters.
+    """
+
+    def state(own: str, other: str, pending: str, out: str) -> str:
+        return f"named_struct('own', {own}, 'other', {other}, 'pending', {pending}, 'out', {out})"
+
+    def marked(example: str, explained: str) -> str:
+        return f"""IF(t.pending IS NULL, CAST(NULL AS {_JUDGED}), named_struct('x', t.pending.x,
+            'example', t.pending.example OR {example},
+            'explained', t.pending.explained OR {explained}))"""
+
+    e = f"{events}[i]"
+    inside = f"t.pending.x.end > {e}.start"
+    opened = f"""named_struct('x', {e}.x, 'example', t.own > {e}.start,
+        'explained', t.other > {e}.start)"""
+    closed = "IF(t.pending IS NULL, t.out, concat(t.out, array(t.pending)))"
     return f"""aggregate(
-        sequence(0, size({matches}) - 1),
-        named_struct('at', 0, 'spans', CAST(array() AS
-            ARRAY<STRUCT<start: INT, end: INT, found: STRING>>)),
-        (s, i) -> named_struct(
-            'at', s.at + length({gaps}[i]) + length({matches}[i]),
-            'spans', concat(s.spans, array(named_struct(
-                'start', s.at + length({gaps}[i]),
-                'end', s.at + length({gaps}[i]) + length({matches}[i]),
-                'found', {matches}[i])))),
-        s -> s.spans)"""
+        sequence(0, CAST((size({events}) - 1) div {BLOCK} AS INT)),
+        {state("0", "0", f"CAST(NULL AS {_JUDGED})", f"CAST(array() AS ARRAY<ARRAY<{_JUDGED}>>)")},
+        (s, b) -> aggregate(
+            sequence(b * {BLOCK}, least(size({events}), (b + 1) * {BLOCK}) - 1),
+            {state("s.own", "s.other", "s.pending", f"CAST(array() AS ARRAY<{_JUDGED}>)")},
+            (t, i) -> CASE
+                WHEN {e}.flag = 2 THEN {state("t.own", "t.other", opened, closed)}
+                WHEN {e}.flag = 0 THEN
+                    {state(f"greatest(t.own, {e}.x.end)", "t.other", marked(inside, "false"), "t.out")}
+                ELSE {state("t.own", f"greatest(t.other, {e}.x.end)", marked("false", inside), "t.out")}
+                END,
+            t -> {state("t.own", "t.other", "t.pending", "concat(s.out, array(t.out))")}),
+        s -> IF(s.pending IS NULL, flatten(s.out), concat(flatten(s.out), array(s.pending))))"""
+
 
+_NONE = f"CAST(array() AS ARRAY<{_SPAN}>)"
 
-_NONE = "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, found: STRING>>)"
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _find(df: DataFrame, name: str, pattern: str, needs: str) -> DataFrame:
     """Adds a column of all matches with their places."""
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    needed = needs.replace("\\", "\\\\")
+    quoted = _quoted(pattern)
     tried = F.expr(
-        f"CASE WHEN text RLIKE '{needed}' THEN regexp_extract_all(text, '{quoted}', 0) "
+        f"CASE WHEN text RLIKE '{_quoted(needs)}' THEN regexp_extract_all(text, '{quoted}', 0) "
         "ELSE CAST(array() AS ARRAY<STRING>) END"
     )
     spans = f"""CASE WHEN size({name}_m) = 0 THEN {_NONE}
@@ -122,24 +184,41 @@ CHECKS = {
 }
 
 
+# A proposal in the one spelling that the trees see.
+SHOWN = {
+    "email": r"regexp_replace(regexp_replace(x.found, '\x20?[\[(]at[\])]\x20?', '@'), "
+    r"'\x20?[\[(]dot[\])]\x20?', '.')",
+    "ip": r"regexp_replace(x.found, '[.,]\x20?', '.')",
+    "card": "regexp_replace(x.found, '[./-]', ' ')",
+    "phone": r"regexp_replace(regexp_replace(x.found, '^[+][0-9]{1,3}[\x20.(-]+', ''), '^[+(]+', '')",
+}
+
+
 def _features(kind: str) -> str:
-    """SQL: proposals x of one kind with the numbers that the trees see."""
-    before = f"substring(text, greatest(1, x.start + 1 - {CONTEXT}), least(x.start, {CONTEXT}))"
-    groups = r"filter(split(x.found, '[^0-9A-Za-z]+'), g -> g <> '')"
-    return f"""transform(proposed_{kind}, x -> named_struct(
+    """SQL: proposals of one kind with the numbers that the trees see, from judged_<kind>."""
+    groups = "filter(split(x.shown, '[^0-9A-Za-z]+'), g -> g <> '')"
+    # Of a telephone number, whether its digits are too many or too few is left to the generator.
+    check = "true" if kind == "phone" else CHECKS[kind]
+    return f"""transform(transform(judged_{kind}, j -> named_struct(
+            'start', j.x.start, 'end', j.x.end, 'found', j.x.found, 'before', j.x.before,
+            'after', j.x.after, 'example', j.example, 'explained', j.explained,
+            'shown', {SHOWN[kind].replace(chr(92), chr(92) * 2).replace("x.found", "j.x.found")})),
+        x -> named_struct(
         'start', x.start, 'end', x.end,
-        'example', exists(base_{kind}, b -> b.start < x.end AND x.start < b.end),
+        'example', x.example,
+        'refuted', NOT x.example AND (x.explained OR NOT ({check.replace("x.found", "x.shown")})),
         'kind_no', {KINDS.index(kind)},
-        'chars', x.end - x.start,
-        'digits', length({_DIGITS}),
-        'letters', length(regexp_replace(x.found, '[^A-Za-z]', '')),
-        'marks', length(regexp_replace(x.found, '[0-9A-Za-z+]', '')),
+        'chars', length(x.shown),
+        'digits', length(regexp_replace(x.shown, '[^0-9]', '')),
+        'letters', length(regexp_replace(x.shown, '[^A-Za-z]', '')),
+        'marks', length(regexp_replace(x.shown, '[0-9A-Za-z+]', '')),
         'groups', size({groups}),
         'longest_group', coalesce(array_max(transform({groups}, g -> length(g))), 0),
-        'letter_before', CAST({before} RLIKE '[A-Za-z]$' AS INT),
-        'letter_after', CAST(substring(text, x.end + 1, 1) RLIKE '^[A-Za-z]' AS INT),
-        'sign_before', CAST({before} RLIKE '[#=/_"-]$' AS INT),
-        'word_before', CAST(lower({before}) RLIKE '({ANNOUNCED})' AS INT)))"""
+        'letter_before', CAST(x.before RLIKE '[A-Za-z]$' AS INT),
+        'letter_after', CAST(x.after RLIKE '^[A-Za-z]' AS INT),
+        'sign_before', CAST(x.before RLIKE '[#=/_"-]$' AS INT),
+        'word_before', CAST(lower(x.before) RLIKE '({ANNOUNCED})' AS INT),
+        'count_before', CAST(lower(x.before) RLIKE '({COUNTED})' AS INT)))"""
 
 
 def search(docs: DataFrame) -> DataFrame:
@@ -149,15 +228,33 @@ def search(docs: DataFrame) -> DataFrame:
         found = _find(found, f"base_{kind}", BASE[kind], "@" if kind == "email" else _NEEDS[kind])
         found = found.withColumn(
             f"base_{kind}",
-            F.expr(f"filter(base_{kind}, x -> {CHECKS[kind].replace(chr(92), chr(92) * 2)})"),
+            F.expr(
+                f"transform(filter(base_{kind}, x -> {CHECKS[kind].replace(chr(92), chr(92) * 2)}), "
+                "x -> struct(x.start, x.end))"
+            ),
         )
     for kind in KINDS:
         found = _find(found, f"proposed_{kind}", PROPOSED[kind], _NEEDS[kind])
-    proposals = [F.expr(_features(kind)) for kind in KINDS]
-    bases = [
-        F.expr(f"transform(base_{k}, x -> struct(x.start, x.end))").alias(f"base_{k}") for k in KINDS
-    ]
-    return found.select("doc_id", *bases, F.concat(*proposals).alias("proposals"))
+        flagged = [
+            f"transform(proposed_{kind}, x -> named_struct('start', x.start, 'flag', 2, 'x', x))",
+            *[
+                f"transform(base_{k}, x -> named_struct('start', x.start, 'flag', {int(k != kind)}, 'x', "
+                "named_struct('start', x.start, 'end', x.end, 'found', '', 'before', '', 'after', '')))"
+                for k in KINDS
+            ],
+        ]
+        found = found.withColumn(
+            f"events_{kind}",
+            F.expr(
+                f"CASE WHEN size(proposed_{kind}) > 0 THEN sort_array(concat({', '.join(flagged)})) END"
+            ),
+        )
+        judged = f"CASE WHEN events_{kind} IS NULL THEN CAST(array() AS ARRAY<{_JUDGED}>) ELSE "
+        found = found.withColumn(f"judged_{kind}", F.expr(f"{judged}{_judged(f'events_{kind}')} END"))
+        found = found.withColumn(f"features_{kind}", F.expr(_features(kind)))
+        found = found.drop(f"proposed_{kind}", f"events_{kind}", f"judged_{kind}")
+    proposals = F.concat(*[f"features_{k}" for k in KINDS]).alias("proposals")
+    return found.select("doc_id", *[f"base_{k}" for k in KINDS], proposals)
 
 
 def tree_sql(description: str) -> str:
@@ -176,20 +273,40 @@ def tree_sql(description: str) -> str:
     return node(0)[0]
 
 
-def train(proposals: DataFrame) -> tuple[str, dict[int, float]] | None:
-    """SQL of the score of a proposal x, and a threshold for each kind that has one.
+def thresholds(steps: list[tuple[int, ...]], kinds: int = len(KINDS)) -> dict[int, int]:
+    """The least step that is accepted, for each kind that has one.
+
+    steps are (kind, step, examples, refuted, open), one for each kind and step of the score.
+    """
+    found: dict[int, int] = {}
+    for kind in range(kinds):
+        tail, above = [], [0, 0, 0]
+        for _, step, *counts in sorted((s for s in steps if s[0] == kind), key=lambda s: -s[1]):
+            above = [x + y for x, y in zip(above, counts)]
+            tail.append((step, *above))
+        least = max(FEWEST, above[0] / 2)
+        sure = [good / (good + unknown) for _, good, _, unknown in tail if good >= least]
+        for step, good, refuted, unknown in tail:
+            precise = good >= PRECISION * (good + refuted)
+            if good >= FEWEST and sure and precise and good >= EVENLY * max(sure) * (good + unknown):
+                found[kind] = step
+    return found
+
+
+def train(proposals: DataFrame) -> tuple[str, dict[int, int]] | None:
+    """SQL of the score of a proposal x in thousandths, and a threshold for each kind that has one.
 
     proposals has one row for each proposal, with doc_id.
     """
     order = F.xxhash64("doc_id", "start", "end", "kind_no")
     held_out = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0
     rows = proposals.withColumn("label", F.col("example").cast("double")).withColumn("order", order)
-
-    def some(condition):
-        keys = ["order", "doc_id", "start", "end"]
-        return rows.where(condition).orderBy(*keys).limit(SAMPLE)
-
-    fitted = stored(some(~held_out | F.col("doc_id").isNull()), "pii-sample")
+    fitted = None
+    for number in range(len(KINDS)):
+        own = rows.where(~held_out & (F.col("kind_no") == number))
+        own = own.orderBy("order", "doc_id", "start", "end").limit(SAMPLE)
+        fitted = own if fitted is None else fitted.unionByName(own)
+    fitted = stored(fitted, "pii-sample")
     if fitted.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fitted)
@@ -198,21 +315,18 @@ def train(proposals: DataFrame) -> tuple[str, dict[int, float]] | None:
         f"{weight!r} * ({tree_sql(tree.toDebugString)})"
         for weight, tree in zip(model.treeWeights, model.trees)
     )
-    named = F.struct(*[F.col(f) for f in FEATURES]).alias("x")
-    held = some(held_out).select("label", named).select(
-        "label", F.col("x.kind_no").alias("kind"), F.expr(score).alias("score")
-    )
-    # A handful of distinct scores: the leaves of a few small trees.
+    score = f"floor(1000 * ({score}))"
+    held = rows.where(held_out).select("example", "refuted", F.struct(*FEATURES).alias("x"))
     steps = (
-        held.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
-    ).orderBy(F.desc("score"), "kind").collect()
-    thresholds: dict[int, float] = {}
-    good, n = [0.0] * len(KINDS), [0] * len(KINDS)
-    for step in steps:
-        good[step.kind], n[step.kind] = good[step.kind] + step.good, n[step.kind] + step.n
-        if n[step.kind] >= FEWEST_HELD_OUT and good[step.kind] >= PRECISION * n[step.kind]:
-            thresholds[step.kind] = step.score
-    return score, thresholds
+        held.groupBy(F.col("x.kind_no").alias("kind"), F.expr(score).alias("step"))
+        .agg(
+            F.count_if("example").alias("examples"),
+            F.count_if("refuted").alias("refuted"),
+            F.count_if(~F.col("example") & ~F.col("refuted")).alias("open"),
+        )
+        .collect()  # some thousand rows at most: scores of a few small trees lie between -4 and 4
+    )
+    return score, thresholds([tuple(s) for s in steps])
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,10 +336,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for number, kind in enumerate(KINDS):
         spans = F.col(f"base_{kind}")
         if trained and number in trained[1]:
-            score, thresholds = trained
+            score, least = trained
             added = F.expr(
                 f"transform(filter(proposals, x -> x.kind_no = {number} AND NOT x.example AND "
-                f"{score} >= {thresholds[number]!r}), x -> struct(x.start, x.end))"
+                f"NOT x.refuted AND {score} >= {least[number]}), x -> struct(x.start, x.end))"
             )
             spans = F.array_sort(F.concat(spans, added))
         found = found.withColumn(f"spans_{kind}", spans)

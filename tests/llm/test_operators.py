@@ -272,6 +272,46 @@ def test_personal_data(docs):
             assert set(expected) <= {tuple(s) for s in result[i][f"spans_{kind}"]}
 
 
+def test_personal_data_written_otherwise_is_added(spark):
+    rng, rows, wanted = random.Random(3), [], {}
+    for i in range(300):
+        n, beside = rng.randint(1000, 9999), prose(6, i)
+        parts = [
+            f"{beside} mail bob{n}@example.com tel +1 (555) 121-{n} {beside} mail ",
+            f"ann{n} [at] example [dot] com",
+            " tel ",
+            f"(555) 121-{n}",
+            f" {beside} order 5551{n}21 {beside} invoice number 30{n}4455 card 4111 1111 1111 1112",
+        ]
+        rows.append((i, "".join(parts)))
+        ends = [sum(map(len, parts[: k + 1])) for k in range(5)]
+        wanted[i] = ((ends[0], ends[1]), (ends[2], ends[3]))
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for kind, span in zip(("email", "phone"), wanted[r.doc_id]):
+            assert len(r[f"base_{kind}"]) == 1
+            assert {tuple(s) for s in r[f"spans_{kind}"]} == {tuple(r[f"base_{kind}"][0]), span}
+        assert r.spans_ip == r.base_ip == r.spans_card == r.base_card == []
+
+
+def test_thresholds_stop_where_examples_thin_out():
+    # kind 0: open ones mixed in evenly; kind 1: they take over; kind 2: refuted ones; kind 3: too few.
+    steps = [(0, 900, 50, 0, 50), (0, 800, 50, 0, 48), (1, 900, 50, 0, 0), (1, 100, 5, 0, 500)]
+    steps += [(2, 900, 50, 20, 0), (3, 900, 19, 0, 0)]
+    assert pii.thresholds(steps) == {0: 800, 1: 900}
+    assert pii.thresholds([]) == {}
+
+
+def test_personal_data_with_very_many_matches(spark):
+    rows = [(1, "ab@cd.ef " * 9000), (2, "555 5555 555, " * 5000), (3, "5 " * 20000), (4, "1.2.3.4 " * 5000)]
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sizes = {r.doc_id: [len(r[f"base_{k}"]) for k in pii.KINDS] for r in got}
+    assert sizes == {1: [9000, 0, 0, 0], 2: [0, 0, 0, 0], 3: [0, 0, 0, 0], 4: [0, 5000, 0, 0]}
+    last = next(r for r in got if r.doc_id == 1).base_email[-1]
+    assert tuple(last) == (9 * 8999, 9 * 8999 + 8)
+
+
 def test_host_rules(docs):
     got = hosts.judge(docs).collect()
     assert len(got) == len(TEXTS)
