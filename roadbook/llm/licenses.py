@@ -132,14 +132,26 @@ def stretches(words: list[int], template: Template, cover: float = COVER):
     size = len(template.words)
     room = ROOM * size
     hits = [i for i, w in enumerate(words) if w in template.counts]
+    # Of the template's words, how many the room from the current hit on holds; it slides along.
+    held: Counter = Counter()
+    both = behind = until = 0
     out, at = [], 0
     while at < len(hits):
         begin = hits[at]
-        region = words[begin : begin + room]
-        held = Counter(w for w in region if w in template.counts)
+        while until < len(hits) and hits[until] < begin + room:
+            word = words[hits[until]]
+            held[word] += 1
+            both += held[word] <= template.counts[word]
+            until += 1
+        while behind < at:
+            word = words[hits[behind]]
+            both -= held[word] <= template.counts[word]
+            held[word] -= 1
+            behind += 1
         at += 1
-        if sum((held & template.counts).values()) < cover * size:
+        if both < cover * size:
             continue
+        region = words[begin : begin + room]
         pairs = patience(region, template.words)
         if len(pairs) >= cover * size and template.told(pairs):
             first, last = begin + pairs[0][0], begin + pairs[-1][0]

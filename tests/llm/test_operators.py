@@ -246,6 +246,24 @@ def test_patience_alignment():
     assert licenses.patience([], [1]) == [] and len(licenses.patience([7, 7], [7, 7])) == 2
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_stretches_are_those_of_each_room_counted_anew(seed):
+    rng = random.Random(seed)
+    own = [rng.choice(VOCABULARY[:30]) for _ in range(rng.randint(1, 25))]
+    template = licenses.Template("t", " ".join(own))
+    text = [rng.choice(VOCABULARY[:40]) for _ in range(200)] + own + own[: len(own) // 2] + own
+    keys = licenses.keys_of(" ".join(text)).tolist()
+    size, expected, at = len(template.words), [], 0
+    while at < len(keys):
+        pairs = licenses.patience(keys[at : at + 2 * size], template.words)
+        if keys[at] in template.counts and len(pairs) >= 0.8 * size:
+            first, last = at + pairs[0][0], at + pairs[-1][0]
+            expected.append((first, last - first + 1, len(pairs) / size))
+            at = last
+        at += 1
+    assert licenses.stretches(keys, template) == expected and expected
+
+
 def test_personal_data(docs):
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
