@@ -4,8 +4,8 @@ Texts are cut into passages: ``BLOCKS`` consecutive blocks of ``STEP`` words, on
 block on. Passages and benchmark items are vectors over hashed words, weighted by their frequency
 over all documents: every word has a weight, that of a rare one at most ``RARE`` times (squared) that
 of one in all documents. The latent dimensions are those of a block of pieces of items, all of them, and the
-strongest of a randomised SVD, computed in parallel over a sample of passages and the items, in the
-columns that items have; so no item is lost to truncation. Items are cut into pieces of even lengths,
+strongest of a randomised SVD, computed in parallel over all passages and the items, in the columns
+that items have; so no item is lost to truncation. Items are cut into pieces of even lengths,
 ``PIECE`` words at most: of an item that is covered, some piece is covered as well, and spread by half
 its length it lies in one passage. Every passage of every document is compared with every piece: the
 cosine of the piece and what the passage has of its words is, for candidates, at least what the least
@@ -19,8 +19,8 @@ The items are a stated query set: they are held by each task in blocks of ``PIEC
 over the documents for each block, so that what a task holds is bounded whatever the benchmark's
 size. No passage is shuffled or stored.
 
-Bounds: the SVD is fitted on the items and some ``SAMPLE`` documents, chosen by hash. Everything
-else covers all documents and whole texts.
+Bounds: the SVD is fitted on the items and all passages of all documents; everything covers all
+documents and whole texts.
 
 Defined results: a null or empty text has no passage and no leak; an item without words finds
 nothing; a text shorter than a passage is one passage. Items
@@ -48,7 +48,7 @@ COLUMNS = 1 << 16
 # The square of a word's weight is 1 if all documents have it, RARE if at most this share has it.
 COMMON, RARE = 0.01, 2.0
 STEP, BLOCKS = 8, 4
-SAMPLE, PIECES = 2000, 1024
+PIECES = 1024
 # Words of a piece of an item: half as many more are still in one passage, wherever it starts.
 PIECE = 16
 # Dimensions beyond the pieces of a block, and how much more a piece counts than a passage.
@@ -347,13 +347,10 @@ def _added(partial: DataFrame, kind) -> DataFrame:
 def latent_space(docs: DataFrame, parts: list[np.ndarray], weights: np.ndarray) -> Space:
     """The pieces' own vectors, then right singular vectors of the matrix of passages and pieces.
 
-    A randomised range finder: the matrix, by rows over all tasks, is applied to a random block and
-    back (A'A times the block), the block is orthonormalised, and this is done once more.
+    A randomised range finder: the matrix, all passages of all documents by rows over all tasks, is
+    applied to a random block and back (A'A times the block), the block is orthonormalised, and this
+    is done once more.
     """
-    every = max(1, docs.count() // SAMPLE)
-    sample = stored(
-        docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(every)) == 0), "passage-sample"
-    )
     used = np.unique(np.concatenate([columns_of(keys) for keys in parts]))
     row_of = np.full(COLUMNS, -1, np.int64)
     row_of[used] = np.arange(len(used))
@@ -372,7 +369,7 @@ def latent_space(docs: DataFrame, parts: list[np.ndarray], weights: np.ndarray)
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            space, total = shared.value, np.zeros((len(used), rank), np.float32)
+            space, total = shared.value, np.zeros((len(used), rank))
             for batch in batches:
                 for _, _, words in word_slices(batch.column(1)):
                     total += _back(words, space)
@@ -381,9 +378,9 @@ def latent_space(docs: DataFrame, parts: list[np.ndarray], weights: np.ndarray)
             )
 
         total = ITEM_WEIGHT * (own.T @ (own @ block))
-        for row in _added(sample.mapInArrow(run, "block binary, n long"), np.float32).collect():
-            total = total + np.frombuffer(row.block, np.float32).reshape(total.shape)
-        block = total
+        for row in _added(docs.mapInArrow(run, "block binary, n long"), np.float64).collect():
+            total = total + np.frombuffer(row.block).reshape(total.shape)
+        block = total.astype(np.float32)
     block, _ = np.linalg.qr(np.c_[own.T, block])
     return Space(weights, row_of, (block * weights[used][:, None]).astype(np.float32), squares)
 
@@ -404,8 +401,12 @@ def _back(words: Words, space: Space) -> np.ndarray:
     starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
     vectors = np.add.reduceat(space.axes[row], starts, axis=0)
     vectors /= np.maximum(length[passage[starts]], 1e-9)[:, None] ** 2
-    for column, vector in zip(np.split(row, starts[1:]), vectors):
-        out[np.unique(column)] += vector
+    # Each column of a passage once, by columns.
+    number = np.cumsum(np.r_[False, passage[1:] != passage[:-1]])
+    pair = np.unique(row * len(starts) + number)
+    column = pair // len(starts)
+    first = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+    out[column[first]] = np.add.reduceat(vectors[pair % len(starts)], first, axis=0)
     weights = np.zeros(len(out), np.float32)
     used = space.row_of >= 0
     weights[space.row_of[used]] = space.weights[used]

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -403,6 +404,31 @@ def test_decontamination_finds_an_item_that_a_third_of_all_documents_hold(spark)
     assert {(r.doc_id, r.item_id) for r in found} == {(i, 1) for i in range(0, 300, 3)}
 
 
+def test_latent_space_is_fitted_on_all_documents(spark):
+    rows = [(i, prose(20, 5000 + i)) for i in range(4100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    parts = [decontam.keys_of(prose(40, n)) for n in (501, 502)]
+    weights = np.linspace(1, 2, decontam.COLUMNS).astype(np.float32)
+    space = decontam.latent_space(docs, parts, weights)
+    used = np.flatnonzero(space.row_of >= 0)
+    items = np.array([[(decontam.columns_of(keys) == c).sum() for c in used] for keys in parts])
+    items = items * weights[used] / np.linalg.norm(items * weights[used], axis=1, keepdims=True)
+    gram = decontam.ITEM_WEIGHT * items.T @ items
+    for _, text in rows:
+        columns = decontam.columns_of(decontam.keys_of(text))
+        for at in range(0, len(columns), decontam.STEP):
+            some = columns[at : at + decontam.STEP]
+            times = (some[:, None] == used).sum(axis=0)
+            both = np.outer((times > 0) * weights[used], times * weights[used])
+            gram += both / (weights[some].astype(float) ** 2).sum()
+    block = np.random.default_rng(7).standard_normal((len(used), decontam.SPARE)).astype(np.float32)
+    for _ in range(2):
+        block = gram @ np.linalg.qr(block)[0]
+    wanted = np.linalg.qr(np.c_[items.T, block])[0]
+    axes = space.axes / weights[used][:, None]
+    assert np.allclose(axes @ axes.T, wanted @ wanted.T, atol=1e-3)
+
+
 def test_decontamination_finds_short_and_long_items(spark):
     items = {n: prose(n, 9000 + n) for n in (4, 6, 8, 12, 20, 40, 400, 1000, 2000)}
     near = items[1000].split()
