@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.plans import job
+from roadbook.sources.bronze import RAW_SUFFIX
 from roadbook.sources.lake import Lake, complete_versions, make_folder, remove_folder
 from roadbook.sources.listing import FILES, by_day, stored_listing
 from roadbook.spec import DATASETS
@@ -32,7 +33,7 @@ def refresh_on_arrival(spark: SparkSession, lake: Lake, checkpoint: str) -> list
     for spec in DATASETS:
         make_folder(spark, lake.raw(spec.name))
     # Written before it is used: files that land during the rebuild belong to the next refresh.
-    now = stored_listing(spark, {spec.name: lake.raw(spec.name) for spec in DATASETS}, ".json")
+    now = stored_listing(spark, {spec.name: lake.raw(spec.name) for spec in DATASETS}, RAW_SUFFIX)
     versions = complete_versions(spark, checkpoint)
     if versions:
         before = spark.read.schema(FILES).parquet(f"{checkpoint}/{versions[-1]}")

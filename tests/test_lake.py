@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import gzip
 import json
 import logging
 import os
@@ -17,7 +18,7 @@ from roadbook.operators import dedupe, footprint, reports
 from roadbook.operators.cleaning import clean
 from roadbook.plans import analytics, dashboard, job, schedule, statements
 from roadbook.session import scratch_dir
-from roadbook.sources import bronze, listing, manifest
+from roadbook.sources import bronze, listing, manifest, sample
 from roadbook.sources import lake as zones
 from roadbook.spec import (
     ARRIVAL,
@@ -192,6 +193,35 @@ def test_landing_keeps_nulls_and_arrival_order(spark, lake):
     assert order == sorted(range(0, 3000, 3), reverse=True)
 
 
+def test_sample_deliveries_are_landed_compressed_with_the_copies_of_a_key_in_order(spark, lake, tmp_path, monkeypatch):
+    monkeypatch.setattr(sample, "LAND_ROWS", 40)
+    spark.range(1, 61).selectExpr(
+        "id AS o_orderkey", "id * 3 AS o_custkey", "concat(id % 5 + 1, '-X') AS o_orderpriority"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(480).selectExpr(
+        "id % 60 + 1 AS l_orderkey", "1000 - id AS l_partkey", "id % 7 AS l_suppkey",
+        "int(id % 2) AS l_linenumber", "double(id % 50 + 1) AS l_quantity", "double(id) AS l_extendedprice",
+        "0.05D AS l_discount", "0.02D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus",
+        "timestamp '1995-01-01' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    path = lake.raw("delivery_completions")
+    sample.land(spark, str(tmp_path), "delivery_completions", path)
+    files = glob.glob(f"{path}/dt=*/*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    lines = [(json.loads(x)["delivery_id"], f, n) for f in files for n, x in enumerate(gzip.open(f, "rt"))]
+    assert len(lines) == 480
+    places = {}
+    for key, file, _ in lines:
+        places.setdefault(key, set()).add(file)
+    assert all(len(of) == 1 for of in places.values()) and len({f for _, f, _ in lines}) > 30
+    raw = bronze.read_raw(spark, path, DELIVERY_COMPLETIONS)
+    first = clean(raw, DELIVERY_COMPLETIONS)
+    wanted = clean(sample.deliveries(spark, str(tmp_path)), DELIVERY_COMPLETIONS)
+    assert rows(first) == rows(wanted) and first.count() == len(places)
+    days = job.list_raw(spark, lake)["delivery_completions"]
+    assert sum(d.bytes for d in days.values()) == listing.GZIPPED * sum(map(os.path.getsize, files))
+
+
 def test_landing_again_replaces_only_its_days(spark, lake):
     path = lake.raw("driver_shift_logs")
     schema = "driver_id string, dt date"
