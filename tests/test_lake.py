@@ -676,6 +676,29 @@ def test_narrow_dedupe_shuffles_only_rows_whose_key_repeats(spark, plan):
     assert found.where("_arrival < 0").count() == 0
 
 
+def test_cleaning_tasks_read_a_few_typed_rows_each(spark, lake, monkeypatch):
+    small, many, most = 64 * 1024, 20_000, []
+    monkeypatch.setattr(job, "STAGED_BYTES", small, raising=False)
+    narrow = {**getattr(job, "NARROW", {}), "spark.sql.files.maxPartitionBytes": str(small)}
+    monkeypatch.setattr(job, "NARROW", narrow, raising=False)
+
+    def watched(step):
+        def run(rows, *others):
+            counts = rows.groupBy(F.spark_partition_id()).count().collect()
+            most.append(max(n for _, n in counts))
+            return step(rows, *others)
+
+        return run
+
+    for name in ("repeated_marks", "first_copies"):
+        monkeypatch.setattr(job, name, watched(getattr(job, name)))
+    drivers = [f"DRV-{n * 2654435761 % 2**32:010d}" for n in range(many)]
+    land_lines(lake, DRIVER_SHIFT_LOGS, DAY_1, [shift(driver, DAY_1) for driver in drivers])
+    job.build_silver(spark, lake)
+    assert len(most) == 2 and max(most) < many / 2
+    assert zones.read_silver(spark, lake, DRIVER_SHIFT_LOGS).count() == many
+
+
 def test_narrow_dedupe_of_a_hot_key_and_of_equal_marks(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "BITS", 64)  # every key shares its mark with others
     data = spark.range(3000).selectExpr(
