@@ -17,7 +17,8 @@ answer (its last sentence, or a given answer) is there in order as well.
 
 The items are a stated query set: they are held by each task in blocks of ``PIECES`` pieces, one pass
 over the documents for each block, so that what a task holds is bounded whatever the benchmark's
-size. No passage is shuffled or stored.
+size. No passage is shuffled. For counting and fitting, texts are split and hashed once, and their words'
+columns stored, two bytes for each word.
 
 Bounds: the SVD is fitted on the items and all passages of all documents; everything covers all
 documents and whole texts.
@@ -42,13 +43,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadbook.llm.shared import stored
-from roadbook.llm.words import Words, ids_and_texts, unused_name, word_slices
+from roadbook.llm.words import Words, ids_and_texts, spans, unused_name, word_slices
 
 COLUMNS = 1 << 16
 # The square of a word's weight is 1 if all documents have it, RARE if at most this share has it.
 COMMON, RARE = 0.01, 2.0
 STEP, BLOCKS = 8, 4
 PIECES = 1024
+# Words of a slice of texts that are read as columns.
+SLICE_WORDS = 1 << 18
 # Words of a piece of an item: half as many more are still in one passage, wherever it starts.
 PIECE = 16
 # Dimensions beyond the pieces of a block, and how much more a piece counts than a passage.
@@ -146,20 +149,22 @@ def queries_of(space: Space, parts: list[tuple[int, np.ndarray]], least: list[fl
     )
 
 
+def blocks_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each block its text and its first word, and for each text its first block, and one more."""
+    blocks = -(-np.diff(first) // STEP)
+    first_block = np.concatenate([[0], np.cumsum(blocks)])
+    text = np.repeat(np.arange(len(blocks)), blocks)
+    return text, first[text] + (np.arange(len(text)) - first_block[text]) * STEP, first_block
+
+
 class Passages:
     """Blocks of words of the texts of a slice, and the passages they make."""
 
     def __init__(self, words: Words):
         self.words = words
         self.keys = word_keys(words)
-        counts = words.counts()
-        blocks = -(-counts // STEP)
-        total = int(blocks.sum())
-        self.block_text = np.repeat(np.arange(len(counts)), blocks)
-        first_block = np.concatenate([[0], np.cumsum(blocks)])
-        number = np.arange(total) - first_block[self.block_text]
-        self.block_number = number
-        self.block_start = words.first[self.block_text] + number * STEP
+        self.block_text, self.block_start, first_block = blocks_of(words.first)
+        self.block_number = (self.block_start - words.first[self.block_text]) // STEP
         # The last block of each text, for passages that its end cuts short.
         self.block_last = first_block[1:][self.block_text] - 1
 
@@ -296,28 +301,60 @@ def _holds(words: list[int], part: list[int]) -> bool:
     return any(words[i : i + len(part)] == part for i in range(len(words) - len(part) + 1))
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents each hashed word is, over all documents, and their number."""
+class Coded(NamedTuple):
+    """Columns of the words of some texts, where each text begins, and one more."""
+
+    columns: np.ndarray
+    first: np.ndarray
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """For each text the columns of its words, two bytes each: what fitting reads, without the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, texts = np.zeros(COLUMNS, np.int64), 0
         for batch in batches:
             for _, _, words in word_slices(batch.column(1)):
-                own = words.text_of() * COLUMNS + columns_of(word_keys(words))
-                present = np.zeros((len(words.offsets) - 1) * COLUMNS, dtype=bool)
-                present[own] = True
-                found += present.reshape(-1, COLUMNS).sum(axis=0)
-                texts += len(words.offsets) - 1
+                own = columns_of(word_keys(words)).astype(np.uint16)
+                offsets = (2 * words.first).astype(np.int64)
+                texts = pa.Array.from_buffers(
+                    pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(own)]
+                )
+                yield pa.RecordBatch.from_arrays([texts.cast(pa.binary())], ["columns"])
+
+    return docs.mapInArrow(run, "columns binary")
+
+
+def coded_slices(texts: pa.Array) -> Iterator[Coded]:
+    """Slices of texts as ``coded`` gives them, of about as many words as slices of text have."""
+    _, offsets, data = texts.cast(pa.large_binary()).buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] // 2
+    columns = np.zeros(0, np.uint16) if data is None else np.frombuffer(data, np.uint16, offsets[-1])
+    for i, j in spans(offsets, SLICE_WORDS):
+        own = columns[offsets[i] : offsets[j]].astype(np.int64)
+        yield Coded(own, offsets[i : j + 1] - offsets[i])
+
+
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many documents each hashed word is, over all of them as ``coded``, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, number = np.zeros(COLUMNS, np.int64), 0
+        for batch in batches:
+            for columns, first in coded_slices(batch.column(0)):
+                text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                present = np.unique(text * COLUMNS + columns) % COLUMNS
+                found += np.bincount(present, minlength=COLUMNS)
+                number += len(first) - 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array([found.tobytes()], pa.binary()), pa.array([texts], pa.int64())],
+            [pa.array([found.tobytes()], pa.binary()), pa.array([number], pa.int64())],
             ["found", "texts"],
         )
 
-    total, texts = np.zeros(COLUMNS, np.int64), 0
-    partial = docs.mapInArrow(run, "found binary, texts long")
+    total, number = np.zeros(COLUMNS, np.int64), 0
+    partial = texts.mapInArrow(run, "found binary, texts long")
     for row in _added(partial, np.int64).collect():  # one row
-        total, texts = np.frombuffer(row.found, np.int64), row.texts
-    return total, texts
+        total, number = np.frombuffer(row.found, np.int64), row.texts
+    return total, number
 
 
 def _added(partial: DataFrame, kind) -> DataFrame:
@@ -345,6 +382,11 @@ def _added(partial: DataFrame, kind) -> DataFrame:
 
 
 def latent_space(docs: DataFrame, parts: list[np.ndarray], weights: np.ndarray) -> Space:
+    """``fitted`` on documents as they are."""
+    return fitted(stored(coded(docs), "coded-texts"), parts, weights)
+
+
+def fitted(texts: DataFrame, parts: list[np.ndarray], weights: np.ndarray) -> Space:
     """The pieces' own vectors, then right singular vectors of the matrix of passages and pieces.
 
     A randomised range finder: the matrix, all passages of all documents by rows over all tasks, is
@@ -364,40 +406,40 @@ def latent_space(docs: DataFrame, parts: list[np.ndarray], weights: np.ndarray)
     block = np.random.default_rng(7).standard_normal((len(used), rank)).astype(np.float32)
     for _ in range(2):
         block, _ = np.linalg.qr(block)
-        shared = docs.sparkSession.sparkContext.broadcast(
+        shared = texts.sparkSession.sparkContext.broadcast(
             Space(weights, row_of, (block * weights[used][:, None]).astype(np.float32), squares)
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             space, total = shared.value, np.zeros((len(used), rank))
             for batch in batches:
-                for _, _, words in word_slices(batch.column(1)):
-                    total += _back(words, space)
+                for some in coded_slices(batch.column(0)):
+                    total += _back(some, space)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([total.tobytes()], pa.binary()), pa.array([1], pa.int64())], ["block", "n"]
             )
 
         total = ITEM_WEIGHT * (own.T @ (own @ block))
-        for row in _added(docs.mapInArrow(run, "block binary, n long"), np.float64).collect():
+        for row in _added(texts.mapInArrow(run, "block binary, n long"), np.float64).collect():
             total = total + np.frombuffer(row.block).reshape(total.shape)
         block = total.astype(np.float32)
     block, _ = np.linalg.qr(np.c_[own.T, block])
     return Space(weights, row_of, (block * weights[used][:, None]).astype(np.float32), squares)
 
 
-def _back(words: Words, space: Space) -> np.ndarray:
+def _back(texts: Coded, space: Space) -> np.ndarray:
     """A'(A block) for the passages of a slice that do not overlap, each of unit length."""
     out = np.zeros(space.axes.shape, np.float32)
-    passages = Passages(words)
-    if not len(passages.block_start):
+    columns, (_, block_start, _) = texts.columns, blocks_of(texts.first)
+    if not len(block_start):
         return out
-    columns = columns_of(passages.keys)
-    length = np.sqrt(np.add.reduceat(space.weights[columns] ** 2, passages.block_start))
-    hits = np.flatnonzero(space.row_of[columns] >= 0)
+    length = np.sqrt(np.add.reduceat(space.weights[columns] ** 2, block_start))
+    row = space.row_of[columns]
+    hits = np.flatnonzero(row >= 0)
     if not len(hits):
         return out
-    row = space.row_of[columns[hits]]
-    passage = np.searchsorted(passages.block_start, hits, side="right") - 1
+    row = row[hits]
+    passage = np.searchsorted(block_start, hits, side="right") - 1
     starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
     vectors = np.add.reduceat(space.axes[row], starts, axis=0)
     vectors /= np.maximum(length[passage[starts]], 1e-9)[:, None] ** 2
@@ -468,7 +510,8 @@ def find_leaks(
     cosine is the least one of candidates; without it, it follows for each piece from the least cover.
     """
     texts = ids_and_texts(docs, id_col, text_col)
-    frequency, total = document_frequencies(texts)
+    columns = stored(coded(texts), "coded-texts")
+    frequency, total = document_frequencies(columns)
     # No word has weight 0: an item that many documents hold makes its own words frequent.
     rarity = np.log((2 + total) / (1 + frequency)) / math.log(1 / COMMON)
     weights = np.sqrt(1 + (RARE - 1) * np.minimum(rarity, 1)).astype(np.float32)
@@ -480,9 +523,9 @@ def find_leaks(
         for keys in item.pieces() if len(item.words) else ():
             some.append((item, keys))
             if len(some) == PIECES:
-                out, some = _either(out, _leaks_of(texts, some, weights, cosine)), []
+                out, some = _either(out, _leaks_of(texts, columns, some, weights, cosine)), []
     if some or out is None:
-        out = _either(out, _leaks_of(texts, some, weights, cosine))
+        out = _either(out, _leaks_of(texts, columns, some, weights, cosine))
     best = F.max_by(F.struct("first_word", "n_words", "cosine", "cover"), F.struct("cover", "cosine"))
     return out.groupBy("doc_id", "item_id").agg(best.alias("at")).select("doc_id", "item_id", "at.*")
 
@@ -492,7 +535,11 @@ def _either(a: DataFrame | None, b: DataFrame) -> DataFrame:
 
 
 def _leaks_of(
-    texts: DataFrame, pieces: list[tuple[Item, np.ndarray]], weights: np.ndarray, cosine: float | None
+    texts: DataFrame,
+    columns: DataFrame,
+    pieces: list[tuple[Item, np.ndarray]],
+    weights: np.ndarray,
+    cosine: float | None,
 ) -> DataFrame:
     spark = texts.sparkSession
     if not pieces:
@@ -500,7 +547,7 @@ def _leaks_of(
     items = list({id(item): item for item, _ in pieces}.values())
     number = {id(item): n for n, item in enumerate(items)}
     parts = [(number[id(item)], keys) for item, keys in pieces]
-    space = latent_space(texts, [keys for _, keys in parts], weights)
+    space = fitted(columns, [keys for _, keys in parts], weights)
     # What must be there whole is looked for whole.
     covers = [PARAPHRASED if len(item.words) >= FEWEST else 1.0 for item, _ in pieces]
     least = [

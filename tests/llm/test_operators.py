@@ -429,6 +429,22 @@ def test_latent_space_is_fitted_on_all_documents(spark):
     assert np.allclose(axes @ axes.T, wanted @ wanted.T, atol=1e-3)
 
 
+def test_fitting_reads_columns_of_words_instead_of_texts(spark):
+    texts = [None, "", " \n", "one", "Red red, RED blue", "é\u00a0ü one", prose(3000, 9), *[prose(5, n) for n in range(50)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    own = [decontam.columns_of(decontam.keys_of(text)) for text in texts]
+    columns = decontam.coded(docs).collect()
+    assert [np.frombuffer(row.columns, np.uint16).tolist() for row in columns] == [c.tolist() for c in own]
+    wanted = np.zeros(decontam.COLUMNS, int)
+    for some in own:
+        wanted[np.unique(some)] += 1
+    found, number = decontam.document_frequencies(decontam.coded(docs.repartition(3)))
+    assert number == len(texts) and (found == wanted).all()
+    for none in (docs.limit(0), docs.where("doc_id < 3")):
+        found, _ = decontam.document_frequencies(decontam.coded(none))
+        assert not found.any()
+
+
 def test_decontamination_finds_short_and_long_items(spark):
     items = {n: prose(n, 9000 + n) for n in (4, 6, 8, 12, 20, 40, 400, 1000, 2000)}
     near = items[1000].split()
