@@ -699,6 +699,24 @@ def test_cleaning_tasks_read_a_few_typed_rows_each(spark, lake, monkeypatch):
     assert zones.read_silver(spark, lake, DRIVER_SHIFT_LOGS).count() == many
 
 
+def test_tasks_that_count_key_hashes_get_fewer_bytes_than_those_that_sort_rows(spark, lake, monkeypatch):
+    given = {}
+
+    def watched(name, step):
+        def run(rows, *others):
+            size = rows.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+            given[name] = int(size.removesuffix("m"))
+            return step(rows, *others)
+
+        return run
+
+    for name in ("repeated_marks", "first_copies"):
+        monkeypatch.setattr(job, name, watched(name, getattr(job, name)))
+    land_lines(lake, DRIVER_SHIFT_LOGS, DAY_1, [shift("DRV-001", DAY_1)])
+    job.build_silver(spark, lake)
+    assert given["repeated_marks"] < given["first_copies"] <= 8
+
+
 def test_narrow_dedupe_of_a_hot_key_and_of_equal_marks(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "BITS", 64)  # every key shares its mark with others
     data = spark.range(3000).selectExpr(
