@@ -222,6 +222,36 @@ def test_sample_deliveries_are_landed_compressed_with_the_copies_of_a_key_in_ord
     assert sum(d.bytes for d in days.values()) == listing.GZIPPED * sum(map(os.path.getsize, files))
 
 
+def test_sample_deliveries_are_sorted_before_they_are_made_into_records(spark, lake, tmp_path, monkeypatch):
+    spark.range(6).selectExpr("id AS o_orderkey", "id AS o_custkey", "'1-X' AS o_orderpriority").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    spark.range(12).selectExpr(
+        "id % 6 AS l_orderkey", "20 - id AS l_partkey", "id AS l_suppkey", "int(id) AS l_linenumber",
+        "1D AS l_quantity", "2D AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax",
+        "'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp '1995-01-01' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans, land_raw = [], sample.land_raw
+
+    def watched(records, *others, **named):
+        plans.append(records._jdf.queryExecution().optimizedPlan().toString().splitlines())
+        return land_raw(records, *others, **named)
+
+    monkeypatch.setattr(sample, "land_raw", watched)
+    path = lake.raw("delivery_completions")
+    sample.land(spark, str(tmp_path), "delivery_completions", path)
+    (steps,) = plans
+    made = next(n for n, step in enumerate(steps) if "AS delivery_id" in step)
+    ordered = [n for n, step in enumerate(steps) if "Sort [" in step]
+    assert len(ordered) == 1 and ordered[0] > made
+    files = glob.glob(f"{path}/dt=*/*.json")
+    lines = [[json.loads(x) for x in open(f)] for f in files]
+    assert len(lines) == 6
+    for two in lines:  # the line of the smaller l_partkey, which has the larger number, comes first
+        numbers = [int(line["delivery_id"].split("-")[2]) for line in two]
+        assert len(numbers) == 2 and numbers[0] == numbers[1] + 6
+
+
 def test_landing_again_replaces_only_its_days(spark, lake):
     path = lake.raw("driver_shift_logs")
     schema = "driver_id string, dt date"
