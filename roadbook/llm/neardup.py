@@ -8,17 +8,20 @@ the root sends a class to ``BRANCH`` children, one for each pair of coordinates
 selects, named after the tokens found there: two steps of a path at a time, so that classes that
 share a single token by chance do not meet. A node of at most ``LEAF`` classes is compared exhaustively. A larger
 one branches again, by coordinates of its own, unless its classes are alike on the whole: those
-would only stay together, and the node is cut into blocks, each pair of which is a leaf.
+would only stay together, and the node stays whole. It is cut into blocks, each a leaf with some
+classes that all blocks of the node share, and so most of its classes become one component.
 Two sets of similarity s share a path down to any depth with a probability that a branching process
 gives (``missed``); ``trees`` follows from the recall wanted.
 
 Leaves compare signatures, a byte for each coordinate, and name candidates: a spanning forest of the
 likeliest links, which are confirmed on full sets. Classes that no candidate holds apart are one
 component or cannot be linked. A leaf with a candidate that failed and whose ends are still apart is
-looked at again: what else is likely between its components travels as pairs, or, where that would
-be more than ``PAIRS_EACH`` for each class, the classes travel with their sets and are compared in
-the leaf. So all pairs of a leaf are decided, while few of them travel. Components are found by
-alternating large-star and small-star steps over the confirmed links.
+looked at again, and so is a whole node of several components: there the classes outside its largest
+component meet all others, block by block. What else is likely between components travels as pairs,
+or, where that would be more than ``PAIRS_EACH`` for each class that takes part, the classes travel
+with their sets and are compared in the leaf, all at once. So all pairs of a leaf or node are decided,
+while few of them travel. Components are found by alternating large-star and small-star steps over
+the confirmed links.
 
 Defined results: without words or text the set is empty and linked with nothing; with fewer words
 than a shingle the whole sequence is the one shingle. Rows of one id are one document: their sets
@@ -49,7 +52,11 @@ LOOKED_AT, ALIKE = 48, 0.5
 # Standard deviations below the threshold at which signatures still leave a link possible: one in
 # some 10^7 links at the threshold itself falls below, fewer of closer ones.
 SLACK = 5.2
-PAIRS_EACH = 8
+PAIRS_EACH = 2
+# Classes that all blocks of a whole node share, and what a block holds where components meet.
+PIVOTS, WIDE, WIDE_SHINGLES = 32, 2048, 1 << 20
+# Shingles of a leaf that are counted at a time, and columns of a dense count.
+COUNTED, COLUMNS = 1 << 21, 2048
 # Marks of the documents whose sets are asked for: 8 MB go to all tasks, whatever the input.
 FILTER_BITS = 1 << 26
 
@@ -201,45 +208,45 @@ class Threshold:
     def __init__(self, percent: int):
         self.percent = percent
         s = percent / 100
-        self.agree = (s - SLACK * math.sqrt(s * (1 - s) / COORDINATES)) * COORDINATES
-
-    def likely(self, i: int, signature, sizes, sides) -> np.ndarray:
-        """Agreeing coordinates of row i with each row; 0 where no link is possible."""
-        agree = (signature == signature[i]).sum(axis=1)  # or alike in their last byte
-        least, most = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
-        possible = (agree >= self.agree) & (100 * least >= self.percent * most)
-        if sides.min() != sides.max():  # a pair of blocks: only pairs across
-            possible &= sides != sides[i]
+        self.agree = math.ceil((s - SLACK * math.sqrt(s * (1 - s) / COORDINATES)) * COORDINATES)
+
+    def likely(self, i: int, sketch, sizes) -> np.ndarray:
+        """Agreeing coordinates of row i with each row, a column of sketch; 0 where no link is possible."""
+        # or alike in their last byte
+        agree = (sketch == sketch[:, i : i + 1]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        least, most = -(-self.percent * sizes[i] // 100), 100 * sizes[i] // self.percent
+        possible = (agree >= self.agree) & (sizes >= least) & (sizes <= most)
         possible[i] = False
-        return np.where(possible, agree, 0)
+        return agree * possible
 
     def holds(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
 
-def forest(signature, sizes, sides, threshold: Threshold) -> list[tuple[int, int]]:
+def forest(sketch, sizes, threshold: Threshold) -> list[tuple[int, int]]:
     """A spanning forest of the likeliest links of a leaf, grown from any row on."""
     n = len(sizes)
-    best, parent = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    best, parent = np.zeros(n, np.uint8), np.zeros(n, np.int64)
     outside = np.ones(n, dtype=bool)
     edges, current = [], 0
     for _ in range(n):
-        outside[current] = False
-        agree = threshold.likely(current, signature, sizes, sides)
+        outside[current], best[current] = False, 0
+        agree = threshold.likely(current, sketch, sizes)
         closer = outside & (agree > best)
         best[closer], parent[closer] = agree[closer], current
-        left = np.where(outside, best, -1)
-        current = int(left.argmax())
-        if left[current] > 0:
+        current = int(best.argmax())
+        if best[current] > 0:
             edges.append((int(parent[current]), current))
+        else:
+            current = int(outside.argmax())
     return edges
 
 
 def _leaf_columns(group: pa.Table):
     return (
         group.column("rep").to_numpy(),
-        matrix(group.column("sketch"), np.uint8),
+        np.ascontiguousarray(matrix(group.column("sketch"), np.uint8).T),
         group.column("n").to_numpy(),
         group.column("side").to_numpy(),
     )
@@ -251,9 +258,9 @@ def candidates(leaves: DataFrame, threshold: Threshold) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for group in _groups(batches):
-            reps, sketch, sizes, sides = _leaf_columns(group)
+            reps, sketch, sizes, _ = _leaf_columns(group)
             leaf = group.column("leaf")[0].as_py()
-            for i, j in forest(sketch, sizes, sides, threshold):
+            for i, j in forest(sketch, sizes, threshold):
                 if reps[i] != reps[j]:
                     found.append((leaf, int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))))
             if len(found) > 10_000:
@@ -303,8 +310,8 @@ _OPEN = "leaf long, side int, rep long, n long, sketch binary, component long, o
 def undecided(leaves: DataFrame, threshold: Threshold) -> DataFrame:
     """Likely pairs between components, the tested candidates aside: (rep, other), or whole classes.
 
-    leaves has the component of each class. Where other is null the row is a class that takes part
-    in more pairs than should travel.
+    leaves has the component of each class. Where a leaf has two sides, the pairs are those across.
+    Where other is null the row is a class that takes part in more pairs than should travel.
     """
     names = [f.split()[0] for f in _OPEN.split(", ")]
 
@@ -315,28 +322,36 @@ def undecided(leaves: DataFrame, threshold: Threshold) -> DataFrame:
             values, counts = np.unique(component, return_counts=True)
             if len(values) == 1:
                 continue
-            tested = set(forest(sketch, sizes, sides, threshold))
-            pairs, involved = [], set()
-            # The largest component is looked at from the others' side.
-            outside = np.flatnonzero(component != values[counts.argmax()])
-            for i in outside.tolist():
-                likely = threshold.likely(i, sketch, sizes, sides) > 0
-                for j in np.flatnonzero(likely & (component != component[i])).tolist():
-                    if (i, j) not in tested and (j, i) not in tested:
-                        involved.update((i, j))
-                        if len(pairs) <= PAIRS_EACH * len(reps):
-                            pairs.append((i, j))
-            if not pairs:
+            tested = {}
+            if not sides.any():
+                # The largest component is looked at from the others' side.
+                rows, others = component != values[counts.argmax()], np.ones(len(reps), dtype=bool)
+                for i, j in forest(sketch, sizes, threshold):
+                    tested.setdefault(i, []).append(j)
+                    tested.setdefault(j, []).append(i)
+            else:
+                rows, others = sides == 1, sides == 2
+            pairs, n, involved = [], 0, np.zeros(len(reps), dtype=bool)
+            for i in np.flatnonzero(rows).tolist():
+                likely = others & (component != component[i]) & (threshold.likely(i, sketch, sizes) > 0)
+                likely[tested.get(i, [])] = False
+                found = np.flatnonzero(likely)
+                if len(found):
+                    involved |= likely
+                    involved[i] = True
+                    n += len(found)
+                    if n <= PAIRS_EACH * len(reps):
+                        pairs.append((np.full(len(found), reps[i]), reps[found]))
+            if not n:
                 continue
-            if len(pairs) <= PAIRS_EACH * len(reps):
-                ends = [(min(reps[i], reps[j]), max(reps[i], reps[j])) for i, j in pairs]
-                ends = [(int(a), int(b)) for a, b in sorted(set(ends)) if a != b]
-                out = [(None, None, a, None, None, None, b) for a, b in ends]
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*out), kinds)] if out else None
-                if columns:
-                    yield pa.RecordBatch.from_arrays(columns, names)
+            if n <= PAIRS_EACH * involved.sum():
+                a, b = (np.concatenate(x) for x in zip(*pairs))
+                ends = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+                none = [pa.nulls(len(ends), f.type) for f in kinds]
+                none[2], none[6] = pa.array(ends[:, 0]), pa.array(ends[:, 1])
+                yield pa.RecordBatch.from_arrays(none, names)
             else:
-                rows = group.take(sorted(involved))
+                rows = group.take(np.flatnonzero(involved))
                 other = pa.chunked_array([pa.nulls(len(rows), pa.int64())])
                 yield from rows.append_column("other", other).to_batches()
 
@@ -348,26 +363,78 @@ def undecided(leaves: DataFrame, threshold: Threshold) -> DataFrame:
     return rows.repartition("leaf").sortWithinPartitions("leaf", "rep").mapInArrow(run, _OPEN)
 
 
+def _shared(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Numbers of hashes that the sorted sets in rows share with each set.
+
+    Hashes of many sets are counted as a product of matrices, others from lists of their sets; COUNTED
+    hashes at a time, in ranges of their values.
+    """
+    m = len(sets)
+    out = np.zeros((len(rows), m), np.float32)
+    row_of = np.full(m, -1)
+    row_of[rows] = np.arange(len(rows))
+    parts = -(-sum(map(len, sets)) // COUNTED)
+    bounds = np.uint64([(k << 64) // parts for k in range(1, parts)])
+    cuts = [[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in sets]
+    for part in range(parts):
+        pieces = [s[c[part] : c[part + 1]] for s, c in zip(sets, cuts)]
+        owner = np.repeat(np.arange(m), [len(p) for p in pieces])
+        _, hashes, df = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
+        wide = df > max(8, m // 16)
+        for i in range(0, int(wide.sum()), COLUMNS):
+            column = np.full(len(df), -1)
+            chosen = np.flatnonzero(wide)[i : i + COLUMNS]
+            column[chosen] = np.arange(len(chosen))
+            at = column[hashes]
+            has = np.zeros((m, len(chosen)), np.float32)
+            has[owner[at >= 0], at[at >= 0]] = 1
+            out += has[rows] @ has.T
+        few = (df > 1) & ~wide
+        mine, holder = hashes[few[hashes]], owner[few[hashes]]
+        holders = holder[np.argsort(mine, kind="stable")]  # the sets of each hash, one hash after another
+        sizes = np.where(few, df, 0)
+        begins = np.cumsum(sizes) - sizes
+        asked = row_of[holder] >= 0
+        mine, holder = mine[asked], row_of[holder[asked]]
+        ends = np.cumsum(sizes[mine])
+        i = 0
+        while i < len(mine):
+            done = ends[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(ends, done + COUNTED)))
+            each = sizes[mine[i:j]]
+            first = np.repeat(begins[mine[i:j]] - (ends[i:j] - each - done), each)
+            met = holders[first + np.arange(len(first))]
+            np.add.at(out.ravel(), np.repeat(holder[i:j], each) * m + met, np.float32(1))
+            i = j
+    return out
+
+
 def decided(members: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Links (a, b) between different components of each leaf, on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            reps, sketch, sizes, sides = _leaf_columns(group)
-            hashes = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
-            component = group.column("component").to_numpy().copy()
+            reps, hashes = group.column("rep").to_numpy(), group.column("hashes").to_pylist()
+            # A class may be there once for each side, a document with each of its texts.
+            once = list(dict(zip(zip(reps.tolist(), hashes), range(len(reps)))).values())
+            reps, hashes = reps[once], [np.frombuffer(hashes[i], np.uint64) for i in once]
+            sizes = np.array([len(x) for x in hashes])
+            component = group.column("component").to_numpy()[once]
+            values, counts = np.unique(component, return_counts=True)
+            rows = np.flatnonzero(component != values[counts.argmax()])
             found = set()
-            for i in range(len(reps)):
-                likely = threshold.likely(i, sketch, sizes, sides)
-                for j in np.flatnonzero(likely).tolist():
-                    if component[i] != component[j] and threshold.holds(hashes[i], hashes[j]):
-                        component[component == component[j]] = component[i]
-                        found.add((int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))))
+            for i, both in zip(rows.tolist(), _shared(hashes, rows) if len(rows) else ()):
+                alike = 100 * both.astype(np.int64)
+                alike = alike >= threshold.percent * (sizes + sizes[i] - both.astype(np.int64))
+                others = np.flatnonzero(alike & (component != component[i]))
+                while len(others):
+                    j = others[0]
+                    found.add((int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))))
+                    component[component == component[j]] = component[i]
+                    others = others[component[others] != component[i]]
             yield _pairs(found)
 
-    rows = members.join(sets, "rep").select(
-        "leaf", "side", "rep", "n", "sketch", "component", "hashes"
-    )
+    rows = members.join(sets, "rep").select("leaf", "rep", "component", "hashes")
     return (
         rows.repartition("leaf").sortWithinPartitions("leaf", "rep").mapInArrow(run, "a long, b long")
     ).distinct()
@@ -421,10 +488,13 @@ def _alike(rows: DataFrame) -> DataFrame:
     return some.repartition("node").sortWithinPartitions("node").mapInArrow(run, "node long")
 
 
-def leaves_of(classes: DataFrame, trees: int) -> DataFrame:
-    """(leaf, side, rep): the leaves of all trees with at least two classes."""
+def leaves_of(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """(leaf, side, rep): the leaves of all trees with at least two classes; and the whole nodes.
+
+    Those are (node, rep, n), or None without any; their blocks are leaves with side -1.
+    """
     nodes = branch(classes.select("rep", "signature"), trees)
-    leaves = []
+    leaves, wholes = [], []
     for depth in range(1, DEEPEST + 1):
         nodes = stored(nodes, "nodes")
         sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
@@ -435,27 +505,67 @@ def leaves_of(classes: DataFrame, trees: int) -> DataFrame:
         large = sized.where(F.col("size") > LEAF)
         if large.isEmpty():
             break
-        large = stored(large.join(classes.select("rep", "signature"), "rep"), "large-nodes")
+        large = stored(large.join(classes.select("rep", "n", "signature"), "rep"), "large-nodes")
         if depth < DEEPEST:
             alike = stored(_alike(large.select("node", "size", "rep", "signature")), "alike-nodes")
             whole = large.join(alike, "node")
             nodes = branch(large.join(alike, "node", "left_anti").select("rep", "signature", "node"))
         else:
             whole = large
+        wholes.append(whole.select("node", "rep", "n"))
+        dealt = F.xxhash64("rep", "node")
         blocks = F.ceil(F.col("size") / (LEAF // 2)).cast("int")
-        block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        dealt = (
-            whole.withColumn("blocks", blocks)
-            .withColumn("block", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        whole = whole.withColumn("blocks", blocks).withColumn("block", F.pmod(dealt, "blocks").cast("int"))
+        # Bits other than those that deal the blocks choose the classes that all of them share.
+        chosen = F.pmod(F.shiftright(dealt, 40), F.lit(1 << 20)) * F.col("size") < F.lit(PIVOTS * (1 << 20))
+        shared = whole.where(chosen).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         )
-        low, high = F.least("block", "other"), F.greatest("block", "other")
-        leaves.append(
-            dealt.select(
-                F.xxhash64("node", low, high).alias("leaf"), F.col("block").alias("side"), "rep"
+        for rows in (whole, shared.where("other <> block").withColumn("block", F.col("other"))):
+            leaves.append(
+                rows.select(F.xxhash64("node", "block").alias("leaf"), F.lit(-1).alias("side"), "rep")
             )
-        )
-    return stored(reduce(DataFrame.unionByName, leaves), "leaves")
+    whole = stored(reduce(DataFrame.unionByName, wholes), "whole-nodes") if wholes else None
+    return stored(reduce(DataFrame.unionByName, leaves), "leaves"), whole
+
+
+def across(wholes: DataFrame) -> DataFrame:
+    """(leaf, side, rep): leaves in which all classes of a whole node meet those outside its largest
+    component; wholes is (node, rep, n, component).
+
+    A node without others has no leaf. Side 1 is outside, side 2 is all.
+    """
+    parts = wholes.groupBy("node", "component").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    nodes = parts.groupBy("node").agg(
+        F.max(F.struct("size", "n", "component")).alias("main"),
+        F.sum("size").alias("size"),
+        F.sum("n").alias("all_n"),
+    )
+
+    def blocks(size, n):
+        return F.ceil(F.greatest(size / WIDE, n / WIDE_SHINGLES)).cast("int")
+
+    nodes = nodes.where(F.col("size") > F.col("main.size")).select(
+        "node",
+        F.col("main.component").alias("main"),
+        blocks(F.col("size") - F.col("main.size"), F.col("all_n") - F.col("main.n")).alias("few"),
+        blocks(F.col("size"), F.col("all_n")).alias("all"),
+    )
+    rows = wholes.join(nodes, "node")
+    dealt = F.xxhash64("rep", "node")
+    sides = [
+        (rows.where(F.col("component") != F.col("main")), "few", "all", ("own", "other")),
+        (rows, "all", "few", ("other", "own")),
+    ]
+    return reduce(
+        DataFrame.unionByName,
+        (
+            some.withColumn("own", F.pmod(dealt, own).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            .select(F.xxhash64("node", *ends).alias("leaf"), F.lit(side).alias("side"), "rep")
+            for side, (some, own, other, ends) in enumerate(sides, 1)
+        ),
+    )
 
 
 def _maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -480,6 +590,13 @@ def _maybe_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def _sets_of(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(rep, hashes) of the texts whose doc_id is in wanted, which has no id twice."""
+    # Not a semi-join: Spark moves it below the marks, and all texts are shuffled.
+    asked = _maybe_among(texts, wanted).join(wanted, "doc_id").select("doc_id", "text")
+    return stored(full_sets(asked, shingle), "near-sets")
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 80,
@@ -518,14 +635,14 @@ def groups_of(texts: DataFrame, percent: int, shingle: int, recall: float = 0.99
     classes = named.where("doc_id = rep").select("rep", "n", "signature", "sketch")
     classes = stored(classes.dropDuplicates(["rep", "signature"]), "near-classes")
 
-    leaves = leaves_of(classes, trees_for(percent / 100, recall))
-    sketched = leaves.join(classes.select("rep", "n", "sketch"), "rep")
+    leaves, wholes = leaves_of(classes, trees_for(percent / 100, recall))
+    sketches = classes.select("rep", "n", "sketch")
+    sketched = leaves.join(sketches, "rep")
     likely = stored(candidates(sketched, threshold), "near-candidates")
     pairs = stored(likely.select("a", "b").distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     wanted = stored(wanted, "near-wanted")
-    asked = _maybe_among(texts, wanted).join(wanted, "doc_id", "left_semi")
-    sets = stored(full_sets(asked, shingle), "near-sets")
+    sets = _sets_of(texts, wanted, shingle)
     same_id = (
         members.select("doc_id", "rep")
         .where("doc_id <> rep")
@@ -554,10 +671,24 @@ def groups_of(texts: DataFrame, percent: int, shingle: int, recall: float = 0.99
         .where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b"))
     )
     still = stored(apart.select("leaf").distinct(), "near-open")
-    if not still.isEmpty():
-        again = sketched.join(still, "leaf", "left_semi").join(found, F.col("rep") == F.col("id"), "left")
-        again = again.withColumn("component", F.coalesce("component", "rep"))
+    again = sketched.where("side = 0").join(still, "leaf", "left_semi")
+
+    def with_component(rows):
+        rows = rows.join(found, F.col("rep") == F.col("id"), "left")
+        return rows.withColumn("component", F.coalesce("component", "rep")).drop("id")
+
+    if wholes is not None:
+        meeting = stored(across(with_component(wholes)), "near-across")
+        again = again.unionByName(meeting.join(sketches, "rep"))
+    if wholes is not None or not still.isEmpty():
+        again = with_component(again)
         open_rows = stored(undecided(again, threshold), "near-undecided")
+        if wholes is not None:  # classes that were no one's candidates in the blocks of their nodes
+            asked = open_rows.select(F.col("rep").alias("doc_id")).union(open_rows.select("other"))
+            asked = asked.where("doc_id is not null").distinct().join(wanted, "doc_id", "left_anti")
+            asked = stored(asked, "near-wanted")
+            if not asked.isEmpty():
+                sets = sets.unionByName(_sets_of(texts, asked, shingle))
         more_pairs = open_rows.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
         members_left = open_rows.where("other is null").drop("other")
         more = confirmed(more_pairs.distinct(), sets, threshold).unionByName(

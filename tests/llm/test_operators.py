@@ -152,6 +152,68 @@ def test_filter_before_the_sets_loses_no_document(spark):
     assert neardup._maybe_among(rows, asked.limit(0)).count() == 0
 
 
+def test_texts_are_shuffled_after_the_filter(spark, docs, plan, monkeypatch):
+    asked, full_sets = [], neardup.full_sets
+    monkeypatch.setattr(neardup, "full_sets", lambda rows, n: asked.append(plan(rows)) or full_sets(rows, n))
+    monkeypatch.setattr(neardup, "stored", lambda df, label: df.localCheckpoint())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        neardup.near_duplicates(docs, 85, 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert asked and all(-1 < p.find("SortMergeJoin") < p.find("BroadcastHashJoin") for p in asked)
+
+
+def test_near_copies_of_a_large_node(spark, monkeypatch):
+    """Copies of two texts that are 45 % alike, from equal to too far for any link."""
+    rng = random.Random(5)
+    texts, bases = {}, [[f"w{i}" for i in range(200)]]
+    bases.append([x if i % 8 else f"v{i}" for i, x in enumerate(bases[0])])
+    for i in range(600):
+        copy = list(bases[i % 3 == 0])
+        for k in rng.sample(range(200), rng.randint(0, 14)):
+            copy[k] = f"c{rng.randint(0, 10**6)}"
+        texts[i] = " ".join(copy)
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(198)} for i, t in texts.items()}
+    component = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if component[a] != component[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                old, new = sorted((component[a], component[b]))[::-1]
+                component |= {i: new for i, c in component.items() if c == old}
+    counts, stored = {}, neardup.stored
+
+    def counted(df, label):
+        df = stored(df, label)
+        counts[label] = counts.get(label, 0) + df.count()
+        return df
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    monkeypatch.setattr(neardup, "LEAF", 40)
+    for name, value in (("PIVOTS", 4), ("WIDE", 30), ("COUNTED", 1000), ("COLUMNS", 50)):
+        monkeypatch.setattr(neardup, name, value, raising=False)
+    table = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table, 85, 3).collect()}
+    assert got == component
+    assert 50 < len(set(component.values())) < 500
+    # In proportion to the classes of the nodes, and not to the square of the large ones.
+    assert counts["leaves"] < 2 * counts["nodes"]
+
+
+def test_shared_hashes_are_counted(monkeypatch):
+    monkeypatch.setattr(neardup, "COUNTED", 500)
+    monkeypatch.setattr(neardup, "COLUMNS", 16)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, n, dtype=np.uint64) << np.uint64(55)) for n in range(1, 120)]
+    sets += [s | np.uint64(1) for s in sets[::9]]
+    rows = np.array([0, 7, 30, 60, 118, 131])
+    got = neardup._shared(sets, rows)
+    for i, counts in zip(rows, got):
+        for j, count in enumerate(counts.tolist()):
+            assert i == j or count == len(np.intersect1d(sets[i], sets[j])), (i, j)
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
